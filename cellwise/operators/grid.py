@@ -19,6 +19,9 @@ RESOLUTION = 0.05
 # Side of the square blocks of cells used as join keys for rectangle tests.
 BLOCK = 64
 
+# Windows are per country, and a country code has three letters.
+MAX_WINDOWS = 26**3
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -150,27 +153,47 @@ def source_index(fine: Column, size: Column, new_size: Column) -> Column:
     return F.call_function("div", (2 * fine.cast("long") + 1) * size, 2 * new_size).cast("int")
 
 
+def _spread(cells: DataFrame, name: str, size: Column, new_size: Column) -> DataFrame:
+    """Replace index ``name`` by each output index that takes its value."""
+    size, new_size = size.cast("long"), new_size.cast("long")
+    following = fine_index(F.col(name) + 1, size, new_size)
+    return (
+        cells.withColumn("_lo", fine_index(F.col(name), size, new_size))
+        .withColumn("_hi", F.least(following, new_size.cast("int")) - 1)
+        .filter("_lo <= _hi")
+        .withColumn(name, F.explode(F.sequence("_lo", "_hi")))
+        .drop("_lo", "_hi")
+    )
+
+
 def upsample(cells: DataFrame, grid: Grid, resolution: float = RESOLUTION) -> DataFrame:
     """Every cell repeated over the output cells that take its value.
 
     No join: the output rows and columns of a cell follow from its index.
     """
     new_width, new_height, _ = grid.upsampled(resolution)
+    tall = _spread(cells, "row", F.lit(grid.height), F.lit(new_height))
+    return _spread(tall, "col", F.lit(grid.width), F.lit(new_width))
 
-    def spread(df: DataFrame, name: str, size: int, new_size: int) -> DataFrame:
-        n, m = F.lit(size).cast("long"), F.lit(new_size).cast("long")
-        low = fine_index(F.col(name), n, m)
-        high = fine_index(F.col(name) + 1, n, m) - 1
-        return (
-            df.withColumn("_lo", low)
-            .withColumn("_hi", F.least(high, F.lit(new_size - 1)))
-            .filter("_lo <= _hi")
-            .withColumn(name, F.explode(F.sequence("_lo", "_hi")))
-            .drop("_lo", "_hi")
-        )
 
-    tall = spread(cells, "row", grid.height, new_height)
-    return spread(tall, "col", grid.width, new_width)
+def prepared(
+    cells: DataFrame, spans: DataFrame, grid: Grid, resolution: float, keys: list[str]
+) -> DataFrame:
+    """Cells clipped to each window, then upsampled over the clipped extent.
+
+    Rows and columns of the result count from the window's corner. Statistics need no such
+    table (they weight source cells instead); this is for users who want the raster itself.
+    """
+    fine = fine_windows(spans, grid, resolution)
+    inner = clip(cells, spans, grid, keys).join(
+        small(fine.select(*keys, "r_lo", "c_lo", "w", "h", "new_w", "new_h"), MAX_WINDOWS), keys
+    )
+    moved = inner.withColumn("row", F.col("row") - F.col("r_lo")).withColumn(
+        "col", F.col("col") - F.col("c_lo")
+    )
+    tall = _spread(moved, "row", F.col("h"), F.col("new_h"))
+    wide = _spread(tall, "col", F.col("w"), F.col("new_w"))
+    return wide.drop("r_lo", "c_lo", "w", "h", "new_w", "new_h")
 
 
 def fine_windows(spans: DataFrame, grid: Grid, resolution: float | None) -> DataFrame:

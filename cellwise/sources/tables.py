@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,19 +126,20 @@ def standard_names(layer: DataFrame, level: int) -> DataFrame:
 def lookup_rows(layer: DataFrame, level: int) -> DataFrame:
     """A layer as rows of the code-and-name lookup, columns it lacks left out.
 
-    The names of the level and of those above it are taken in the same way.
+    Names of the levels above are taken in the language of the layer's own name column.
     """
-    names: dict[str, str] = {}
-    for above in range(level + 1):
-        try:
-            names[name_column(layer.columns, above)] = f"ADM{above}_NAME"
-        except ValueError:
-            if above == level:
-                raise
     language = language_of(name_column(layer.columns, level))
+    names = {f"ADM{n}_{language}": f"ADM{n}_NAME" for n in range(level + 1)}
     renamed = (
         layer.withColumnsRenamed(names)
         .withColumn("NAME_LANGUAGE", F.lit(language))
         .withColumn("ADM_LEVEL", F.lit(level))
     )
     return renamed.select(*[c for c in LOOKUP_COLUMNS if c in renamed.columns])
+
+
+def admin_lookup(layers: Sequence[tuple[DataFrame, int]]) -> DataFrame:
+    """The lookup of all layers; a layer's missing columns are null."""
+    rows = [lookup_rows(layer, level) for layer, level in layers]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return together.select(*[c for c in LOOKUP_COLUMNS if c in together.columns])

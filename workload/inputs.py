@@ -177,16 +177,24 @@ TILE_SIDE = 8
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One 8 x 8 tile per embedding, on consecutive days."""
+    """One 8 x 8 tile per embedding, on consecutive days. Some lack an attribute."""
+    made = tiles_from(table(spark, sf_dir, "embeddings"))
+    return made.withColumn(
+        "date_valid", F.when(F.col("vec_id") % 10 != 9, F.col("date_valid"))
+    ).withColumn("leadtime", F.when(F.col("vec_id") % 8 != 7, F.col("leadtime")))
+
+
+def tiles_from(embeddings: DataFrame) -> DataFrame:
     day = F.date_add(F.lit("2020-01-01").cast("date"), F.col("vec_id").cast("int"))
-    return table(spark, sf_dir, "embeddings").select(
+    return embeddings.select(
         "vec_id",
+        day.alias("day"),
         F.lit("embeddings").alias("dataset"),
         F.concat(F.lit("tiles/t_"), F.date_format(day, "yyyy-MM-dd"), F.lit(".tif")).alias("path"),
         F.year(day).alias("year_valid"),
         F.month(day).alias("month_valid"),
-        F.when(F.col("vec_id") % 10 != 9, F.dayofmonth(day)).alias("date_valid"),
-        F.when(F.col("vec_id") % 8 != 7, F.col("label") % 7).alias("leadtime"),
+        F.dayofmonth(day).alias("date_valid"),
+        (F.col("label") % 7).alias("leadtime"),
         F.lit(0.0).alias("x0"),
         F.lit(float(TILE_SIDE)).alias("y0"),
         F.lit(1.0).alias("res"),
@@ -223,3 +231,134 @@ class Scene:
 
     def level(self, adm_level: int) -> DataFrame:
         return self.zones.filter(F.col("adm_level") == adm_level)
+
+
+# Job tables
+
+
+def code(k: Column) -> Column:
+    """A three-letter code for a number; codes repeat after 26^3 numbers."""
+
+    def letter(step: int) -> Column:
+        return F.char((F.floor(k / step) % 26 + 65).cast("long"))
+
+    return F.concat(letter(676), letter(26), letter(1))
+
+
+def boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boundary metadata, two rows per country."""
+    s = F.col("s_suppkey")
+    return table(spark, sf_dir, "supplier").select(
+        code(F.expr("s_suppkey div 2")).alias("iso_3"),
+        (F.col("s_nationkey") % 4).alias("src_lvl"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (s % 1000).cast("int")).alias("src_update"),
+        F.concat(F.lit("shp/"), F.col("s_name")).alias("o_shp"),
+        s.alias("listed"),
+    )
+
+
+def plans(spark: SparkSession, sf_dir: str, n_codes: int) -> DataFrame:
+    """Response plans, one per order."""
+    priority = F.col("o_orderpriority")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(priority == "1-URGENT", F.lit("Humanitarian response plan"))
+        .when(priority == "2-HIGH", F.lit("Flash appeal; humanitarian RESPONSE plan (2)"))
+        .when(priority != "3-MEDIUM", F.lit("Regional refugee plan"))
+        .alias("categories"),
+        F.to_date("o_orderdate").alias("endDate"),
+        F.concat(
+            code(F.col("o_custkey") % n_codes),
+            F.lit(" | "),
+            code(F.col("o_orderkey") % n_codes),
+            F.lit("|"),
+        ).alias("locations"),
+    )
+
+
+def pcodes(spark: SparkSession, sf_dir: str, n_codes: int) -> DataFrame:
+    """Global code list, one per customer; some rows lack the code itself."""
+    return table(spark, sf_dir, "customer").select(
+        code(F.col("c_custkey") % (n_codes + 3)).alias("location"),
+        (F.col("c_nationkey") % 5).cast("string").alias("admin_level"),
+        F.when(F.col("c_custkey") % 11 != 0, F.col("c_name")).alias("pcode"),
+    )
+
+
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage lists: the market segments as datasets, their customers' codes as countries."""
+    return (
+        table(spark, sf_dir, "customer")
+        .select(F.col("c_mktsegment").alias("dataset"), code(F.col("c_custkey")).alias("iso3"))
+        .distinct()
+    )
+
+
+def stats_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast statistics, one row per line item; about one in a thousand breaks a rule."""
+    q = F.col("l_quantity")
+    kind = F.when(F.col("l_partkey") % 997 == 0, F.col("l_suppkey") % 12).otherwise(-1)
+    month = F.trunc("l_shipdate", "MM")
+    lead = F.col("l_linenumber") - 1
+
+    def spoilt(n: int, bad: Column, good: Column) -> Column:
+        return F.when(kind == n, bad).otherwise(good)
+
+    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return table(spark, sf_dir, "lineitem").select(
+        spoilt(6, F.lit("1AA"), code(F.col("l_suppkey"))).alias("iso3"),
+        F.concat_ws("-", *[F.col(p).cast("string") for p in parts]).alias("pcode"),
+        month.alias("valid_date"),
+        spoilt(7, F.add_months(month, 9), F.add_months(month, spoilt(9, -lead - 1, -lead))).alias(
+            "issued_date"
+        ),
+        spoilt(8, F.lit(9), lead).alias("leadtime"),
+        spoilt(5, F.lit(5), F.col("l_linenumber") % 3).alias("adm_level"),
+        spoilt(1, q + 11, q + 5).alias("mean"),
+        spoilt(2, q - 1, q + 4).alias("median"),
+        spoilt(11, F.lit(None).cast("double"), q).alias("min"),
+        spoilt(0, q - 1, q + 10).alias("max"),
+        spoilt(4, F.lit(-1), F.lit(7)).alias("count"),
+        (q * 7).alias("sum"),
+        spoilt(3, F.lit(-1.0), F.lit(1.5)).alias("std"),
+    )
+
+
+def keyed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as statistics with a two-part key, the second part null for line 7."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), F.col("l_orderkey").cast("string")).alias("pcode"),
+        F.when(F.col("l_linenumber") != 7, F.col("l_linenumber")).alias("leadtime"),
+        F.col("l_quantity").alias("mean"),
+        F.col("l_returnflag").alias("flag"),
+        F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice").alias("seq"),
+    )
+
+
+def in_degrees(zone_table: DataFrame, n: int) -> DataFrame:
+    """Zones scaled from the grid onto 160 degrees each way around (0, 0)."""
+    scale = F.lit(160.0 / n)
+
+    def point(p: Column) -> Column:
+        return F.struct((p["x"] * scale - 80).alias("x"), (p["y"] * scale - 80).alias("y"))
+
+    return zone_table.withColumn(
+        "rings", F.transform("rings", lambda ring: F.transform(ring, point))
+    )
+
+
+def grid_in_degrees(n: int, per_cell: int = 1) -> Grid:
+    return Grid(-80.0, 80.0, 160.0 / n / per_cell, n * per_cell, n * per_cell)
+
+
+def borders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A closed line per nation, one vertex per customer."""
+    n = table(spark, sf_dir, "customer").count()
+    angle = F.col("c_custkey") * F.lit(2 * math.pi / n)
+    radius = F.lit(1.0) + F.col("c_acctbal") / 50_000
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("nation"),
+        F.col("c_custkey").alias("pos"),
+        (radius * F.cos(angle)).alias("x"),
+        (radius * F.sin(angle)).alias("y"),
+    )
