@@ -31,7 +31,7 @@ def is_iso3(code: Column) -> Column:
 
 def codes_in(text: Column, mark: str = "|") -> Column:
     """The distinct, trimmed, non-empty codes of a list such as ``AFG | NGA``."""
-    parts = F.transform(F.split(text, f"[{mark}]"), F.trim)
+    parts = F.transform(F.split(text, f"[{mark}]"), lambda p: F.trim(p))
     return F.array_distinct(F.filter(parts, lambda p: p != ""))
 
 

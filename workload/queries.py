@@ -336,7 +336,8 @@ def prep_order_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def simplify_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simplify.simplify_vertices(inputs.borders(spark, sf_dir), ["nation"], TOLERANCE)
+    kept = simplify.simplify_vertices(inputs.borders(spark, sf_dir), ["nation"], TOLERANCE)
+    return rounded(kept, "x", "y")
 
 
 @query
