@@ -89,47 +89,49 @@ def windows(bounds: DataFrame, grid: Grid) -> DataFrame:
     ).filter("r_lo <= r_hi AND c_lo <= c_hi")
 
 
-def window_cells(spans: DataFrame) -> tuple[int, int]:
-    """Source cells of all windows together, and of the largest one.
-
-    This is the proven bound that decides what is broadcast and how medians are taken.
+@dataclass(frozen=True)
+class Sizes:
+    """Proven bounds from the windows alone: source cells in all of them together and in the
+    largest, and the blocks they touch. They decide what is broadcast and how medians are taken.
     """
-    size = (F.col("r_hi") - F.col("r_lo") + 1).cast("long") * (F.col("c_hi") - F.col("c_lo") + 1)
-    row = spans.agg(F.sum(size), F.max(size)).first()
-    return int(row[0] or 0), int(row[1] or 0)
+
+    cells: int
+    largest: int
+    blocks: int
+
+
+def measure(spans: DataFrame) -> Sizes:
+    rows, cols = F.expr("CAST(r_hi - r_lo + 1 AS BIGINT)"), F.expr("c_hi - c_lo + 1")
+    block_rows = F.expr(f"r_hi div {BLOCK} - r_lo div {BLOCK} + 1")
+    block_cols = F.expr(f"c_hi div {BLOCK} - c_lo div {BLOCK} + 1")
+    found = spans.agg(
+        F.sum(rows * cols), F.max(rows * cols), F.sum(block_rows * block_cols)
+    ).first()
+    return Sizes(*[int(v or 0) for v in found])
 
 
-def clip(cells: DataFrame, spans: DataFrame, grid: Grid, keys: list[str]) -> DataFrame:
+def clip(cells: DataFrame, spans: DataFrame, sizes: Sizes, keys: list[str]) -> DataFrame:
     """Cells inside each window, with the window's keys.
 
     The rectangle test is an equi-join on blocks of cells plus a residual range test, so each
     cell meets only the windows near it.
     """
-    blocks = (
-        spans.withColumn(
-            "block_row", F.explode(F.sequence(F.expr(f"r_lo div {BLOCK}"), F.expr(f"r_hi div {BLOCK}")))
-        )
-        .withColumn(
-            "block_col", F.explode(F.sequence(F.expr(f"c_lo div {BLOCK}"), F.expr(f"c_hi div {BLOCK}")))
-        )
+
+    def blocks(low: str, high: str) -> Column:
+        return F.explode(F.sequence(F.expr(f"{low} div {BLOCK}"), F.expr(f"{high} div {BLOCK}")))
+
+    tiled = spans.withColumn("block_row", blocks("r_lo", "r_hi")).withColumn(
+        "block_col", blocks("c_lo", "c_hi")
     )
-    block_bound = _block_bound(spans)
-    located = cells.withColumn("block_row", F.expr(f"row div {BLOCK}")).withColumn(
-        "block_col", F.expr(f"col div {BLOCK}")
+    located = cells.withColumns(
+        {"block_row": F.expr(f"row div {BLOCK}"), "block_col": F.expr(f"col div {BLOCK}")}
     )
-    inside = located.join(small(blocks, block_bound), ["block_row", "block_col"]).filter(
-        F.col("row").between(F.col("r_lo"), F.col("r_hi"))
-        & F.col("col").between(F.col("c_lo"), F.col("c_hi"))
+    inside = located.join(small(tiled, sizes.blocks), ["block_row", "block_col"]).filter(
+        "row BETWEEN r_lo AND r_hi AND col BETWEEN c_lo AND c_hi"
     )
     return inside.select(*keys, *cells.columns)
 
 
-def _block_bound(spans: DataFrame) -> int:
-    rows = F.expr(f"r_hi div {BLOCK} - r_lo div {BLOCK} + 1")
-    cols = F.expr(f"c_hi div {BLOCK} - c_lo div {BLOCK} + 1")
-    return int(spans.agg(F.sum(rows * cols)).first()[0] or 0)
-
-
 def in_box(cells: DataFrame, grid: Grid, box: tuple[float, float, float, float]) -> DataFrame:
     """Cells whose centre lies in one given box, both ends included."""
     minx, miny, maxx, maxy = box
@@ -177,7 +179,12 @@ def upsample(cells: DataFrame, grid: Grid, resolution: float = RESOLUTION) -> Da
 
 
 def prepared(
-    cells: DataFrame, spans: DataFrame, grid: Grid, resolution: float, keys: list[str]
+    cells: DataFrame,
+    spans: DataFrame,
+    sizes: Sizes,
+    grid: Grid,
+    resolution: float,
+    keys: list[str],
 ) -> DataFrame:
     """Cells clipped to each window, then upsampled over the clipped extent.
 
@@ -185,7 +192,7 @@ def prepared(
     table (they weight source cells instead); this is for users who want the raster itself.
     """
     fine = fine_windows(spans, grid, resolution)
-    inner = clip(cells, spans, grid, keys).join(
+    inner = clip(cells, spans, sizes, keys).join(
         small(fine.select(*keys, "r_lo", "c_lo", "w", "h", "new_w", "new_h"), MAX_WINDOWS), keys
     )
     moved = inner.withColumn("row", F.col("row") - F.col("r_lo")).withColumn(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cellwise.functions.geometry import ring_edges
 from cellwise.operators.grid import Grid, fine_windows, source_index, zone_bounds
 from cellwise.schema import ZONE_KEYS
+from cellwise.session import partitions
 
 ROW_KEYS = ["iso3", "adm_level", "row"]
 
@@ -77,7 +78,7 @@ def zone_pixels(
         crossings.select(
             *dict.fromkeys([*keys, "zone_idx"]), "row", "frow", "xc", *WINDOW_COLUMNS
         )
-        .repartition(*ROW_KEYS)
+        .repartition(partitions(zones.sparkSession), *ROW_KEYS)
         .withColumn("nth", F.row_number().over(ordered))
         .withColumn("until", F.lead("xc").over(ordered))
         .filter("nth % 2 = 1")
@@ -120,7 +121,7 @@ def _touched_pixels(edges: DataFrame, keys: list[str]) -> DataFrame:
 
     return _pixels_of(
         cut, pixel(F.least("xa", "xb")), pixel(F.greatest("xa", "xb")), keys
-    ).repartition(*ROW_KEYS)
+    ).repartition(partitions(edges.sparkSession), *ROW_KEYS)
 
 
 def zone_map(
@@ -141,6 +142,14 @@ def zone_map(
     owned = pixels.groupBy(*ROW_KEYS, "frow", "fcol", "c_lo", "w", "new_w").agg(
         F.max("zone_idx").alias("zone_idx")
     )
+    if resolution is None:
+        column = (F.col("c_lo") + F.col("fcol")).alias("col")
+        return owned.select(*ZONE_KEYS, "row", column, F.lit(1).cast("long").alias("w"))
+    return _weighed(owned)
+
+
+def _weighed(owned: DataFrame) -> DataFrame:
+    """Output pixels counted per zone and source cell; still the same partitioning by row."""
     return (
         _with_source_col(owned)
         .groupBy(*ROW_KEYS, "col", "zone_idx")
@@ -182,12 +191,7 @@ def zone_map_upsampled_first(
         .join(clip, "iso3")
         .filter("frow BETWEEN fr_lo AND fr_hi AND fcol BETWEEN fc_lo AND fc_hi")
     )
-    return (
-        _with_source_col(owned)
-        .groupBy(*ROW_KEYS, "col", "zone_idx")
-        .agg(F.count(F.lit(1)).alias("w"))
-        .select(*ZONE_KEYS, "row", "col", "w")
-    )
+    return _weighed(owned)
 
 
 def points_in_zones(points: DataFrame, zones: DataFrame, block: float, *keys: str) -> DataFrame:

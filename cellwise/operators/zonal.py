@@ -4,8 +4,9 @@ A slice is one raster layer: a date, or a date and a leadtime or band. A group i
 one zone, so it never holds more rows than the zone has source cells. That bound is known from
 the clip windows before anything runs, and it picks the plan:
 
-* zones up to ``LOCAL_CELLS`` cells: one exchange, medians from Spark's ``percentile``;
-* larger ones: mergeable moments, and medians by ``split_median``, which spreads a group.
+* zones up to ``LOCAL_CELLS`` cells: one exchange and one sort by value;
+* larger ones: mergeable moments, and medians by ``split_median``, which spreads a group;
+* statistics that merge (no median asked for): partial aggregates, whatever the size.
 """
 
 from __future__ import annotations
@@ -17,9 +18,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwise.functions.values import number
-from cellwise.operators.grid import Grid, clip, window_cells
+from cellwise.operators.grid import Grid, Sizes, clip
 from cellwise.schema import STAT_COLUMNS, ZONE_KEYS
-from cellwise.session import BROADCAST_ROWS
+from cellwise.session import small
 
 LOCAL_CELLS = 2_000_000
 MEDIAN_SPLITS = 256
@@ -36,9 +37,8 @@ class Bounds:
     weighted: bool = True
 
     @classmethod
-    def of(cls, spans: DataFrame, levels: int, weighted: bool) -> Bounds:
-        total, largest = window_cells(spans)
-        return cls(total * levels, largest, weighted)
+    def of(cls, sizes: Sizes, levels: int, weighted: bool) -> Bounds:
+        return cls(sizes.cells * levels, sizes.largest, weighted)
 
 
 def cells_in_zones(cells: DataFrame, zone_map: DataFrame, grid: Grid, bounds: Bounds) -> DataFrame:
@@ -47,10 +47,9 @@ def cells_in_zones(cells: DataFrame, zone_map: DataFrame, grid: Grid, bounds: Bo
     A zone map within the broadcast bound is sent to the cells. A larger one is shuffled with
     them by cell number, a key every slice has once, so no key is hot.
     """
-    keyed = zone_map.withColumn("cell", grid.cell_id()).drop("row", "col")
-    if bounds.map_rows <= BROADCAST_ROWS:
-        keyed = F.broadcast(keyed)
-    return cells.withColumn("cell", grid.cell_id()).join(keyed, "cell").drop("cell")
+    keyed = zone_map.select(grid.cell_id().alias("cell"), *ZONE_KEYS, "w")
+    located = cells.withColumn("cell", grid.cell_id())
+    return located.join(small(keyed, bounds.map_rows), "cell").drop("cell")
 
 
 def zonal_stats(
@@ -76,44 +75,56 @@ def zonal_stats(
     )
     if bounds.zone_cells > LOCAL_CELLS:
         return split_stats(matched, keys, stats)
-    if bounds.weighted:
-        return _local_weighted(matched, keys, stats)
-    return matched.groupBy(*keys).agg(*[_plain(s).alias(s) for s in stats])
+    if "median" in stats or (bounds.weighted and "std" in stats):
+        return _by_rank(matched, keys, stats)
+    return matched.groupBy(*keys).agg(*[_merged(s).alias(s) for s in stats])
 
 
-def _plain(stat: str) -> Column:
-    v = F.col("v")
+def _merged(stat: str) -> Column:
+    """Statistics that partial aggregates merge."""
+    v, w = F.col("v"), F.col("w")
     return {
-        "mean": lambda: F.avg(v),
-        "median": lambda: F.percentile(v, 0.5),
+        "mean": lambda: _within_range(F.sum(v * w) / F.sum(w)),
         "min": lambda: F.min(v),
         "max": lambda: F.max(v),
-        "sum": lambda: F.sum(v),
+        "sum": lambda: F.sum(v * w),
         "std": lambda: F.stddev_pop(v),
-        "count": lambda: F.count(v),
+        "count": lambda: F.sum(w),
         "unique": lambda: F.count_distinct(v),
     }[stat]()
 
 
-def _local_weighted(matched: DataFrame, keys: list[str], stats: Sequence[str]) -> DataFrame:
-    """Weighted statistics; the deviation takes the mean first, by a window on the same exchange."""
+def _within_range(mean: Column) -> Column:
+    """Rounding must not push the mean of equal values past them."""
+    return F.greatest(F.least(mean, F.max("v")), F.min("v"))
+
+
+def _by_rank(matched: DataFrame, keys: list[str], stats: Sequence[str]) -> DataFrame:
+    """Statistics that need the whole group, from one exchange and one sort, both of which spill.
+
+    Groups are sorted by value. A running weight gives the middle ranks, the group's mean the
+    deviations; what is left are plain sums.
+    """
     v, w = F.col("v"), F.col("w")
-    total = F.sum(w)
-    between = F.greatest(F.least(F.sum(v * w) / total, F.max(v)), F.min(v))
-    forms = {
-        "mean": lambda: between,
-        "median": lambda: F.percentile(v, 0.5, w),
-        "min": lambda: F.min(v),
-        "max": lambda: F.max(v),
-        "sum": lambda: F.sum(v * w),
-        "std": lambda: F.sqrt(F.sum(w * (v - F.col("m")) * (v - F.col("m"))) / total),
-        "count": lambda: total,
-        "unique": lambda: F.count_distinct(v),
+    group = Window.partitionBy(*keys)
+    running = group.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = matched.select(
+        "*",
+        F.sum(w).over(running).alias("upto"),
+        F.sum(w).over(group).alias("total"),
+        (F.sum(v * w).over(group) / F.sum(w).over(group)).alias("m"),
+    )
+    low = F.min(F.when(F.expr("upto >= (total + 1) div 2"), v))
+    high = F.min(F.when(F.expr("upto >= (total + 2) div 2"), v))
+    spread = F.sum(w * (v - F.col("m")) * (v - F.col("m")))
+    special = {
+        "mean": _within_range(F.first("m")),
+        "median": (low + high) / 2,
+        "std": F.sqrt(spread / F.sum(w)),
     }
-    if "std" in stats:
-        group = Window.partitionBy(*keys)
-        matched = matched.withColumn("m", F.sum(v * w).over(group) / F.sum(w).over(group))
-    return matched.groupBy(*keys).agg(*[forms[s]().alias(s) for s in stats])
+    return ranked.groupBy(*keys).agg(
+        *[(special[s] if s in special else _merged(s)).alias(s) for s in stats]
+    )
 
 
 def split_stats(matched: DataFrame, keys: list[str], stats: Sequence[str]) -> DataFrame:
@@ -217,11 +228,11 @@ def present_slices(cells: DataFrame, spans: DataFrame, slice_keys: Sequence[str]
 
 
 def filled_slices(
-    cells: DataFrame, spans: DataFrame, grid: Grid, slice_keys: Sequence[str]
+    cells: DataFrame, spans: DataFrame, sizes: Sizes, slice_keys: Sequence[str]
 ) -> DataFrame:
     """Slices with at least one value inside the country's window; the others give no rows."""
     valued = cells.filter(number(F.col("value")).isNotNull()).select(*slice_keys, "row", "col")
-    return clip(valued, spans, grid, ["iso3"]).select("iso3", *slice_keys).distinct()
+    return clip(valued, spans, sizes, ["iso3"]).select("iso3", *slice_keys).distinct()
 
 
 def densify(

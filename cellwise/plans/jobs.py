@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.functions.dates import issued_date
-from cellwise.operators.grid import RESOLUTION, Grid, country_windows
+from cellwise.operators.grid import RESOLUTION, Grid, Sizes, country_windows, measure
 from cellwise.operators.quality import (
     failed_units,
     outside_grid,
@@ -49,6 +49,7 @@ class Layers:
     spans: DataFrame
     zone_map: DataFrame
     grid: Grid
+    sizes: Sizes
     bounds: Bounds
 
 
@@ -58,10 +59,11 @@ def layers(
     """Rasterise the zones of the given countries, each down to its deepest level."""
     deepest = countries.select("iso3", "max_adm_level")
     wanted = zones.join(deepest, "iso3").filter("adm_level <= max_adm_level").drop("max_adm_level")
-    spans = country_windows(wanted, grid)
+    spans = written(country_windows(wanted, grid), "windows")
+    sizes = measure(spans)
     mapped = written(zone_map(wanted, spans, grid, resolution), "zone-map")
-    bounds = Bounds.of(spans, levels=5, weighted=resolution is not None)
-    return Layers(wanted, spans, mapped, grid, bounds)
+    bounds = Bounds.of(sizes, levels=5, weighted=resolution is not None)
+    return Layers(wanted, spans, mapped, grid, sizes, bounds)
 
 
 def statistics(cells: DataFrame, fixed: Layers, spec: DatasetSpec, *carried: str) -> DataFrame:
@@ -73,7 +75,7 @@ def statistics(cells: DataFrame, fixed: Layers, spec: DatasetSpec, *carried: str
     keys = [*spec.slice_keys, *carried]
     found = zonal_stats(cells, fixed.zone_map, fixed.grid, fixed.bounds, keys)
     if spec.extra_dims:
-        due = filled_slices(cells, fixed.spans, fixed.grid, keys)
+        due = filled_slices(cells, fixed.spans, fixed.sizes, keys)
     else:
         due = present_slices(cells, fixed.spans, keys)
     rows = densify(found, due, fixed.zones, keys)

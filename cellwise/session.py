@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only when its row count has a proven bound below this. The widest
-# row broadcast here (a zone-map row) takes about 64 bytes, so the bound is ~128 MB.
-BROADCAST_ROWS = 2_000_000
+# row broadcast here (a zone-map row) takes about 64 bytes, so the bound is ~256 MB. A cluster
+# with smaller executors lowers it with this setting.
+BROADCAST_ROWS = 4_000_000
+BROADCAST_SETTING = "spark.cellwise.broadcastRows"
 
 
 def local_session(app: str, cores: str = "8", memory: str = "12g") -> SparkSession:
@@ -24,7 +26,6 @@ def local_session(app: str, cores: str = "8", memory: str = "12g") -> SparkSessi
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "100000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -56,6 +57,24 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_rows(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_ROWS)))
+
+
+def partitions(spark: SparkSession) -> int:
+    """Shuffle partitions, for exchanges whose rows multiply later: those must not be merged."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def small(df: DataFrame, row_bound: int) -> DataFrame:
-    """Mark ``df`` for broadcast if its proven row bound allows it, else leave it alone."""
-    return F.broadcast(df) if row_bound <= BROADCAST_ROWS else df
+    """Mark ``df`` for broadcast if its proven row bound allows it.
+
+    A larger table is to be hashed if each of its shuffled parts stays within the bound, which
+    spares the other side a sort; else Spark decides.
+    """
+    limit = broadcast_rows(df.sparkSession)
+    if row_bound <= limit:
+        return F.broadcast(df)
+    if row_bound / partitions(df.sparkSession) <= limit:
+        return df.hint("shuffle_hash")
+    return df

@@ -11,8 +11,10 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.operators.grid import Grid, country_windows
+from cellwise.operators.grid import Grid, country_windows, measure
 from cellwise.schema import RINGS
+from cellwise.session import shared_dir, written
+from cellwise.sources.tables import read_zones, write_zones
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,15 +112,10 @@ def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def zones_in_use(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+def down_to_deepest(zone_table: DataFrame, country_table: DataFrame) -> DataFrame:
     """Zones down to each country's deepest level."""
-    deepest = countries(spark, sf_dir)
-    return (
-        zones(spark, sf_dir, n)
-        .join(deepest, "iso3")
-        .filter("adm_level <= max_adm_level")
-        .drop("max_adm_level")
-    )
+    joined = zone_table.join(country_table, "iso3").filter("adm_level <= max_adm_level")
+    return joined.select(*zone_table.columns)
 
 
 def _from_lineitem(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
@@ -220,19 +217,33 @@ def file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Scene:
-    """Grid, zones and clip windows of one scale."""
+    """Grid, stored zone layers and clip windows of one scale."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.side = side(spark, sf_dir)
         self.grid = grid_of_side(self.side)
-        self.zones = zones(spark, sf_dir, self.side)
-        self.in_use = zones_in_use(spark, sf_dir, self.side)
-        self.windows = country_windows(self.zones, self.grid)
+        path = shared_dir(spark, "zones")
+        write_zones(zones(spark, sf_dir, self.side), path)
+        self.zones = read_zones(spark, path)
+        self.in_use = down_to_deepest(self.zones, countries(spark, sf_dir))
+        self.windows = written(country_windows(self.zones, self.grid), "windows")
+        self.sizes = measure(self.windows)
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Scene:
+        """The scene, stored once per session: zone layers are tables, not part of a query."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _SCENES:
+            _SCENES[key] = cls(spark, sf_dir)
+        return _SCENES[key]
 
     def level(self, adm_level: int) -> DataFrame:
         return self.zones.filter(F.col("adm_level") == adm_level)
 
 
+_SCENES: dict[tuple[str, str], Scene] = {}
+
+
 # Job tables
 
 

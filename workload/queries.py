@@ -52,13 +52,13 @@ def stats_of(
     stats: tuple[str, ...] = tuple(STAT_COLUMNS),
 ) -> DataFrame:
     mapped = rasterize.zone_map(zones, scene.windows, scene.grid, resolution)
-    bounds = zonal.Bounds.of(scene.windows, 3, resolution is not None)
+    bounds = zonal.Bounds.of(scene.sizes, 3, resolution is not None)
     return zonal.zonal_stats(cells, mapped, scene.grid, bounds, slice_keys, stats)
 
 
 def observed(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Monthly statistics of the nations: the flagship."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_obs(spark, sf_dir) if cells is None else cells
     nations = scene.level(1)
     found = stats_of(scene, cells, ["valid_date"], nations)
@@ -168,21 +168,21 @@ def stats_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bbox_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
-    return grids.clip(inputs.cells_obs(spark, sf_dir), scene.windows, scene.grid, ["iso3"])
+    scene = Scene.of(spark, sf_dir)
+    return grids.clip(inputs.cells_obs(spark, sf_dir), scene.windows, scene.sizes, ["iso3"])
 
 
 @query
 def zone_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = grids.zone_bounds(Scene(spark, sf_dir).zones, "iso3", "adm_level")
+    bounds = grids.zone_bounds(Scene.of(spark, sf_dir).zones, "iso3", "adm_level")
     return rounded(bounds, "minx", "miny", "maxx", "maxy")
 
 
 @query
 def allnan_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_patchy(spark, sf_dir, scene.side)
-    return zonal.filled_slices(cells, scene.windows, scene.grid, ["valid_date", "leadtime"])
+    return zonal.filled_slices(cells, scene.windows, scene.sizes, ["valid_date", "leadtime"])
 
 
 @query
@@ -201,7 +201,7 @@ def coverage_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def level_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Scene(spark, sf_dir).in_use.select(*ZONE_KEYS, "pcode")
+    return Scene.of(spark, sf_dir).in_use.select(*ZONE_KEYS, "pcode")
 
 
 @query
@@ -258,7 +258,7 @@ def membership_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rasterize_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     return rasterize.zone_map(scene.zones, scene.windows, scene.grid).drop("w")
 
 
@@ -267,7 +267,7 @@ QUERIES["rasterize"] = QUERIES.pop("rasterize_zones")
 
 @query
 def rasterize_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     touched = rasterize.zone_map(scene.zones, scene.windows, scene.grid, all_touched=True)
     return touched.drop("w")
 
@@ -275,13 +275,13 @@ def rasterize_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def zone_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The zone map with the weights that stand for the upsampled raster."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     return rasterize.zone_map(scene.zones, scene.windows, scene.grid, FINE)
 
 
 @query
 def point_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     reach = 10 * scene.side
     points = table(spark, sf_dir, "customer").select(
         "c_custkey",
@@ -293,15 +293,15 @@ def point_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upsample_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     return grids.upsample(inputs.cells_obs(spark, sf_dir), scene.grid, FINE)
 
 
 @query
 def prep_clip_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_obs(spark, sf_dir)
-    return grids.prepared(cells, scene.windows, scene.grid, FINE, ["iso3"])
+    return grids.prepared(cells, scene.windows, scene.sizes, scene.grid, FINE, ["iso3"])
 
 
 def _upsampled_first(scene: Scene) -> DataFrame:
@@ -316,9 +316,9 @@ def _upsampled_first(scene: Scene) -> DataFrame:
 @query
 def prep_order_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means and counts of the nations for both orders of clipping and upsampling."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_obs(spark, sf_dir)
-    bounds = zonal.Bounds.of(scene.windows, 3, True)
+    bounds = zonal.Bounds.of(scene.sizes, 3, True)
     maps = {
         "clip_first": rasterize.zone_map(scene.level(1), scene.windows, scene.grid, FINE),
         "upsample_first": _upsampled_first(scene),
@@ -342,20 +342,20 @@ def simplify_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dissolve_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     return rasterize.dissolved_pixels(scene.level(2), scene.windows, scene.grid)
 
 
 @query
 def zone_area_km2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     zones = inputs.in_degrees(scene.zones, scene.side)
     return areas.areas_km2(zones).withColumn("area", F.round("area", 3))
 
 
 @query
 def shoelace_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(areas.planar_areas(Scene(spark, sf_dir).zones), "area")
+    return rounded(areas.planar_areas(Scene.of(spark, sf_dir).zones), "area")
 
 
 # Statistics
@@ -363,11 +363,11 @@ def shoelace_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cell_zone_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     mapped = rasterize.zone_map(scene.zones, scene.windows, scene.grid)
-    keyed = inputs.cells_obs(spark, sf_dir).select("*", scene.grid.cell_id().alias("cell"))
-    bounds = zonal.Bounds.of(scene.windows, 3, False)
-    return zonal.cells_in_zones(keyed.drop("cell"), mapped, scene.grid, bounds).drop("w")
+    bounds = zonal.Bounds.of(scene.sizes, 3, False)
+    cells = inputs.cells_obs(spark, sf_dir)
+    return zonal.cells_in_zones(cells, mapped, scene.grid, bounds).drop("w")
 
 
 @query
@@ -380,7 +380,7 @@ def _forecast(
 ) -> DataFrame:
     keys = ["valid_date", "leadtime"]
     found = stats_of(scene, cells, keys, zones, resolution)
-    due = zonal.filled_slices(cells, scene.windows, scene.grid, keys)
+    due = zonal.filled_slices(cells, scene.windows, scene.sizes, keys)
     rows = zonal.densify(found, due, zones, keys)
     issued = issued_date(F.col("valid_date"), F.col("leadtime"))
     return rounded(rows.withColumn("issued_date", issued))
@@ -388,20 +388,20 @@ def _forecast(
 
 @query
 def zonal_stats_leadtime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_patchy(spark, sf_dir, scene.side)
     return _forecast(scene, cells, scene.level(1), None)
 
 
 @query
 def zonal_stats_band(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_band(spark, sf_dir, scene.side).withColumn(
         "band", tile_source.band_name(F.col("band"))
     )
     keys = ["valid_date", "band"]
     found = stats_of(scene, cells, keys, scene.level(1))
-    due = zonal.filled_slices(cells, scene.windows, scene.grid, keys)
+    due = zonal.filled_slices(cells, scene.windows, scene.sizes, keys)
     rows = zonal.densify(found, due, scene.level(1), keys)
     return rounded(rows, "mean", "median", "sum", "std")
 
@@ -409,16 +409,16 @@ def zonal_stats_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def zonal_stats_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All levels of all countries at once, over the upsampled raster."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     return _forecast(scene, inputs.cells_forecast(spark, sf_dir), scene.in_use, FINE)
 
 
 @query
 def zonal_stats_large_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted statistics by the plan for zones too large for one task."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     mapped = rasterize.zone_map(scene.level(0), scene.windows, scene.grid, FINE)
-    bounds = zonal.Bounds.of(scene.windows, 3, True)
+    bounds = zonal.Bounds.of(scene.sizes, 3, True)
     keys = ["valid_date", *ZONE_KEYS]
     matched = zonal.cells_in_zones(
         inputs.cells_obs(spark, sf_dir), mapped, scene.grid, bounds
@@ -428,7 +428,7 @@ def zonal_stats_large_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stat_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_obs(spark, sf_dir)
     return rounded(
         stats_of(scene, cells, ["valid_date"], scene.zones, None, ("mean", "max", "count"))
@@ -437,7 +437,7 @@ def stat_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unique_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_nan(spark, sf_dir)
     return stats_of(scene, cells, ["valid_date"], scene.zones, FINE, ("count", "unique"))
 
@@ -445,7 +445,7 @@ def unique_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def densify_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier zones, most of them empty in a month, over a raster with missing values."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_nan(spark, sf_dir)
     suppliers = scene.level(2)
     found = stats_of(scene, cells, ["valid_date"], suppliers)
@@ -463,7 +463,7 @@ def _degree_sources(n: int) -> list[metadata.RasterSource]:
 
 @query
 def pixel_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     zones = inputs.in_degrees(scene.zones, scene.side)
     counts = metadata.pixel_counts(zones, _degree_sources(scene.side)[0])
     return rounded(counts, "frac_raw_pixels")
@@ -471,7 +471,7 @@ def pixel_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def polygon_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     zones = inputs.in_degrees(scene.in_use, scene.side).withColumn("name_language", F.lit("EN"))
     made = metadata.polygon_table(zones, _degree_sources(scene.side))
     return rounded(
@@ -709,7 +709,7 @@ def duplicate_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def empty_clip_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier countries against a raster of the lower half of the scene."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     boxes = scene.level(2).withColumn("iso3", F.col("pcode"))
     lower = grids.Grid(0.0, scene.side / 2.0, 1.0, scene.side, scene.side // 2)
     spans = grids.windows(grids.zone_bounds(boxes, "iso3"), lower)
@@ -730,9 +730,9 @@ def upsert_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def compare_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain statistics of the nations against both upsampled forms."""
-    scene = Scene(spark, sf_dir)
+    scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_obs(spark, sf_dir)
-    bounds = zonal.Bounds.of(scene.windows, 3, True)
+    bounds = zonal.Bounds.of(scene.sizes, 3, True)
     stats = ("mean", "median", "min", "max")
     keys = ["valid_date"]
     late = zonal.zonal_stats(cells, _upsampled_first(scene), scene.grid, bounds, keys, stats)
