@@ -40,15 +40,18 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="cellwise-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        if context.applicationId not in _LOCAL_DIRS:
+            _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="cellwise-")
+        base = _LOCAL_DIRS[context.applicationId]
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
