@@ -92,12 +92,15 @@ def windows(bounds: DataFrame, grid: Grid) -> DataFrame:
 @dataclass(frozen=True)
 class Sizes:
     """Proven bounds from the windows alone: source cells in all of them together and in the
-    largest, and the blocks they touch. They decide what is broadcast and how medians are taken.
+    largest, the blocks they touch, and the rows and columns that enclose them all. They decide
+    what is broadcast, how medians are taken and which tiles are read.
     """
 
     cells: int
     largest: int
     blocks: int
+    rows: tuple[int, int]
+    cols: tuple[int, int]
 
 
 def measure(spans: DataFrame) -> Sizes:
@@ -105,9 +108,18 @@ def measure(spans: DataFrame) -> Sizes:
     block_rows = F.expr(f"r_hi div {BLOCK} - r_lo div {BLOCK} + 1")
     block_cols = F.expr(f"c_hi div {BLOCK} - c_lo div {BLOCK} + 1")
     found = spans.agg(
-        F.sum(rows * cols), F.max(rows * cols), F.sum(block_rows * block_cols)
+        F.sum(rows * cols),
+        F.max(rows * cols),
+        F.sum(block_rows * block_cols),
+        F.min("r_lo"),
+        F.max("r_hi"),
+        F.min("c_lo"),
+        F.max("c_hi"),
     ).first()
-    return Sizes(*[int(v or 0) for v in found])
+    if found[0] is None:
+        return Sizes(0, 0, 0, (0, -1), (0, -1))
+    cells, largest, blocks, *enclosing = [int(v) for v in found]
+    return Sizes(cells, largest, blocks, tuple(enclosing[:2]), tuple(enclosing[2:]))
 
 
 def clip(cells: DataFrame, spans: DataFrame, sizes: Sizes, keys: list[str]) -> DataFrame:

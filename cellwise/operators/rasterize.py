@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwise.functions.geometry import ring_edges
-from cellwise.operators.grid import Grid, fine_windows, source_index, zone_bounds
+from cellwise.operators.grid import MAX_WINDOWS, Grid, fine_windows, source_index, zone_bounds
 from cellwise.schema import ZONE_KEYS
-from cellwise.session import partitions
+from cellwise.session import partitions, small
 
 ROW_KEYS = ["iso3", "adm_level", "row"]
 
@@ -67,7 +67,8 @@ def zone_pixels(
     right side inside. Pixels may repeat where zones overlap.
     """
     keys = ["iso3", "adm_level", key]
-    edges = zone_edges(zones, *dict.fromkeys([*keys, "zone_idx"])).join(spans, "iso3")
+    named = dict.fromkeys([*keys, "zone_idx"])
+    edges = zone_edges(zones, *named).join(small(spans, MAX_WINDOWS), "iso3")
     crossings = (
         _with_source_row(_spread_over_rows(edges))
         .filter((F.col("y1") > F.col("yc")) != (F.col("y2") > F.col("yc")))
@@ -75,9 +76,7 @@ def zone_pixels(
     )
     ordered = Window.partitionBy(*ROW_KEYS, "frow", "zone_idx").orderBy("xc")
     runs = (
-        crossings.select(
-            *dict.fromkeys([*keys, "zone_idx"]), "row", "frow", "xc", *WINDOW_COLUMNS
-        )
+        crossings.select(*named, "row", "frow", "xc", *WINDOW_COLUMNS)
         .repartition(partitions(zones.sparkSession), *ROW_KEYS)
         .withColumn("nth", F.row_number().over(ordered))
         .withColumn("until", F.lead("xc").over(ordered))
@@ -188,7 +187,7 @@ def zone_map_upsampled_first(
         zone_pixels(zones, fine)
         .groupBy(*ROW_KEYS, "frow", "fcol", "c_lo", "w", "new_w")
         .agg(F.max("zone_idx").alias("zone_idx"))
-        .join(clip, "iso3")
+        .join(small(clip, MAX_WINDOWS), "iso3")
         .filter("frow BETWEEN fr_lo AND fr_hi AND fcol BETWEEN fc_lo AND fc_hi")
     )
     return _weighed(owned)

@@ -23,7 +23,7 @@ from cellwise.schema import STAT_COLUMNS, ZONE_KEYS
 from cellwise.session import small
 
 LOCAL_CELLS = 2_000_000
-MEDIAN_SPLITS = 256
+MEDIAN_SPLITS = 64
 
 STATISTICS = (*STAT_COLUMNS, "unique")
 
@@ -169,7 +169,7 @@ def split_stats(matched: DataFrame, keys: list[str], stats: Sequence[str]) -> Da
 
 
 def split_median(
-    values: DataFrame, keys: list[str], splits: int = MEDIAN_SPLITS, salts: int = 64
+    values: DataFrame, keys: list[str], splits: int = MEDIAN_SPLITS, salts: int = 16
 ) -> DataFrame:
     """Exact median of weighted values ``(*keys, v, n)``, distinct per group and value.
 
@@ -217,13 +217,15 @@ def split_median(
     )
 
 
-def present_slices(cells: DataFrame, spans: DataFrame, slice_keys: Sequence[str]) -> DataFrame:
+def present_slices(layers: DataFrame, spans: DataFrame, slice_keys: Sequence[str]) -> DataFrame:
     """Every slice that exists, for every country with a window: rows for all of them are due.
 
-    The country codes, at most 26^3 of them, come as one array and are unfolded per slice.
+    ``layers`` is any table with the slice keys; for stored tiles take the tiles themselves, as
+    only their key columns are read. The country codes, at most 26^3 of them, come as one array
+    and are unfolded per slice.
     """
     codes = spans.agg(F.collect_set("iso3").alias("codes")).scalar()
-    slices = cells.select(*slice_keys).distinct().withColumn("codes", codes)
+    slices = layers.select(*slice_keys).distinct().withColumn("codes", codes)
     return slices.select(*slice_keys, F.explode_outer("codes").alias("iso3"))
 
 
@@ -235,11 +237,42 @@ def filled_slices(
     return clip(valued, spans, sizes, ["iso3"]).select("iso3", *slice_keys).distinct()
 
 
+def filled_slices_after(
+    found: DataFrame,
+    present: DataFrame,
+    cells: DataFrame,
+    spans: DataFrame,
+    sizes: Sizes,
+    slice_keys: Sequence[str],
+) -> DataFrame:
+    """The same, once statistics exist: only slices they leave open are looked at again.
+
+    A country with a value in any zone has one in its window. What is left are slices without a
+    value in any zone of a country, as a rule very few, so the cells are not read twice.
+    ``found`` should be a stored table, as it is used on its own elsewhere.
+    """
+    pair = ["iso3", *slice_keys]
+    sure = found.filter("count > 0").select(*pair).distinct()
+    unsure = present.join(sure, pair, "left_anti")
+    again = cells.join(unsure.select(*slice_keys).distinct(), list(slice_keys), "left_semi")
+    late = filled_slices(again, spans, sizes, slice_keys).join(unsure, pair, "left_semi")
+    return sure.unionByName(late)
+
+
 def densify(
-    stats: DataFrame, slices: DataFrame, zones: DataFrame, slice_keys: Sequence[str]
+    stats: DataFrame,
+    slices: DataFrame,
+    zones: DataFrame,
+    slice_keys: Sequence[str],
+    n_zones: int | None = None,
 ) -> DataFrame:
-    """One row per due slice and zone: zones without a cell get sum and count 0, else null."""
-    spine = slices.join(zones.select(*ZONE_KEYS, "pcode"), "iso3")
+    """One row per due slice and zone: zones without a cell get sum and count 0, else null.
+
+    With the number of zones known, their keys are broadcast to the slices if few enough: a
+    country with very many zones is then no hot key.
+    """
+    named = zones.select(*ZONE_KEYS, "pcode")
+    spine = slices.join(named if n_zones is None else small(named, n_zones), "iso3")
     joined = spine.join(stats, [*slice_keys, *ZONE_KEYS], "left")
     zero = [c for c in ("sum", "count", "unique") if c in stats.columns]
     return joined.na.fill(0, zero)

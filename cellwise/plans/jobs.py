@@ -21,7 +21,13 @@ from cellwise.operators.quality import (
     with_duplicate_rule,
 )
 from cellwise.operators.rasterize import zone_map
-from cellwise.operators.zonal import Bounds, densify, filled_slices, present_slices, zonal_stats
+from cellwise.operators.zonal import (
+    Bounds,
+    densify,
+    filled_slices_after,
+    present_slices,
+    zonal_stats,
+)
 from cellwise.plans.metadata import RasterSource, polygon_table
 from cellwise.plans.runs import run_plan
 from cellwise.schema import DatasetSpec, coverage_table, stats_schema
@@ -34,6 +40,8 @@ from cellwise.sources.tiles import (
     grid_of,
     kind_of,
     missing_attributes,
+    tiles_near,
+    tiles_of_dates,
     tiles_to_cells,
     with_valid_date,
 )
@@ -51,6 +59,7 @@ class Layers:
     grid: Grid
     sizes: Sizes
     bounds: Bounds
+    n_zones: int
 
 
 def layers(
@@ -63,35 +72,38 @@ def layers(
     sizes = measure(spans)
     mapped = written(zone_map(wanted, spans, grid, resolution), "zone-map")
     bounds = Bounds.of(sizes, levels=5, weighted=resolution is not None)
-    return Layers(wanted, spans, mapped, grid, sizes, bounds)
+    return Layers(wanted, spans, mapped, grid, sizes, bounds, wanted.count())
+
+
+def dated_tiles(tiles: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """Tiles with their valid date and their extra dimension named; undatable ones are left out."""
+    dated = with_valid_date(tiles, kind_of(spec)).filter("valid_date IS NOT NULL")
+    if "band" in spec.extra_dims:
+        dated = dated.withColumn("band", band_name(F.col("band")))
+    return dated
 
 
-def statistics(cells: DataFrame, fixed: Layers, spec: DatasetSpec, *carried: str) -> DataFrame:
-    """All due rows for the cells: every slice and zone, levels together.
+def statistics(tiles: DataFrame, fixed: Layers, spec: DatasetSpec, *carried: str) -> DataFrame:
+    """All due rows for dated tiles: every slice and zone, levels together.
 
     ``carried`` are further columns that a slice determines, such as its chunk. A slice of a
-    dataset with an extra dimension gives no rows for countries where it holds no value.
+    dataset with an extra dimension gives no rows for countries where it holds no value. Cells
+    are read once; what follows works on the stored statistics.
     """
     keys = [*spec.slice_keys, *carried]
-    found = zonal_stats(cells, fixed.zone_map, fixed.grid, fixed.bounds, keys)
+    cells = tiles_to_cells(tiles_near(tiles, fixed.sizes, fixed.grid), keys, fixed.grid)
+    found = written(
+        zonal_stats(cells, fixed.zone_map, fixed.grid, fixed.bounds, keys), f"{spec.name}-found"
+    )
+    due = present_slices(tiles, fixed.spans, keys)
     if spec.extra_dims:
-        due = filled_slices(cells, fixed.spans, fixed.sizes, keys)
-    else:
-        due = present_slices(cells, fixed.spans, keys)
-    rows = densify(found, due, fixed.zones, keys)
+        due = filled_slices_after(found, due, cells, fixed.spans, fixed.sizes, keys)
+    rows = densify(found, due, fixed.zones, keys, fixed.n_zones)
     if "leadtime" in spec.extra_dims:
         rows = rows.withColumn("issued_date", issued_date(F.col("valid_date"), F.col("leadtime")))
     return rows
 
 
-def cells_of(tiles: DataFrame, spec: DatasetSpec, grid: Grid, *carried: str) -> DataFrame:
-    """Dated cells of a dataset's tiles, with its extra dimension named."""
-    dated = with_valid_date(tiles, kind_of(spec)).filter("valid_date IS NOT NULL")
-    if "band" in spec.extra_dims:
-        dated = dated.withColumn("band", band_name(F.col("band")))
-    return tiles_to_cells(dated, [*spec.slice_keys, *carried], grid)
-
-
 def store(
     rows: DataFrame, spec: DatasetSpec, stats_path: str, qa_path: str, as_of: date
 ) -> DataFrame:
@@ -140,8 +152,7 @@ def run_statistics(
     if report["n_files"] == 0:
         raise ValueError(f"{spec.name}: no file for any of the {report['n_dates']} dates")
 
-    chunks = selected.join(plan.withColumnRenamed("valid_date", "file_date"), "file_date")
-    chosen = mine.join(chunks.select("path", "chunk_id"), "path")
+    chosen = tiles_of_dates(mine, spec.prefix, plan)
 
     codes = list(spec.test_iso3s) if test else None
     covered = of_countries(countries, codes)
@@ -167,7 +178,7 @@ def run_statistics(
         qa_path,
     )
 
-    rows = statistics(cells_of(chosen, spec, grid, "chunk_id"), fixed, spec, "chunk_id")
+    rows = statistics(dated_tiles(chosen, spec), fixed, spec, "chunk_id")
     if strict_empty:
         rows = rows.join(empty.select("iso3").distinct(), "iso3", "left_anti")
     failed = store(rows, spec, stats_path, qa_path, as_of)

@@ -7,9 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from cellwise.functions.dates import date_in_name
 from cellwise.functions.values import number
-from cellwise.operators.grid import Grid
+from cellwise.operators.grid import Grid, Sizes
 from cellwise.schema import TILES, DatasetSpec
 
 # Attributes a tile must carry, by kind of dataset.
@@ -29,12 +31,48 @@ def kind_of(spec: DatasetSpec) -> str:
     return "monthly" if spec.frequency == "M" else "daily"
 
 
+def write_tiles(tiles: DataFrame, path: str) -> None:
+    """Store tiles by dataset and by month of the date in their file name."""
+    dated = tiles.withColumn("file_month", F.trunc(date_in_name(F.col("path")), "MM"))
+    dated.write.mode("append").partitionBy("dataset", "file_month").parquet(path)
+
+
 def read_tiles(spark: SparkSession, path: str, dataset: str | None = None) -> DataFrame:
-    """Tiles below ``path``; with ``dataset`` as a partition column, only its files are read."""
-    tiles = spark.read.schema(TILES).parquet(path)
+    """Tiles below ``path``; with ``dataset``, only its folder is read."""
+    schema = T.StructType([*TILES.fields, T.StructField("file_month", T.DateType())])
+    tiles = spark.read.schema(schema).parquet(path)
     return tiles.filter(F.col("dataset") == dataset) if dataset else tiles
 
 
+def tiles_of_dates(tiles: DataFrame, prefix: str, plan: DataFrame) -> DataFrame:
+    """Tiles under a prefix whose file date is planned, with the plan's other columns.
+
+    A plan is a calendar, some ten thousand rows at most: it is broadcast, and its months become
+    a filter on folders, so that an update does not open the archive.
+    """
+    named = tiles.filter(F.col("path").startswith(prefix)).withColumn(
+        "file_date", date_in_name(F.col("path"))
+    )
+    if "file_month" in tiles.columns:
+        months = plan.select(F.trunc("valid_date", "MM").alias("month")).distinct().collect()
+        unsorted = F.col("file_month").isNull()
+        named = named.filter(F.col("file_month").isin([r.month for r in months]) | unsorted)
+    dates = F.broadcast(plan.withColumnRenamed("valid_date", "file_date"))
+    return named.join(dates, "file_date")
+
+
+def tiles_near(tiles: DataFrame, sizes: Sizes, grid: Grid) -> DataFrame:
+    """Tiles that reach into the rows and columns enclosing all windows; a filter on the scan."""
+    top, bottom = grid.y0 - sizes.rows[0] * grid.res, grid.y0 - (sizes.rows[1] + 1) * grid.res
+    left, right = grid.x0 + sizes.cols[0] * grid.res, grid.x0 + (sizes.cols[1] + 1) * grid.res
+    return tiles.filter(
+        (F.col("x0") < right)
+        & (F.col("y0") > bottom)
+        & (F.col("x0") + F.col("width") * F.col("res") > left)
+        & (F.col("y0") - F.col("height") * F.col("res") < top)
+    )
+
+
 def with_valid_date(tiles: DataFrame, kind: str) -> DataFrame:
     """Add ``valid_date`` from the attributes and ``missing``, the attributes a tile lacks.
 

@@ -7,11 +7,11 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from cellwise.operators.grid import Grid
+from cellwise.operators.grid import Grid, Sizes
 from cellwise.plans import jobs, metadata
 from cellwise.schema import DATASETS, TILES
 from cellwise.session import shared_dir
-from cellwise.sources.tiles import read_tiles
+from cellwise.sources.tiles import read_tiles, tiles_near, tiles_of_dates, write_tiles
 from cellwise.streaming import updates
 from tests.scenes import box, counting, tile, zone, zones
 
@@ -47,7 +47,7 @@ def months(spec, n, first=2024, **changed):
 
 def stored(spark, made, tmp_path, name="tiles"):
     path = str(tmp_path / name)
-    spark.createDataFrame(made, TILES).write.partitionBy("dataset").parquet(path)
+    write_tiles(spark.createDataFrame(made, TILES), path)
     return read_tiles(spark, path)
 
 
@@ -163,8 +163,8 @@ def test_stream_handles_each_file_once(spark, world, tmp_path, rows):
     folder, store, log, state = (str(tmp_path / n) for n in ("in", "out", "qa", "state"))
 
     def handle(batch):
-        cells = jobs.cells_of(batch.withColumn("chunk_id", F.lit(0)), spec, GRID, "chunk_id")
-        jobs.store(jobs.statistics(cells, fixed, spec, "chunk_id"), spec, store, log, AS_OF)
+        tiles = jobs.dated_tiles(batch.withColumn("chunk_id", F.lit(0)), spec)
+        jobs.store(jobs.statistics(tiles, fixed, spec, "chunk_id"), spec, store, log, AS_OF)
 
     for month in (1, 2):
         made = months(spec, 2)[month - 1 : month]
@@ -176,6 +176,25 @@ def test_stream_handles_each_file_once(spark, world, tmp_path, rows):
         assert found.count() == 5 * month
 
 
+def test_only_planned_months_and_near_tiles_are_read(spark, tmp_path):
+    spec = DATASETS["era5"]
+    tiles = stored(spark, months(spec, 5), tmp_path).filter("dataset = 'era5'")
+    plan = spark.createDataFrame([(date(2024, 2, 1), 0)], "valid_date date, chunk_id int")
+    chosen = tiles_of_dates(tiles, spec.prefix, plan)
+    assert [r.month_valid for r in chosen.collect()] == [2]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    text = chosen._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "file_month#" in text.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    quarters = [
+        tile("era5", f"q{x}{y}", date(2024, 1, 1), Grid(float(x), float(y), 1.0, 5, 5), counting(0, 5, 5))
+        for x in (0, 5) for y in (5, 10)
+    ]
+    sizes = Sizes(0, 0, 0, (5, 7), (2, 4))
+    near = tiles_near(spark.createDataFrame(quarters, TILES), sizes, GRID)
+    assert [r.path for r in near.collect()] == ["q05"]
+
+
 def test_metadata_job(spark, world, tmp_path, rows):
     layer, _ = world
     named = layer.withColumn("name_language", F.lit("EN"))

@@ -228,6 +228,7 @@ class Scene:
         self.in_use = down_to_deepest(self.zones, countries(spark, sf_dir))
         self.windows = written(country_windows(self.zones, self.grid), "windows")
         self.sizes = measure(self.windows)
+        self.n_zones = self.zones.count()
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Scene:

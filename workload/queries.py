@@ -63,7 +63,7 @@ def observed(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -
     nations = scene.level(1)
     found = stats_of(scene, cells, ["valid_date"], nations)
     due = zonal.present_slices(cells, scene.windows, ["valid_date"])
-    return rounded(zonal.densify(found, due, nations, ["valid_date"]))
+    return rounded(zonal.densify(found, due, nations, ["valid_date"], scene.n_zones))
 
 
 # Sources
@@ -381,7 +381,7 @@ def _forecast(
     keys = ["valid_date", "leadtime"]
     found = stats_of(scene, cells, keys, zones, resolution)
     due = zonal.filled_slices(cells, scene.windows, scene.sizes, keys)
-    rows = zonal.densify(found, due, zones, keys)
+    rows = zonal.densify(found, due, zones, keys, scene.n_zones)
     issued = issued_date(F.col("valid_date"), F.col("leadtime"))
     return rounded(rows.withColumn("issued_date", issued))
 
@@ -402,7 +402,7 @@ def zonal_stats_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["valid_date", "band"]
     found = stats_of(scene, cells, keys, scene.level(1))
     due = zonal.filled_slices(cells, scene.windows, scene.sizes, keys)
-    rows = zonal.densify(found, due, scene.level(1), keys)
+    rows = zonal.densify(found, due, scene.level(1), keys, scene.n_zones)
     return rounded(rows, "mean", "median", "sum", "std")
 
 
@@ -450,7 +450,7 @@ def densify_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = scene.level(2)
     found = stats_of(scene, cells, ["valid_date"], suppliers)
     due = zonal.present_slices(cells, scene.windows, ["valid_date"])
-    return rounded(zonal.densify(found, due, suppliers, ["valid_date"]))
+    return rounded(zonal.densify(found, due, suppliers, ["valid_date"], scene.n_zones))
 
 
 def _degree_sources(n: int) -> list[metadata.RasterSource]:
@@ -767,9 +767,10 @@ def stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     arriving = spark.readStream.schema(schema).parquet(f"{sf_dir}/embeddings*.parquet")
 
     def handle(batch: DataFrame) -> None:
-        tiles = inputs.tiles_from(batch).withColumn("date_valid", F.dayofmonth("day"))
-        cells = jobs.cells_of(tiles.withColumn("chunk_id", F.lit(0)), STREAM_SPEC, grid, "chunk_id")
-        rows = jobs.statistics(cells, fixed, STREAM_SPEC, "chunk_id")
+        tiles = jobs.dated_tiles(inputs.tiles_from(batch), STREAM_SPEC)
+        rows = jobs.statistics(
+            tiles.withColumn("chunk_id", F.lit(0)), fixed, STREAM_SPEC, "chunk_id"
+        )
         jobs.store(rows, STREAM_SPEC, store, log, date(2100, 1, 1))
 
     updates.keep_updated(arriving, handle, shared_dir(spark, "stream-state")).awaitTermination()
