@@ -20,10 +20,11 @@ from pyspark.sql import functions as F
 from cellwise.functions.values import number
 from cellwise.operators.grid import Grid, Sizes, clip
 from cellwise.schema import STAT_COLUMNS, ZONE_KEYS
-from cellwise.session import small
+from cellwise.session import small, written
 
 LOCAL_CELLS = 2_000_000
 MEDIAN_SPLITS = 64
+SALTS = 16
 
 STATISTICS = (*STAT_COLUMNS, "unique")
 
@@ -130,72 +131,69 @@ def _by_rank(matched: DataFrame, keys: list[str], stats: Sequence[str]) -> DataF
 def split_stats(matched: DataFrame, keys: list[str], stats: Sequence[str]) -> DataFrame:
     """The same statistics for groups of any size; no task holds a whole group.
 
-    Means and deviations merge: cells of equal weight first (one group per distinct weight, with
-    Spark's own stable partial sums), then the few weights of a group.
+    Cells are first reduced to one row per group and value, spread by both, and stored. Two
+    rounds of partial aggregates over that table give everything but the median: the first the
+    sums, ranges and cut points, the second the deviations from the mean.
     """
-    v, w = F.col("v"), F.col("w")
-    by_weight = matched.groupBy(*keys, "w").agg(
-        F.count(v).alias("n"),
-        F.avg(v).alias("mean_w"),
-        F.var_pop(v).alias("var_w"),
-        F.min(v).alias("min_w"),
-        F.max(v).alias("max_w"),
-        F.sum(v).alias("sum_w"),
+    values = written(
+        matched.groupBy(*keys, "v").agg(F.sum("w").alias("n")), "values"
     )
-    parts = by_weight.groupBy(*keys).agg(
-        F.sum(w * F.col("n")).alias("count"),
-        F.min("min_w").alias("min"),
-        F.max("max_w").alias("max"),
-        F.sum(w * F.col("sum_w")).alias("sum"),
-        # One entry per distinct weight of the group, at most the pixels of one cell.
-        F.collect_list(F.struct((w * F.col("n")).alias("p"), "mean_w", "var_w")).alias("parts"),
+    heads = values.groupBy(*keys).agg(
+        F.sum("n").alias("count"),
+        F.sum(F.col("v") * F.col("n")).alias("sum"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
+        F.count(F.lit(1)).alias("unique"),
+        _cut_points(MEDIAN_SPLITS).alias("cuts"),
     )
     mean = F.greatest(F.least(F.col("sum") / F.col("count"), F.col("max")), F.col("min"))
-    squares = F.aggregate(
-        "parts",
-        F.lit(0.0),
-        lambda acc, e: acc
-        + e["p"] * (e["var_w"] + (e["mean_w"] - F.col("mean")) * (e["mean_w"] - F.col("mean"))),
-    )
-    result = parts.withColumn("mean", mean).withColumn("std", F.sqrt(squares / F.col("count")))
-    if {"median", "unique"} & set(stats):
-        values = matched.groupBy(*keys, "v").agg(F.sum("w").alias("n"))
-        if "median" in stats:
-            result = result.join(split_median(values, keys), keys)
-        if "unique" in stats:
-            distinct = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("unique"))
-            result = result.join(distinct, keys)
+    heads = written(heads.withColumn("mean", mean), "heads")
+    placed = _placed(values, heads.select(*keys, "cuts", "mean"), keys)
+    off = F.col("v") - F.col("mean")
+    spread = placed.groupBy(*keys).agg(F.sum(F.col("n") * off * off).alias("squares"))
+    result = heads.join(spread, keys).withColumn("std", F.sqrt(F.col("squares") / F.col("count")))
+    if "median" in stats:
+        result = result.join(_middle(placed, keys), keys)
     return result.select(*keys, *stats)
 
 
-def split_median(
-    values: DataFrame, keys: list[str], splits: int = MEDIAN_SPLITS, salts: int = 16
-) -> DataFrame:
+def split_median(values: DataFrame, keys: list[str], splits: int = MEDIAN_SPLITS) -> DataFrame:
     """Exact median of weighted values ``(*keys, v, n)``, distinct per group and value.
 
     Cut points from a quantile sketch divide each group into ``splits`` buckets of about equal
     size. Bucket totals, a short running sum per group, tell which bucket holds the middle
     ranks; only that bucket is sorted. The sketch steers the work, it does not touch the result.
     """
-    shares = [i / splits for i in range(1, splits)]
-    cuts = values.groupBy(*keys).agg(
-        F.percentile_approx("v", F.array(*[F.lit(s) for s in shares]), F.lit(splits * 40)).alias(
-            "cuts"
-        )
-    )
-    # The cut points of a hot group are sent to each of its salts, so its values stay spread.
-    salted = values.withColumn("salt", F.pmod(F.hash("v"), F.lit(salts)))
-    copies = cuts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    placed = (
+    cuts = values.groupBy(*keys).agg(_cut_points(splits).alias("cuts"))
+    return _middle(_placed(values, cuts, keys), keys)
+
+
+def _cut_points(splits: int) -> Column:
+    shares = F.array(*[F.lit(i / splits) for i in range(1, splits)])
+    return F.percentile_approx("v", shares, F.lit(splits * 40))
+
+
+def _placed(values: DataFrame, heads: DataFrame, keys: list[str]) -> DataFrame:
+    """Values with their bucket and whatever else ``heads(*keys, cuts, ...)`` says of the group.
+
+    A group's head is sent to each of its salts, so the values of a hot group stay spread.
+    """
+    salted = values.withColumn("salt", F.pmod(F.hash("v"), F.lit(SALTS)))
+    copies = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (
         salted.join(copies, [*keys, "salt"])
         .withColumn("bucket", F.size(F.filter("cuts", lambda c: c < F.col("v"))))
-        .select(*keys, "bucket", "v", "n")
+        .drop("salt", "cuts")
     )
+
+
+def _middle(placed: DataFrame, keys: list[str]) -> DataFrame:
+    """Median from placed values: running bucket totals, then a sort of the middle bucket."""
     totals = placed.groupBy(*keys, "bucket").agg(F.sum("n").alias("held"))
-    running = Window.partitionBy(*keys).orderBy("bucket")
+    group = Window.partitionBy(*keys)
     ranked = (
-        totals.withColumn("upto", F.sum("held").over(running))
-        .withColumn("total", F.sum("held").over(Window.partitionBy(*keys)))
+        totals.withColumn("upto", F.sum("held").over(group.orderBy("bucket")))
+        .withColumn("total", F.sum("held").over(group))
         .withColumn("low_rank", F.expr("(total + 1) div 2"))
         .withColumn("high_rank", F.expr("(total + 2) div 2"))
         .withColumn("before", F.col("upto") - F.col("held"))
@@ -208,13 +206,8 @@ def split_median(
         .withColumn("last", F.col("before") + F.sum("n").over(inner))
         .withColumn("first", F.col("last") - F.col("n") + 1)
     )
-    return (
-        middle.filter(
-            "low_rank BETWEEN first AND last OR high_rank BETWEEN first AND last"
-        )
-        .groupBy(*keys)
-        .agg(((F.min("v") + F.max("v")) / 2).alias("median"))
-    )
+    held = "low_rank BETWEEN first AND last OR high_rank BETWEEN first AND last"
+    return middle.filter(held).groupBy(*keys).agg(((F.min("v") + F.max("v")) / 2).alias("median"))
 
 
 def present_slices(layers: DataFrame, spans: DataFrame, slice_keys: Sequence[str]) -> DataFrame:

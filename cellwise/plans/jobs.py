@@ -68,6 +68,7 @@ def layers(
     """Rasterise the zones of the given countries, each down to its deepest level."""
     deepest = countries.select("iso3", "max_adm_level")
     wanted = zones.join(deepest, "iso3").filter("adm_level <= max_adm_level").drop("max_adm_level")
+    wanted = written(wanted, "zones")
     spans = written(country_windows(wanted, grid), "windows")
     sizes = measure(spans)
     mapped = written(zone_map(wanted, spans, grid, resolution), "zone-map")

@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from cellwise.operators.grid import Grid, country_windows, measure
 from cellwise.schema import RINGS
-from cellwise.session import shared_dir, written
-from cellwise.sources.tables import read_zones, write_zones
+from cellwise.session import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -222,9 +221,7 @@ class Scene:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.side = side(spark, sf_dir)
         self.grid = grid_of_side(self.side)
-        path = shared_dir(spark, "zones")
-        write_zones(zones(spark, sf_dir, self.side), path)
-        self.zones = read_zones(spark, path)
+        self.zones = written(zones(spark, sf_dir, self.side), "zones")
         self.in_use = down_to_deepest(self.zones, countries(spark, sf_dir))
         self.windows = written(country_windows(self.zones, self.grid), "windows")
         self.sizes = measure(self.windows)
