@@ -21,6 +21,7 @@ from cellwise.operators.quality import (
     with_duplicate_rule,
 )
 from cellwise.operators.rasterize import zone_map
+from cellwise.operators.simplify import simplify_zones
 from cellwise.operators.zonal import (
     Bounds,
     densify,
@@ -63,15 +64,24 @@ class Layers:
 
 
 def layers(
-    zones: DataFrame, countries: DataFrame, grid: Grid, resolution: float | None
+    zones: DataFrame,
+    countries: DataFrame,
+    grid: Grid,
+    resolution: float | None,
+    tolerance: float | None = None,
 ) -> Layers:
-    """Rasterise the zones of the given countries, each down to its deepest level."""
+    """Rasterise the zones of the given countries, each down to its deepest level.
+
+    With a tolerance, zones are simplified before they are rasterised; clip windows are those of
+    the zones as they came.
+    """
     deepest = countries.select("iso3", "max_adm_level")
     wanted = zones.join(deepest, "iso3").filter("adm_level <= max_adm_level").drop("max_adm_level")
     wanted = written(wanted, "zones")
     spans = written(country_windows(wanted, grid), "windows")
     sizes = measure(spans)
-    mapped = written(zone_map(wanted, spans, grid, resolution), "zone-map")
+    drawn = wanted if tolerance is None else simplify_zones(wanted, tolerance)
+    mapped = written(zone_map(drawn, spans, grid, resolution), "zone-map")
     bounds = Bounds.of(sizes, levels=5, weighted=resolution is not None)
     return Layers(wanted, spans, mapped, grid, sizes, bounds, wanted.count())
 
@@ -135,6 +145,7 @@ def run_statistics(
     backfill: bool = False,
     test: bool = False,
     resolution: float | None = RESOLUTION,
+    tolerance: float | None = None,
     strict_empty: bool = False,
 ) -> dict[str, object]:
     """Compute and store a dataset's statistics; returns counts for the run's report.
@@ -160,24 +171,16 @@ def run_statistics(
     if spec.coverage is not None:
         covered = with_coverage(covered, coverage_table(spark, [spec]), spec.name)
     grid = grid_of(mine)
-    fixed = layers(zones, covered, grid, resolution)
+    fixed = layers(zones, covered, grid, resolution, tolerance)
 
-    beyond = outside_grid(covered, fixed.spans)
     empty = _without_pixels(fixed)
-    append_qa(qa_rows(beyond, spec.name), qa_path)
-    append_qa(qa_rows(empty, spec.name), qa_path)
-    undated = missing_attributes(with_valid_date(chosen, kind_of(spec)))
-    append_qa(
-        qa_rows(
-            undated.selectExpr(
-                "CAST(NULL AS STRING) AS iso3",
-                "CAST(NULL AS INT) AS adm_level",
-                "concat(path, ': lacks ', missing) AS rule",
-            ),
-            spec.name,
-        ),
-        qa_path,
+    undated = missing_attributes(with_valid_date(chosen, kind_of(spec))).selectExpr(
+        "CAST(NULL AS STRING) AS iso3",
+        "CAST(NULL AS INT) AS adm_level",
+        "concat(path, ': lacks ', missing) AS rule",
     )
+    troubles = outside_grid(covered, fixed.spans).unionByName(empty).unionByName(undated)
+    append_qa(qa_rows(troubles, spec.name), qa_path)
 
     rows = statistics(dated_tiles(chosen, spec), fixed, spec, "chunk_id")
     if strict_empty:

@@ -16,14 +16,16 @@ BROADCAST_ROWS = 4_000_000
 BROADCAST_SETTING = "spark.cellwise.broadcastRows"
 
 
-def local_session(app: str, cores: str = "8", memory: str = "12g") -> SparkSession:
+def local_session(
+    app: str, cores: str = "8", memory: str = "12g", shuffle: str = "8"
+) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own settings."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", shuffle)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()

@@ -74,8 +74,8 @@ def append_qa(rows: DataFrame, path: str) -> None:
 
 
 def write_iso3(table: DataFrame, path: str) -> None:
-    """Replace the country table."""
-    table.write.mode("overwrite").parquet(path)
+    """Replace the country table, in order of its codes."""
+    table.orderBy("iso3").write.mode("overwrite").parquet(path)
 
 
 def write_lookup(table: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ from cellwise.session import local_session
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", memory="8g")
+    session = local_session("tests", memory="8g", shuffle="4")
     yield session
     session.stop()
 

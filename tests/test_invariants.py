@@ -201,3 +201,23 @@ def test_rasterising_takes_one_shuffle(layer, spans):
     plan = zone_map(layer, spans, GRID, 0.4)._jdf.queryExecution().executedPlan().toString()
     by_row = [line for line in plan.splitlines() if "Exchange hashpartitioning(iso3" in line and "row" in line]
     assert len(by_row) == 1
+
+
+def test_statistics_take_one_shuffle_and_one_sort(layer, spans, cells):
+    mapped = zone_map(layer, spans, GRID, 0.4)
+    bounds = Bounds.of(measure(spans), 2, True)
+    found = zonal_stats(cells, mapped, GRID, bounds, ["valid_date"])
+    lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin [cell" in line)
+    above = [line.strip(" :+-") for line in lines[:join]]
+    assert sum(line.startswith("Exchange") for line in above) == 1
+    assert sum(line.startswith("Sort [") for line in above) == 1
+
+
+def test_merging_statistics_are_reduced_before_the_shuffle(layer, spans, cells):
+    mapped = zone_map(layer, spans, GRID, 0.4)
+    bounds = Bounds.of(measure(spans), 2, True)
+    found = zonal_stats(cells, mapped, GRID, bounds, ["valid_date"], ("mean", "max", "count"))
+    plan = found._jdf.queryExecution().executedPlan().toString().split("BroadcastHashJoin [cell")[0]
+    assert "partial_max" in plan.split("Exchange hashpartitioning")[1]
+    assert "Window" not in plan

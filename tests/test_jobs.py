@@ -150,6 +150,18 @@ def test_countries_without_pixels(spark, tmp_path, rows):
         assert ("AAA", 0, "no_pixels") in rows(spark.read.parquet(str(out / "q")), "iso3", "adm_level", "stack_trace")
 
 
+def test_simplified_zones(spark, tmp_path):
+    """A bump lower than the tolerance takes its pixel with it; the window stays."""
+    bump = [(1.8, 2.4), (1.5, 2.7), (1.2, 2.4)]
+    ring = [(0.2, 0.2), (4.8, 0.2), (4.8, 2.4), *bump, (0.2, 2.4)]
+    layer = zones(spark, zone("AAA", 0, 0, "A", ring))
+    countries = spark.createDataFrame([("AAA", 0)], "iso3 string, max_adm_level int")
+    plain = jobs.layers(layer, countries, GRID, None)
+    thin = jobs.layers(layer, countries, GRID, None, tolerance=0.35)
+    assert (plain.zone_map.count(), thin.zone_map.count()) == (11, 10)
+    assert plain.spans.first().r_lo == thin.spans.first().r_lo == 7
+
+
 def test_test_run_takes_its_countries(spark, world, tmp_path, rows):
     tiles = stored(spark, months(DATASETS["era5"], 1), tmp_path)
     _, stats, _ = run(spark, DATASETS["era5"], tiles, world, tmp_path, test=True)
