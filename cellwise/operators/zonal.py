@@ -4,9 +4,10 @@ A slice is one raster layer: a date, or a date and a leadtime or band. A group i
 one zone, so it never holds more rows than the zone has source cells. That bound is known from
 the clip windows before anything runs, and it picks the plan:
 
-* zones up to ``LOCAL_CELLS`` cells: one exchange and one sort by value;
-* larger ones: mergeable moments, and medians by ``split_median``, which spreads a group;
-* statistics that merge (no median asked for): partial aggregates, whatever the size.
+* statistics that merge (no median asked for): partial aggregates, whatever the size;
+* windows up to ``LOCAL_CELLS`` cells: one exchange and one sort by value;
+* beyond that, zones are counted: large ones go to ``split_stats``, which spreads a group over
+  tasks, and only they do.
 """
 
 from __future__ import annotations
@@ -69,16 +70,32 @@ def zonal_stats(
     if unknown:
         raise ValueError(f"unknown statistics {unknown}; choose from {list(STATISTICS)}")
     keys = [*slice_keys, *ZONE_KEYS]
-    matched = (
-        cells_in_zones(cells, zone_map, grid, bounds)
-        .select(*keys, number(F.col("value")).alias("v"), "w")
-        .filter("v IS NOT NULL")
-    )
-    if bounds.zone_cells > LOCAL_CELLS:
-        return split_stats(matched, keys, stats)
-    if "median" in stats or (bounds.weighted and "std" in stats):
-        return _by_rank(matched, keys, stats)
-    return matched.groupBy(*keys).agg(*[_merged(s).alias(s) for s in stats])
+
+    def matched(part: DataFrame) -> DataFrame:
+        return (
+            cells_in_zones(cells, part, grid, bounds)
+            .select(*keys, number(F.col("value")).alias("v"), "w")
+            .filter("v IS NOT NULL")
+        )
+
+    if "median" not in stats and not (bounds.weighted and "std" in stats):
+        return matched(zone_map).groupBy(*keys).agg(*[_merged(s).alias(s) for s in stats])
+    if bounds.zone_cells <= LOCAL_CELLS:
+        return _by_rank(matched(zone_map), keys, stats)
+    large = written(_large_zones(zone_map), "large-zones")
+    n_large = large.count()
+    if n_large == 0:
+        return _by_rank(matched(zone_map), keys, stats)
+    named = small(large, n_large)
+    rest = matched(zone_map.join(named, ZONE_KEYS, "left_anti"))
+    split = matched(zone_map.join(named, ZONE_KEYS, "left_semi"))
+    return _by_rank(rest, keys, stats).unionByName(split_stats(split, keys, stats))
+
+
+def _large_zones(zone_map: DataFrame) -> DataFrame:
+    """Zones with more cells than one task should sort; the zone map counts them exactly."""
+    held = zone_map.groupBy(*ZONE_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return held.filter(F.col("n") > LOCAL_CELLS).drop("n")
 
 
 def _merged(stat: str) -> Column:

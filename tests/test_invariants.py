@@ -128,8 +128,11 @@ def test_large_zone_plan_equals_local_plan(layer, spans, cells, rows, monkeypatc
         )
 
     local = compute()
-    monkeypatch.setattr(zonal, "LOCAL_CELLS", 0)
-    assert compute() == local
+    for limit in (0, 60):
+        monkeypatch.setattr(zonal, "LOCAL_CELLS", limit)
+        large = zonal._large_zones(mapped).count()
+        assert large == mapped.select(*ZONE_KEYS).distinct().count() if limit == 0 else 0 < large < 8
+        assert compute() == local
 
 
 @pytest.mark.parametrize("shape", ["spread", "outliers", "one_value", "two_values"])
