@@ -30,10 +30,16 @@ from cellwise.operators.zonal import (
     zonal_stats,
 )
 from cellwise.plans.metadata import RasterSource, polygon_table
-from cellwise.plans.runs import run_plan
+from cellwise.plans.runs import run_plan, run_summary
 from cellwise.schema import DatasetSpec, coverage_table, stats_schema
 from cellwise.session import written
-from cellwise.sources.catalog import file_catalog, latest_date, select_files, selection_report
+from cellwise.sources.catalog import (
+    file_catalog,
+    latest_date,
+    select_files,
+    selection_report,
+    undated_files,
+)
 from cellwise.sources.sinks import append_qa, write_iso3, write_polygons, write_stats
 from cellwise.sources.tables import of_countries
 from cellwise.sources.tiles import (
@@ -155,12 +161,21 @@ def run_statistics(
     chunk of dates, and leaves a row in the error log instead of statistics.
     """
     mine = tiles.filter(F.col("dataset") == spec.name)
-    catalog = file_catalog(mine.select("path").distinct())
+    paths = mine.select("path").distinct()
+    catalog = file_catalog(paths)
     stored = _stored(spark, spec, stats_path) if backfill else None
     newest = latest_date(catalog, spec.prefix) if update else None
-    plan = run_plan(spark, spec, as_of, stored, newest, backfill, test)
+    # Stored, as it follows from the table that this run changes.
+    plan = written(run_plan(spark, spec, as_of, stored, newest, backfill), f"{spec.name}-plan")
     selected = select_files(catalog, spec.prefix, plan)
-    report = selection_report(selected, plan).first().asDict()
+    mode = "test" if test else "full"
+    report = {
+        **run_summary(plan, spec.name, mode, iso3s=",".join(spec.test_iso3s) if test else "")
+        .first()
+        .asDict(),
+        **selection_report(selected, plan).first().asDict(),
+        "n_undated": undated_files(paths).count(),
+    }
     if report["n_files"] == 0:
         raise ValueError(f"{spec.name}: no file for any of the {report['n_dates']} dates")
 

@@ -60,7 +60,6 @@ def run_plan(
     stats: DataFrame | None = None,
     latest: DataFrame | None = None,
     backfill: bool = False,
-    test: bool = False,
 ) -> DataFrame:
     """Dates of a run with their chunks: the archive, or the latest file's date (``latest``),
     and with ``backfill`` also what the statistics table lacks."""

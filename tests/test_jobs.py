@@ -65,7 +65,8 @@ def test_archive_update_and_backfill(spark, world, tmp_path, rows):
     tiles = stored(spark, months(spec, 4), tmp_path)
     part = tiles.filter("month_valid IN (1, 3)")
     report, stats, qa = run(spark, spec, part, world, tmp_path)
-    assert (report["n_files"], report["n_failed"]) == (2, 0)
+    assert (report["n_files"], report["n_failed"], report["n_undated"]) == (2, 0, 0)
+    assert (report["n_chunks"], report["last_date"]) == (6, date(2024, 5, 1))
     assert stats.count() == 2 * 5
     assert rows(qa.distinct(), "iso3", "adm_level", "stack_trace") == [("XXX", None, "no_cells_in_bounds")]
 
