@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +14,7 @@ from cellwise.operators import areas, grid as grids, merge, quality, rasterize,
 from cellwise.plans import jobs, metadata, runs
 from cellwise.schema import STAT_COLUMNS, ZONE_KEYS, DatasetSpec
 from cellwise.session import shared_dir
-from cellwise.sources import catalog, sinks, tables, tiles as tile_source
+from cellwise.sources import catalog, tables, tiles as tile_source
 from cellwise.streaming import updates
 from workload import inputs
 from workload.inputs import Scene, table
