@@ -3,7 +3,6 @@ and where intermediate tables go."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 # row broadcast here (a zone-map row) takes about 64 bytes, so the bound is ~256 MB. A cluster
 # with smaller executors lowers it with this setting.
 BROADCAST_ROWS = 4_000_000
+SHARED_SETTING = "spark.checkpoint.dir"
 BROADCAST_SETTING = "spark.cellwise.broadcastRows"
 
 
@@ -35,23 +35,29 @@ def local_session(
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the cluster's checkpoint folder.
+    """A fresh path below the folder that all executors share, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session, where every task
-    sees the same disk, may fall back on a temporary folder of this machine.
+    Only a local session may leave that unset; it then gets a folder beside its tables.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get(SHARED_SETTING, None)
     if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        if context.applicationId not in _LOCAL_DIRS:
-            _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="cellwise-")
-        base = _LOCAL_DIRS[context.applicationId]
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError(f"set {SHARED_SETTING} to a folder all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
+        spark.conf.set(SHARED_SETTING, base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-_LOCAL_DIRS: dict[str, str] = {}
+def removed(df: DataFrame) -> None:
+    """Delete a table that ``written`` made and nobody reads any more."""
+    spark = df.sparkSession
+    base = spark.conf.get(SHARED_SETTING)
+    context = spark.sparkContext
+    files = context._jvm.org.apache.hadoop.fs
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if base.removeprefix("file:").strip("/") in name:
+            path = files.Path(name)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
