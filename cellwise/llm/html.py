@@ -236,6 +236,8 @@ def fit(pages: DataFrame, html_col: str = "html", sample_key: Column | None = No
                 for p in parse(page):
                     counts[p.inside][p.kind] += p.words or 1
         for inside, found in counts.items():
+            if not found:
+                continue
             yield pd.DataFrame({"inside": inside, "kind": list(found), "n": list(found.values())})
 
     rows = (

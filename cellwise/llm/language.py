@@ -201,6 +201,8 @@ def fit(
                     scripts += np.bincount(words.script, weights=words.letters, minlength=len(SCRIPT_NAMES)).astype(np.int64)
                 for kind, values in (("gram", grams), ("script", scripts)):
                     at = np.flatnonzero(values)
+                    if not len(at):
+                        continue
                     yield pd.DataFrame({"lang": name, "kind": kind, "at": at, "n": values[at]})
 
     counts = (

@@ -300,9 +300,9 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     """
     rest = [c for c in docs.columns if c not in (id_col, text, "n_words", "n_removed", "repeats_of")]
     texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
-    spans = written(repeated_spans(texts), "spans").select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), "spans")
+    spans = written(repeated_spans(texts), "spans").select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     # A span has about 20 bytes; a document has as many as it has repeated paragraphs.
-    n_spans = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
+    n_spans = spans.agg(F.sum(F.size("_spans"))).first()[0] or 0
     same = F.col(id_col).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_row"))
     joined = docs.select(id_col, text, *rest).join(small(spans, n_spans), same, "left")
 
@@ -322,7 +322,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
                 firsts.append(sorted({x for r in runs for x in r[2]}))
             yield pd.DataFrame({"text": new, "n_words": words, "n_removed": gone, "repeats_of": firsts})
 
-    done = joined.select(id_col, *rest, F.pandas_udf(cut, out_type)(F.col(text), F.col("spans")).alias("_cut"))
+    done = joined.select(id_col, *rest, F.pandas_udf(cut, out_type)(F.col(text), F.col("_spans")).alias("_cut"))
     return done.select(*[F.col("_cut.text").alias(text) if c == text else F.col(c) for c in docs.columns if c not in ("n_words", "n_removed", "repeats_of")], "_cut.n_words", "_cut.n_removed", "_cut.repeats_of")
 
 

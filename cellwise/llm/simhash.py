@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.llm.components import components
-from cellwise.session import written
+from cellwise.session import small, written
 
 BITS = 64
 SEED = 42
@@ -236,7 +236,15 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id."""
+    """``docs`` with one document of each component: the one with the smallest id.
+
+    Of several rows with that id, the one with the least text stays (null counts as empty).
+    Components of null ids only keep one such row.
+    """
     first = near_duplicates(docs, id_col, text).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    ids = written(first.select(F.col(id_col).alias("_kept")).distinct(), "kept")
-    return docs.join(ids, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    ids = written(first.groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("_rows")), "kept")
+    kept = docs.join(small(ids, ids.count()), F.col(id_col).eqNullSafe(F.col("_kept")))
+    columns = docs.columns
+    least = F.min_by(F.struct(*columns), F.coalesce(F.col(text), F.lit("")))
+    several = kept.filter("_rows > 1").groupBy("_kept").agg(least.alias("_one")).select("_one.*")
+    return kept.filter("_rows = 1").select(*columns).union(several)
