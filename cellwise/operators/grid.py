@@ -19,7 +19,7 @@ RESOLUTION = 0.05
 # Side of the square blocks of cells used as join keys for rectangle tests.
 BLOCK = 64
 
-# Windows are per country, and a country code has three letters.
+# Windows are per country, and a country code has three letters; ``measure`` checks it.
 MAX_WINDOWS = 26**3
 
 
@@ -91,7 +91,7 @@ def windows(bounds: DataFrame, grid: Grid) -> DataFrame:
 
 @dataclass(frozen=True)
 class Sizes:
-    """Proven bounds from the windows alone: source cells in all of them together and in the
+    """Bounds from the windows alone: source cells in all of them together and in the
     largest, the blocks they touch, and the rows and columns that enclose them all. They decide
     what is broadcast, how medians are taken and which tiles are read.
     """
@@ -108,6 +108,7 @@ def measure(spans: DataFrame) -> Sizes:
     block_rows = F.expr(f"r_hi div {BLOCK} - r_lo div {BLOCK} + 1")
     block_cols = F.expr(f"c_hi div {BLOCK} - c_lo div {BLOCK} + 1")
     found = spans.agg(
+        F.count(F.lit(1)),
         F.sum(rows * cols),
         F.max(rows * cols),
         F.sum(block_rows * block_cols),
@@ -116,9 +117,11 @@ def measure(spans: DataFrame) -> Sizes:
         F.min("c_lo"),
         F.max("c_hi"),
     ).first()
-    if found[0] is None:
+    if found[0] == 0:
         return Sizes(0, 0, 0, (0, -1), (0, -1))
-    cells, largest, blocks, *enclosing = [int(v) for v in found]
+    n_windows, cells, largest, blocks, *enclosing = [int(v) for v in found]
+    if n_windows > MAX_WINDOWS:
+        raise ValueError(f"{n_windows} windows; there are at most {MAX_WINDOWS} country codes")
     return Sizes(cells, largest, blocks, tuple(enclosing[:2]), tuple(enclosing[2:]))
 
 

@@ -53,7 +53,10 @@ def duplicate_keys(stats: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def with_duplicate_rule(validated: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Add ``duplicate_key`` to the violations of rows whose key is not unique in the batch."""
+    """Add ``duplicate_key`` to the violations of rows whose key is not unique in the batch.
+
+    Nulls in a key are equal. ``validated`` is used twice: it should be a stored table.
+    """
     twice = duplicate_keys(validated, key).select(
         *[F.col(k).alias(f"_{k}") for k in key], F.lit(True).alias("_twice")
     )
@@ -98,15 +101,21 @@ def passed(validated: DataFrame, failed: DataFrame, unit: Sequence[str]) -> Data
     return validated.join(failed.select(*unit), list(unit), "left_anti").drop("violations")
 
 
-def qa_rows(failed: DataFrame, dataset: str, at: Column | None = None) -> DataFrame:
-    """Rows of the error log for failed units; the level is null if no level was reached."""
+def qa_rows(
+    failed: DataFrame, dataset: str, at: Column | None = None, kind: str | None = "Validation error"
+) -> DataFrame:
+    """Rows of the error log; the level is null if no level was reached.
+
+    ``kind`` goes before the rule in the error's text; ``None`` for troubles that no rule of
+    ``validate`` found. A column ``detail`` of ``failed``, if there is one, follows the rule.
+    """
     stamp = F.current_timestamp() if at is None else at
     rows = failed.select(
         F.date_format(stamp, "yyyy-MM-dd HH:mm:ss").alias("date"),
         "iso3",
         "adm_level",
         F.lit(dataset).alias("dataset"),
-        F.concat(F.lit("Validation error: "), F.col("rule")).alias("error"),
+        F.concat_ws(": ", F.lit(kind), F.col("rule"), *[F.col(c) for c in failed.columns if c == "detail"]).alias("error"),
         F.col("rule").alias("stack_trace"),
     )
     return to_schema(rows, QA)

@@ -12,6 +12,7 @@ the clip windows before anything runs, and it picks the plan:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -32,15 +33,26 @@ STATISTICS = (*STAT_COLUMNS, "unique")
 
 @dataclass(frozen=True)
 class Bounds:
-    """Proven sizes: rows of the whole zone map, cells of the largest zone, even weights."""
+    """Sizes: rows of the whole zone map, cells of the largest zone, even weights.
+
+    ``counted`` takes them from a stored zone map. ``of`` bounds them before there is one: with
+    upsampling, output cells of several zones may share a source cell, at most as many as a
+    source cell has output cells, borders included.
+    """
 
     map_rows: int
     zone_cells: int
     weighted: bool = True
 
     @classmethod
-    def of(cls, sizes: Sizes, levels: int, weighted: bool) -> Bounds:
-        return cls(sizes.cells * levels, sizes.largest, weighted)
+    def of(cls, sizes: Sizes, levels: int, factor: float | None = None) -> Bounds:
+        """``factor``: output cells along a side of a source cell, if upsampled."""
+        shared = 1 if factor is None else (math.ceil(factor) + 1) ** 2
+        return cls(sizes.cells * levels * shared, sizes.largest, factor is not None)
+
+    @classmethod
+    def counted(cls, zone_map: DataFrame, sizes: Sizes, weighted: bool) -> Bounds:
+        return cls(zone_map.count(), sizes.largest, weighted)
 
 
 def cells_in_zones(cells: DataFrame, zone_map: DataFrame, grid: Grid, bounds: Bounds) -> DataFrame:
@@ -61,10 +73,12 @@ def zonal_stats(
     bounds: Bounds,
     slice_keys: Sequence[str],
     stats: Sequence[str] = tuple(STAT_COLUMNS),
+    local_cells: int = LOCAL_CELLS,
 ) -> DataFrame:
     """Statistics per slice and zone that has a cell; missing cells do not count.
 
-    Standard deviations are over the population. Add zones without cells with ``densify``.
+    Standard deviations are over the population. Add zones without cells with ``densify``. Zones
+    of more than ``local_cells`` cells are spread over tasks; the results are the same.
     """
     unknown = [s for s in stats if s not in STATISTICS]
     if unknown:
@@ -80,9 +94,9 @@ def zonal_stats(
 
     if "median" not in stats and not (bounds.weighted and "std" in stats):
         return matched(zone_map).groupBy(*keys).agg(*[_merged(s).alias(s) for s in stats])
-    if bounds.zone_cells <= LOCAL_CELLS:
+    if bounds.zone_cells <= local_cells:
         return _by_rank(matched(zone_map), keys, stats)
-    large = written(_large_zones(zone_map), "large-zones")
+    large = written(_large_zones(zone_map, local_cells), "large-zones")
     n_large = large.count()
     if n_large == 0:
         return _by_rank(matched(zone_map), keys, stats)
@@ -92,10 +106,10 @@ def zonal_stats(
     return _by_rank(rest, keys, stats).unionByName(split_stats(split, keys, stats))
 
 
-def _large_zones(zone_map: DataFrame) -> DataFrame:
+def _large_zones(zone_map: DataFrame, local_cells: int) -> DataFrame:
     """Zones with more cells than one task should sort; the zone map counts them exactly."""
     held = zone_map.groupBy(*ZONE_KEYS).agg(F.count(F.lit(1)).alias("n"))
-    return held.filter(F.col("n") > LOCAL_CELLS).drop("n")
+    return held.filter(F.col("n") > local_cells).drop("n")
 
 
 def _merged(stat: str) -> Column:

@@ -73,11 +73,17 @@ def run_plan(
     if backfill:
         if stats is None:
             raise ValueError("a backfill needs the statistics table")
-        expected = expected_dates(bounds, start, stop, spec.frequency)
-        dates = run_dates(dates, missing_dates(expected, stats, spec.date_column))
+        dates = run_dates(dates, missing_of(spark, spec, as_of, stats))
     return date_chunks(dates.distinct())
 
 
+def missing_of(spark: SparkSession, spec: DatasetSpec, as_of: date, stats: DataFrame) -> DataFrame:
+    """Dates of a dataset's history, up to yesterday, that its statistics table lacks."""
+    end = spec.end or as_of - timedelta(days=1)
+    expected = calendar(spark, spec.start, end, spec.frequency)
+    return missing_dates(expected, stats, spec.date_column)
+
+
 def run_summary(
     plan: DataFrame, dataset: str, mode: str, missing: DataFrame | None = None, iso3s: str = ""
 ) -> DataFrame:

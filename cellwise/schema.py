@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,6 +69,13 @@ class DatasetSpec:
     coverage: tuple[str, ...] | None = None
     end: date | None = None
     test_iso3s: tuple[str, ...] = ()
+    test_window: tuple[date, date] | None = None
+
+    def in_test(self) -> DatasetSpec:
+        """The dataset within its test window of dates; the whole of it without one."""
+        if self.test_window is None:
+            return self
+        return replace(self, start=self.test_window[0], end=self.test_window[1])
 
     @property
     def date_column(self) -> str:
@@ -86,13 +93,13 @@ class DatasetSpec:
 # File prefixes, start dates, frequencies, the test countries and the list of
 # countries with flood-extent coverage.
 TEST_ISO3S = ("BDI", "NGA", "TCD")
-FLOOD_COVERAGE = tuple(
-    (
-        "DZA AGO BEN BWA BFA BDI CPV CMR CAF TCD COM COG CIV CAP DJI EGY GNQ ERI SWZ ETH GAB "
-        "GMB GHA GIN GNB KEN LS0 LBR LBY MDG MWI MLI MRT MUS MAR MOZ NAM NER NGA RWA STP SEN "
-        "SYC SLE SOM ZAF SSD SDN TGO TUN UGA TZA ZMB ZWE"
-    ).split()
-)
+FLOOD_COVERAGE = (
+    "DZA", "AGO", "BEN", "BWA", "BFA", "BDI", "CPV", "CMR", "CAF", "TCD", "COM", "COG", "CIV",
+    "CAP", "DJI", "EGY", "GNQ", "ERI", "SWZ", "ETH", "GAB", "GMB", "GHA", "GIN", "GNB", "KEN",
+    "LS0", "LBR", "LBY", "MDG", "MWI", "MLI", "MRT", "MUS", "MAR", "MOZ", "NAM", "NER", "NGA",
+    "RWA", "STP", "SEN", "SYC", "SLE", "SOM", "ZAF", "SSD", "SDN", "TGO", "TUN", "UGA", "TZA",
+    "ZMB", "ZWE",
+)
 DATASETS = {
     spec.name: spec
     for spec in (

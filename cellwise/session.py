@@ -4,6 +4,8 @@ and where intermediate tables go."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +19,18 @@ BROADCAST_SETTING = "spark.cellwise.broadcastRows"
 
 
 def local_session(
-    app: str, cores: str = "8", memory: str = "12g", shuffle: str = "8"
+    app: str,
+    cores: str = "8",
+    memory: str = "12g",
+    shuffle: str = "8",
+    shared: str | None = None,
 ) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own settings."""
+    builder = SparkSession.builder
+    if shared:
+        builder = builder.config(SHARED_SETTING, shared)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
@@ -50,20 +59,39 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 def removed(df: DataFrame) -> None:
     """Delete a table that ``written`` made and nobody reads any more."""
-    spark = df.sparkSession
-    base = spark.conf.get(SHARED_SETTING)
-    context = spark.sparkContext
-    files = context._jvm.org.apache.hadoop.fs
+    base = df.sparkSession.conf.get(SHARED_SETTING).removeprefix("file:").strip("/")
     for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if base.removeprefix("file:").strip("/") in name:
-            path = files.Path(name)
-            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        if base in name:
+            _delete(df.sparkSession, name)
+
+
+# Tables of the runs that are under way, innermost last.
+_RUNS: list[list[str]] = []
+
+
+@contextmanager
+def run_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete all tables that ``written`` makes within, when the run ends or fails."""
+    _RUNS.append([])
+    try:
+        yield
+    finally:
+        for path in _RUNS.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
+    if _RUNS:
+        _RUNS[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellwise.operators.merge import upsert
 from cellwise.schema import QA, DatasetSpec, stats_schema, to_schema
-from cellwise.session import written
+from cellwise.session import small, written
 
 # Rows per insert batch of a database sink.
 INSERT_BATCH = 100_000
@@ -18,17 +19,24 @@ INSERT_BATCH = 100_000
 PARTITIONS = ["dataset", "month"]
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table stored at ``path``, if there is one; a folder without a file is an empty table."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def table_schema(spec: DatasetSpec) -> T.StructType:
+    """Columns of the stored statistics, the folders they are partitioned by included."""
+    folders = [T.StructField("dataset", T.StringType()), T.StructField("month", T.DateType())]
+    return T.StructType([*stats_schema(spec).fields, *folders])
+
+
 def write_stats(stats: DataFrame, spec: DatasetSpec, path: str) -> None:
-    """Upsert a batch of statistics.
+    """Upsert a batch of statistics, which may be empty.
 
     Only the months the batch touches are read and rewritten. The merged months go to the shared
     folder first, as a job may not overwrite what it reads; they then replace the table's in one
@@ -45,12 +53,12 @@ def write_stats(stats: DataFrame, spec: DatasetSpec, path: str) -> None:
 def _replace_partitions(
     batch: DataFrame, path: str, partitions: Sequence[str], key: Sequence[str]
 ) -> None:
-    existing = _existing(batch.sparkSession, path)
-    if existing is not None:
-        # At most one row per month of a dataset's history, or per country code.
-        touched = F.broadcast(batch.select(*[F.col(p).alias(f"_{p}") for p in partitions]).distinct())
+    stored = existing(batch.sparkSession, path, batch.schema)
+    if stored is not None:
+        # One row per month of a dataset's history, or per country code, whatever the batch's size.
+        touched = batch.select(*[F.col(p).alias(f"_{p}") for p in partitions]).distinct()
         same = [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in partitions]
-        kept = existing.join(touched, same, "left_semi")
+        kept = stored.join(small(touched, touched.count()), same, "left_semi")
         merged = upsert(kept.select(*batch.columns), batch, [*partitions, *key])
         batch = written(merged, "merged")
     (

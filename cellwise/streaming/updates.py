@@ -1,14 +1,16 @@
 """Continuous update: new tiles become statistics as they arrive.
 
-A tile is a whole slice, so no state is kept between batches; a batch that is run again after a
-failure writes the same rows over themselves.
+No state is kept between batches: a batch only tells which slices changed, and these are computed
+anew from all their stored tiles, whichever batches those came in. A batch that is run again after
+a failure writes the same rows over themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cellwise.schema import TILES
@@ -22,6 +24,13 @@ def arriving_tiles(spark: SparkSession, folder: str, files_per_batch: int | None
     return reader.parquet(folder)
 
 
+def touched_slices(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """All stored tiles of the slices that a batch has tiles of; null keys are equal."""
+    changed = batch.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return stored.join(changed, same, "left_semi")
+
+
 def keep_updated(
     tiles: DataFrame, handle: Callable[[DataFrame], object], checkpoint: str
 ) -> StreamingQuery:

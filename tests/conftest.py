@@ -6,8 +6,9 @@ from cellwise.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", memory="8g", shuffle="4")
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session("tests", memory="8g", shuffle="4", shared=shared)
     yield session
     session.stop()
 

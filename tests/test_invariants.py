@@ -77,7 +77,7 @@ def test_scanline_equals_parity(layer, spans, rows):
 def test_weights_equal_the_upsampled_raster(layer, spans, cells, rows, resolution):
     mapped = zone_map(layer, spans, GRID, resolution)
     sizes = measure(spans)
-    found = zonal_stats(cells, mapped, GRID, Bounds.of(sizes, 2, True), ["valid_date"])
+    found = zonal_stats(cells, mapped, GRID, Bounds.of(sizes, 2, 2.0), ["valid_date"])
     fine = prepared(cells, spans, sizes, GRID, resolution, ["iso3"])
     pixels = (
         zone_pixels(layer, fine_windows(spans, GRID, resolution))
@@ -115,13 +115,22 @@ def test_weights_add_up_to_pixels(layer, spans):
     assert weights == pixels
 
 
-def test_large_zone_plan_equals_local_plan(layer, spans, cells, rows, monkeypatch):
+@pytest.mark.parametrize("resolution", [None, 0.9, 0.4, 0.05])
+def test_bounds_hold(layer, spans, resolution):
+    mapped = zone_map(layer, spans, GRID, resolution)
+    sizes = measure(spans)
+    levels = layer.select("adm_level").distinct().count()
+    true = Bounds.counted(mapped, sizes, resolution is not None)
+    assert Bounds.of(sizes, levels, resolution and GRID.res / resolution).map_rows >= true.map_rows
+
+
+def test_large_zone_plan_equals_local_plan(layer, spans, cells, rows):
     mapped = zone_map(layer, spans, GRID, 0.4)
-    bounds = Bounds.of(measure(spans), 2, True)
+    bounds = Bounds.of(measure(spans), 2, 2.0)
     stats = [*STAT_COLUMNS, "unique"]
 
-    def compute():
-        found = zonal_stats(cells, mapped, GRID, bounds, ["valid_date"], stats)
+    def compute(limit=zonal.LOCAL_CELLS):
+        found = zonal_stats(cells, mapped, GRID, bounds, ["valid_date"], stats, limit)
         return rows(
             found.withColumns({c: F.round(c, 9) for c in ("mean", "std")}),
             "valid_date", *ZONE_KEYS, *stats,
@@ -129,10 +138,9 @@ def test_large_zone_plan_equals_local_plan(layer, spans, cells, rows, monkeypatc
 
     local = compute()
     for limit in (0, 60):
-        monkeypatch.setattr(zonal, "LOCAL_CELLS", limit)
-        large = zonal._large_zones(mapped).count()
+        large = zonal._large_zones(mapped, limit).count()
         assert large == mapped.select(*ZONE_KEYS).distinct().count() if limit == 0 else 0 < large < 8
-        assert compute() == local
+        assert compute(limit) == local
 
 
 @pytest.mark.parametrize("shape", ["spread", "outliers", "one_value", "two_values"])
@@ -167,7 +175,7 @@ def test_equal_values_have_no_deviation(spark):
 
 def test_broadcast_and_shuffled_joins_agree(spark, layer, spans, cells, rows):
     mapped = zone_map(layer, spans, GRID, 0.5)
-    bounds = Bounds.of(measure(spans), 2, True)
+    bounds = Bounds.of(measure(spans), 2, 2.0)
 
     def compute():
         found = zonal_stats(cells, mapped, GRID, bounds, ["valid_date"], ("sum", "count", "max"))
@@ -208,7 +216,7 @@ def test_rasterising_takes_one_shuffle(layer, spans):
 
 def test_statistics_take_one_shuffle_and_one_sort(layer, spans, cells):
     mapped = zone_map(layer, spans, GRID, 0.4)
-    bounds = Bounds.of(measure(spans), 2, True)
+    bounds = Bounds.of(measure(spans), 2, 2.0)
     found = zonal_stats(cells, mapped, GRID, bounds, ["valid_date"])
     lines = found._jdf.queryExecution().executedPlan().toString().splitlines()
     join = next(i for i, line in enumerate(lines) if "BroadcastHashJoin [cell" in line)
@@ -219,7 +227,7 @@ def test_statistics_take_one_shuffle_and_one_sort(layer, spans, cells):
 
 def test_merging_statistics_are_reduced_before_the_shuffle(layer, spans, cells):
     mapped = zone_map(layer, spans, GRID, 0.4)
-    bounds = Bounds.of(measure(spans), 2, True)
+    bounds = Bounds.of(measure(spans), 2, 2.0)
     found = zonal_stats(cells, mapped, GRID, bounds, ["valid_date"], ("mean", "max", "count"))
     plan = found._jdf.queryExecution().executedPlan().toString().split("BroadcastHashJoin [cell")[0]
     assert "partial_max" in plan.split("Exchange hashpartitioning")[1]

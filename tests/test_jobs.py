@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,13 @@ from cellwise.operators.grid import Grid, Sizes
 from cellwise.plans import jobs, metadata
 from cellwise.schema import DATASETS, TILES
 from cellwise.session import shared_dir
-from cellwise.sources.tiles import read_tiles, tiles_near, tiles_of_dates, write_tiles
+from cellwise.sources.tiles import (
+    read_tiles,
+    tiles_near,
+    tiles_of_dates,
+    tiles_to_cells,
+    write_tiles,
+)
 from cellwise.streaming import updates
 from tests.scenes import box, counting, tile, zone, zones
 
@@ -242,3 +249,102 @@ def test_metadata_job(spark, world, tmp_path, rows):
     assert (found["B3"].era5_n_upsampled_pixels, found["A"].floodscan_n_upsampled_pixels) == (0, None)
     assert found["B"].area > found["B1"].area > 0
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir", "/"))
+
+
+def halves(spec, day, overlap=0):
+    """One raster as a left and a right file."""
+    values = counting(100, 10, 10)
+    left = Grid(0.0, 10.0, 1.0, 5 + overlap, 10)
+    right = Grid(5.0, 10.0, 1.0, 5, 10)
+    name = f"{spec.prefix}{day}"
+    return [
+        tile(spec.name, f"{name}_l.tif", day, left, [row[: 5 + overlap] for row in values]),
+        tile(spec.name, f"{name}_r.tif", day, right, [row[5:] for row in values]),
+    ]
+
+
+def test_rasters_of_several_files(spark, world, tmp_path, rows):
+    spec = DATASETS["era5"]
+    _, whole, _ = run(spark, spec, stored(spark, months(spec, 1), tmp_path, "one"), world, tmp_path / "a")
+    parts = stored(spark, halves(spec, date(2024, 1, 1)), tmp_path, "two")
+    report, split, _ = run(spark, spec, parts, world, tmp_path / "b")
+    assert rows(split) == rows(whole) and report["n_conflicts"] == 0
+
+
+@pytest.mark.parametrize("case", ["overlap", "appended twice", "revision"])
+def test_a_slice_stored_twice_is_left_out(spark, world, tmp_path, rows, case):
+    spec = DATASETS["era5"]
+    first = {
+        "overlap": halves(spec, date(2024, 1, 1), overlap=1),
+        "appended twice": months(spec, 1) * 2,
+        "revision": months(spec, 1) + [(r[0], r[1].replace(".tif", "_rev.tif"), *r[2:]) for r in months(spec, 1)],
+    }[case]
+    report, stats, qa = run(spark, spec, stored(spark, first + months(spec, 2)[1:], tmp_path), world, tmp_path)
+    assert report["n_conflicts"] == 1
+    assert rows(stats.select("valid_date").distinct()) == [(date(2024, 2, 1),)]
+    assert qa.filter("error = 'conflicting_tiles: 2024-01-01'").count() == 1
+
+
+def test_differing_resolution_is_an_error(spark, world, tmp_path):
+    spec = DATASETS["era5"]
+    fine = tile(spec.name, f"{spec.prefix}2024-02-01.tif", date(2024, 2, 1), Grid(0.0, 10.0, 0.5, 20, 20), counting(1, 20, 20))
+    with pytest.raises(ValueError, match="resolution"):
+        run(spark, spec, stored(spark, [*months(spec, 1), fine], tmp_path), world, tmp_path)
+
+
+def test_cells_off_the_grid_are_an_error(spark):
+    wide = spark.createDataFrame(months(DATASETS["era5"], 1), TILES)
+    with pytest.raises(Exception, match="beyond the grid"):
+        tiles_to_cells(wide, ["path"], Grid(0.0, 10.0, 1.0, 9, 10)).collect()
+
+
+def test_shared_pcode_is_stored_for_both_countries(spark, tmp_path, rows):
+    layer = zones(spark, zone("AAA", 0, 0, "P", box(0.1, 0.1, 4.9, 9.9)), zone("BBB", 0, 0, "P", box(5.1, 0.1, 9.9, 9.9)))
+    countries = spark.createDataFrame([("AAA", 0), ("BBB", 0)], "iso3 string, max_adm_level int")
+    report, stats, _ = run(spark, DATASETS["era5"], stored(spark, months(DATASETS["era5"], 1), tmp_path), (layer, countries), tmp_path)
+    assert report["n_failed"] == 0 and rows(stats, "iso3", "pcode") == [("AAA", "P"), ("BBB", "P")]
+
+
+def test_first_run_may_be_a_backfill_and_may_store_nothing(spark, world, tmp_path):
+    spec = DATASETS["era5"]
+    tiles = stored(spark, months(spec, 2), tmp_path)
+    report, stats, _ = run(spark, spec, tiles, world, tmp_path, backfill=True)
+    # All months from 1981 to May 2024 were missing.
+    assert report["n_missing"] == 43 * 12 + 5 and stats.count() == 2 * 5
+    # A month of infinities breaks a rule, so all is held back; the table then has a folder only.
+    bad = [tile(spec.name, f"{spec.prefix}2024-01-01.tif", date(2024, 1, 1), GRID, [[float("inf")] * 10] * 10)]
+    held = stored(spark, bad, tmp_path, "bad")
+    layer, countries = world
+    paths = str(tmp_path / "s2"), str(tmp_path / "q2")
+    for part in (held, tiles):
+        jobs.run_statistics(spark, spec, part, layer, countries, *paths, AS_OF, resolution=None)
+    assert spark.read.parquet(paths[0]).filter("valid_date = '2024-02-01'").count() == 5
+
+
+def test_a_run_leaves_no_tables(spark, world, tmp_path):
+    base = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(base.iterdir()) if base.exists() else set()
+    run(spark, DATASETS["era5"], stored(spark, months(DATASETS["era5"], 1), tmp_path), world, tmp_path)
+    assert set(base.iterdir()) == before
+
+
+def test_slice_in_two_batches(spark, world, tmp_path, rows):
+    """The halves of a raster arrive apart; the statistics are those of the whole."""
+    spec = DATASETS["era5"]
+    layer, countries = world
+    fixed = jobs.layers(layer, countries, GRID, None)
+    folder = str(tmp_path / "arriving")
+    for part in halves(spec, date(2024, 1, 1)):
+        spark.createDataFrame([part], TILES).coalesce(1).write.mode("append").parquet(folder)
+    stats, qa = str(tmp_path / "s"), str(tmp_path / "q")
+    everything = jobs.dated_tiles(spark.read.schema(TILES).parquet(folder), spec)
+
+    def handle(batch):
+        tiles = updates.touched_slices(jobs.dated_tiles(batch, spec), everything, spec.slice_keys)
+        found = jobs.statistics(tiles.withColumn("chunk_id", F.lit(0)), fixed, spec, "chunk_id")
+        jobs.store(found, spec, stats, qa, AS_OF)
+
+    updates.keep_updated(updates.arriving_tiles(spark, folder, 1), handle, str(tmp_path / "state")).awaitTermination()
+    whole = stored(spark, months(spec, 1), tmp_path)
+    jobs.run_statistics(spark, spec, whole, layer, countries, str(tmp_path / "s2"), qa, AS_OF, resolution=None)
+    assert rows(spark.read.parquet(stats)) == rows(spark.read.parquet(str(tmp_path / "s2")))

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as registered
 from tests.twins import database, differences
+from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORACLES = registered.oracle_sql()
@@ -18,7 +19,7 @@ def con():
     return database(SF_DIR)
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     df = registered.queries()[name](spark, SF_DIR)
     assert differences(df, con, ORACLES[name]) == []

@@ -456,6 +456,35 @@ SELECT nation, pos, round(x, 6) AS x, round(y, 6) AS y FROM part WHERE kept"""
 INT = "CAST({0} AS INTEGER) AS {0}".format
 ROWCOL = f"{INT('row')}, {INT('col')}"
 
+def _tile_stats(where: str) -> str:
+    """Statistics of the small tiles, as they are stored."""
+    return (
+        with_(
+            P_TILE,
+            SHAPES,
+            ZONES,
+            vertices(),
+            country_windows(),
+            pixels("1.0"),
+            f"""cells AS (SELECT {TILE_DAY} AS valid_date, (i - 1) // 8 AS row, (i - 1) % 8 AS col,
+  CAST(embedding[i] AS DOUBLE) AS value
+  FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings WHERE {where}))""",
+            agg("valid_date", AGG.replace("round(avg(value), 6)", "avg(value)").replace(
+                "round(stddev_pop(value), 6)", "stddev_pop(value)"
+            ), "adm_level < 2"),
+            DUE_ALL,
+        )
+        + "SELECT iso3, pcode, valid_date, adm_level, "
+        + ", ".join(
+            f"CAST(CAST({s} AS FLOAT) AS DOUBLE) AS {s}"
+            for s in ("mean", "median", "min", "max", "sum", "std")
+        )
+        + ", CAST(count AS INTEGER) AS count, 'embeddings' AS dataset FROM ("
+        + dense(["valid_date"], "due", "z.adm_level < 2")
+        + ")"
+    )
+
+
 ORACLES: dict[str, str] = {
     "tile_to_cells": with_(TILES)
     + f"""SELECT vec_id, CAST((i - 1) // 8 AS INTEGER) AS row, CAST((i - 1) % 8 AS INTEGER) AS col,
@@ -494,7 +523,8 @@ WHERE path LIKE 'monthly/%' GROUP BY n_dates""",
 UNION ALL SELECT valid_date, {ROWCOL}, value, leadtime, NULL FROM fc
 UNION ALL SELECT valid_date, {ROWCOL}, value, NULL, band_no FROM bc""",
     "grid_template": """SELECT 'd' || vec_id % 7 AS dataset, CAST(min(vec_id) AS DOUBLE) AS x0,
-  CAST(8 AS DOUBLE) AS y0, CAST(1 AS DOUBLE) AS res, 8 AS width, 8 AS height
+  CAST(8 AS DOUBLE) AS y0, CAST(1 AS DOUBLE) AS res,
+  CAST(max(vec_id) - min(vec_id) + 8 AS INTEGER) AS width, 8 AS height, TRUE AS even
 FROM embeddings GROUP BY vec_id % 7""",
     "iso3_filter": with_(BOUNDARIES)
     + f"SELECT * RENAME (iso_3 AS iso3) FROM boundaries WHERE iso_3 IN ({listed(SOME_CODES)})",
@@ -714,7 +744,7 @@ WHERE (iso3, chunk_id) NOT IN (SELECT (iso3, chunk_id) FROM failed)""",
         "lines AS (SELECT unnest(range(n)) AS i, n FROM p)",
     )
     + f"""SELECT {_AT} AS date, pcode AS iso3, CAST(NULL AS INTEGER) AS adm_level,
-  'coarse' AS dataset, 'Validation error: no_cells_in_bounds' AS error,
+  'coarse' AS dataset, 'no_cells_in_bounds' AS error,
   'no_cells_in_bounds' AS stack_trace FROM zones z
 WHERE adm_level = 2 AND NOT EXISTS (SELECT 1 FROM boxes b, lines l
   WHERE b.iso3 = z.iso3 AND b.zone_idx = z.zone_idx AND i < n // 2
@@ -728,27 +758,30 @@ WHERE adm_level = 2 AND NOT EXISTS (SELECT 1 FROM boxes b, lines l
 UNION ALL SELECT s.pcode, s.leadtime, s.mean, s.flag FROM stored s WHERE NOT EXISTS
   (SELECT 1 FROM arrived a WHERE a.pcode = s.pcode AND a.leadtime IS NOT DISTINCT FROM s.leadtime)""",
     "compare_stats": _compare(),
-    "stream_update": with_(
-        P_TILE,
-        SHAPES,
-        ZONES,
-        vertices(),
-        country_windows(),
-        pixels("1.0"),
-        f"""cells AS (SELECT {TILE_DAY} AS valid_date, (i - 1) // 8 AS row, (i - 1) % 8 AS col,
-  CAST(embedding[i] AS DOUBLE) AS value
-  FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings))""",
-        agg("valid_date", AGG.replace("round(avg(value), 6)", "avg(value)").replace(
-            "round(stddev_pop(value), 6)", "stddev_pop(value)"
-        ), "adm_level < 2"),
-        DUE_ALL,
-    )
-    + "SELECT iso3, pcode, valid_date, adm_level, "
-    + ", ".join(
-        f"CAST(CAST({s} AS FLOAT) AS DOUBLE) AS {s}"
-        for s in ("mean", "median", "min", "max", "sum", "std")
-    )
-    + ", CAST(count AS INTEGER) AS count, 'embeddings' AS dataset FROM ("
-    + dense(["valid_date"], "due", "z.adm_level < 2")
-    + ")",
+    "stream_update": _tile_stats("TRUE"),
+    "multi_tile_stats": _tile_stats("TRUE"),
+    "archive_run": _tile_stats("vec_id % 10 NOT IN (3, 9)"),
+    "backfill_run": _tile_stats("vec_id % 10 <> 9"),
+    "qa_log": with_(TILES)
+    + """SELECT CAST(NULL AS VARCHAR) AS iso3, CAST(NULL AS INTEGER) AS adm_level,
+  'embeddings' AS dataset, 'missing_attribute: ' || path || ' lacks date_valid' AS error,
+  'missing_attribute' AS stack_trace FROM tiles WHERE vec_id % 10 = 9
+UNION ALL SELECT NULL, NULL, 'embeddings', 'conflicting_tiles: ' || CAST(day AS DATE), 'conflicting_tiles'
+FROM tiles WHERE vec_id % 10 = 3""",
+    "run_report": """SELECT 'embeddings' AS dataset, 'full' AS mode, CAST(0 AS BIGINT) AS n_missing,
+  count(*) + count(*) FILTER (vec_id % 10 = 3) AS n_files, CAST(0 AS BIGINT) AS n_undated,
+  CAST(0 AS BIGINT) AS n_failed, count(*) FILTER (vec_id % 10 = 3) AS n_conflicts FROM embeddings""",
+    "conflicting_tiles": f"""SELECT {TILE_DAY} AS day,
+  CAST(CASE WHEN vec_id % 10 = 3 THEN 5 ELSE 4 END AS BIGINT) AS n_tiles
+FROM embeddings WHERE vec_id % 10 IN (3, 4)""",
+    "simplify_zones": f"""WITH found AS ({SIMPLIFY})
+SELECT CAST(nation AS INTEGER) AS zone_idx, 0 AS ring_no,
+  CAST(row_number() OVER (PARTITION BY nation ORDER BY pos) - 1 AS INTEGER) AS nth, x, y FROM found
+UNION ALL SELECT nation, 1, nth, x, y FROM (SELECT DISTINCT CAST(c_nationkey AS INTEGER) AS nation
+  FROM customer), (VALUES (0, 0.0::DOUBLE, 0.0::DOUBLE), (1, 1.0, 0.001), (2, 2.0, 0.0)) v(nth, x, y)""",
+    "zonal_stats_mixed_zones": with_(*PLAIN, OBS, agg("valid_date")) + "SELECT * FROM agg",
+    "level_filter_zones": with_(P, SHAPES, ZONES, COUNTRIES)
+    + """SELECT z.iso3, z.adm_level, z.zone_idx, z.pcode FROM zones z JOIN countries c USING (iso3)
+WHERE z.adm_level <= c.max_adm_level""",
+    "stored_zones": with_(P, SHAPES, ZONES) + "SELECT iso3, adm_level, zone_idx, pcode FROM zones",
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from pyspark.sql import types as T
 from cellwise.functions.dates import issued_date
 from cellwise.operators import areas, grid as grids, merge, quality, rasterize, simplify, zonal
 from cellwise.plans import jobs, metadata, runs
-from cellwise.schema import STAT_COLUMNS, ZONE_KEYS, DatasetSpec
-from cellwise.session import shared_dir
+from cellwise.schema import RINGS, STAT_COLUMNS, TILES, ZONE_KEYS, DatasetSpec, to_schema
+from cellwise.session import shared_dir, small, written
 from cellwise.sources import catalog, tables, tiles as tile_source
 from cellwise.streaming import updates
 from workload import inputs
@@ -29,6 +30,8 @@ CHUNK_SIZE = 6
 SOME_CODES = ("AAB", "AAD", "AAX")
 DEGREE_COVERAGE = ("RAX", "RCX")
 TOLERANCE = 0.02
+FEW_VERTICES = 20
+FAR_AHEAD = date(2100, 1, 1)
 STREAM_SPEC = DatasetSpec("embeddings", "tiles/t_", date(2020, 1, 1), "D")
 
 QUERIES: dict[str, Query] = {}
@@ -52,7 +55,8 @@ def stats_of(
     stats: tuple[str, ...] = tuple(STAT_COLUMNS),
 ) -> DataFrame:
     mapped = rasterize.zone_map(zones, scene.windows, scene.grid, resolution)
-    bounds = zonal.Bounds.of(scene.sizes, 3, resolution is not None)
+    factor = None if resolution is None else scene.grid.res / resolution
+    bounds = zonal.Bounds.of(scene.sizes, 3, factor)
     return zonal.zonal_stats(cells, mapped, scene.grid, bounds, slice_keys, stats)
 
 
@@ -318,7 +322,7 @@ def prep_order_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means and counts of the nations for both orders of clipping and upsampling."""
     scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_obs(spark, sf_dir)
-    bounds = zonal.Bounds.of(scene.sizes, 3, True)
+    bounds = zonal.Bounds.of(scene.sizes, 3, scene.grid.res / FINE)
     maps = {
         "clip_first": rasterize.zone_map(scene.level(1), scene.windows, scene.grid, FINE),
         "upsample_first": _upsampled_first(scene),
@@ -365,7 +369,7 @@ def shoelace_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cell_zone_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = Scene.of(spark, sf_dir)
     mapped = rasterize.zone_map(scene.zones, scene.windows, scene.grid)
-    bounds = zonal.Bounds.of(scene.sizes, 3, False)
+    bounds = zonal.Bounds.of(scene.sizes, 3)
     cells = inputs.cells_obs(spark, sf_dir)
     return zonal.cells_in_zones(cells, mapped, scene.grid, bounds).drop("w")
 
@@ -375,12 +379,21 @@ def zonal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed(spark, sf_dir)
 
 
+def _found_and_due(
+    scene: Scene, cells: DataFrame, keys: list[str], zones: DataFrame, resolution: float | None
+) -> tuple[DataFrame, DataFrame]:
+    """Stored statistics and the slices due, by one pass over the cells' values."""
+    found = written(stats_of(scene, cells, keys, zones, resolution), "found")
+    present = zonal.present_slices(cells, scene.windows, keys)
+    due = zonal.filled_slices_after(found, present, cells, scene.windows, scene.sizes, keys)
+    return found, due
+
+
 def _forecast(
     scene: Scene, cells: DataFrame, zones: DataFrame, resolution: float | None
 ) -> DataFrame:
     keys = ["valid_date", "leadtime"]
-    found = stats_of(scene, cells, keys, zones, resolution)
-    due = zonal.filled_slices(cells, scene.windows, scene.sizes, keys)
+    found, due = _found_and_due(scene, cells, keys, zones, resolution)
     rows = zonal.densify(found, due, zones, keys, scene.n_zones)
     issued = issued_date(F.col("valid_date"), F.col("leadtime"))
     return rounded(rows.withColumn("issued_date", issued))
@@ -400,8 +413,7 @@ def zonal_stats_band(spark: SparkSession, sf_dir: str) -> DataFrame:
         "band", tile_source.band_name(F.col("band"))
     )
     keys = ["valid_date", "band"]
-    found = stats_of(scene, cells, keys, scene.level(1))
-    due = zonal.filled_slices(cells, scene.windows, scene.sizes, keys)
+    found, due = _found_and_due(scene, cells, keys, scene.level(1), None)
     rows = zonal.densify(found, due, scene.level(1), keys, scene.n_zones)
     return rounded(rows, "mean", "median", "sum", "std")
 
@@ -418,7 +430,7 @@ def zonal_stats_large_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted statistics by the plan for zones too large for one task."""
     scene = Scene.of(spark, sf_dir)
     mapped = rasterize.zone_map(scene.level(0), scene.windows, scene.grid, FINE)
-    bounds = zonal.Bounds.of(scene.sizes, 3, True)
+    bounds = zonal.Bounds.of(scene.sizes, 3, scene.grid.res / FINE)
     keys = ["valid_date", *ZONE_KEYS]
     matched = zonal.cells_in_zones(
         inputs.cells_obs(spark, sf_dir), mapped, scene.grid, bounds
@@ -654,7 +666,7 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _in_chunks(rows: DataFrame) -> DataFrame:
     chunks = runs.date_chunks(rows.select("valid_date").distinct(), CHUNK_SIZE)
-    return rows.join(F.broadcast(chunks), "valid_date")
+    return rows.join(small(chunks, chunks.count()), "valid_date")
 
 
 @query
@@ -714,7 +726,7 @@ def empty_clip_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
     lower = grids.Grid(0.0, scene.side / 2.0, 1.0, scene.side, scene.side // 2)
     spans = grids.windows(grids.zone_bounds(boxes, "iso3"), lower)
     missed = quality.outside_grid(boxes.select("iso3"), spans)
-    return quality.qa_rows(missed, "coarse", F.lit(AS_OF).cast("timestamp"))
+    return quality.qa_rows(missed, "coarse", F.lit(AS_OF).cast("timestamp"), kind=None)
 
 
 @query
@@ -732,14 +744,26 @@ def compare_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain statistics of the nations against both upsampled forms."""
     scene = Scene.of(spark, sf_dir)
     cells = inputs.cells_obs(spark, sf_dir)
-    bounds = zonal.Bounds.of(scene.sizes, 3, True)
     stats = ("mean", "median", "min", "max")
-    keys = ["valid_date"]
-    late = zonal.zonal_stats(cells, _upsampled_first(scene), scene.grid, bounds, keys, stats)
+    nations = scene.level(1)
+    forms = {
+        "db": rasterize.zone_map(nations, scene.windows, scene.grid, None),
+        "up": rasterize.zone_map(nations, scene.windows, scene.grid, FINE),
+        "late": _upsampled_first(scene),
+    }
+    # One zone map of all forms, so the cells are joined and grouped once.
+    mapped = reduce(
+        DataFrame.unionByName,
+        [m.select("*", F.lit(name).alias("form")) for name, m in forms.items()],
+    )
+    mapped = written(mapped.withColumn("iso3", F.concat_ws("/", "form", "iso3")).drop("form"), "forms")
+    bounds = zonal.Bounds.counted(mapped, scene.sizes, True)
+    together = written(
+        zonal.zonal_stats(cells, mapped, scene.grid, bounds, ["valid_date"], stats), "found"
+    )
+    form, iso3 = F.split("iso3", "/")[0], F.split("iso3", "/")[1]
     found = {
-        "db": stats_of(scene, cells, keys, scene.level(1), None, stats),
-        "up": stats_of(scene, cells, keys, scene.level(1), FINE, stats),
-        "late": late,
+        name: together.filter(form == name).withColumn("iso3", iso3) for name in forms
     }
     compared = merge.compare(found, "db", ["valid_date", *ZONE_KEYS], stats)
     return rounded(compared, "mean_db", "mean_up", "mean_late")
@@ -748,32 +772,183 @@ def compare_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 
 
+def _tile_layers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Zones of the small tiles, and the levels their countries use."""
+    zones = inputs.zones(spark, sf_dir, inputs.TILE_SIDE).filter("adm_level < 2")
+    return zones, zones.select("iso3").distinct().withColumn("max_adm_level", F.lit(1))
+
+
+def _as_doubles(stored: DataFrame) -> DataFrame:
+    return stored.drop("month").withColumns(
+        {c: F.col(c).cast("double") for c in STAT_COLUMNS if c != "count"}
+    )
+
+
 @query
 def stream_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tiles read as a stream, their statistics upserted into a table batch by batch."""
-    side = inputs.TILE_SIDE
-    grid = inputs.grid_of_side(side)
-    zones = inputs.zones(spark, sf_dir, side).filter("adm_level < 2")
-    levels = zones.select("iso3").distinct().withColumn("max_adm_level", F.lit(1))
-    fixed = jobs.layers(zones, levels, grid, None)
+    """Blocks of tiles read as a stream in four batches, which part every slice among them."""
+    zones, levels = _tile_layers(spark, sf_dir)
+    fixed = jobs.layers(zones, levels, inputs.grid_of_side(inputs.TILE_SIDE), None)
     store, log = shared_dir(spark, "stream-stats"), shared_dir(spark, "stream-qa")
-    schema = T.StructType(
-        [
-            T.StructField("vec_id", T.LongType()),
-            T.StructField("embedding", T.ArrayType(T.FloatType())),
-            T.StructField("label", T.IntegerType()),
-        ]
+    folder = shared_dir(spark, "stream-tiles")
+    blocks = tile_source.in_blocks(
+        to_schema(inputs.tiles_from(table(spark, sf_dir, "embeddings")), TILES), 4
     )
-    arriving = spark.readStream.schema(schema).parquet(f"{sf_dir}/embeddings*.parquet")
+    blocks.repartition(4, "x0", "y0").sortWithinPartitions("path").write.parquet(folder)
+    arriving = updates.arriving_tiles(spark, folder, files_per_batch=1)
+    stored = jobs.dated_tiles(spark.read.schema(TILES).parquet(folder), STREAM_SPEC)
 
     def handle(batch: DataFrame) -> None:
-        tiles = jobs.dated_tiles(inputs.tiles_from(batch), STREAM_SPEC)
+        changed = jobs.dated_tiles(batch, STREAM_SPEC)
+        tiles = updates.touched_slices(changed, stored, STREAM_SPEC.slice_keys)
         rows = jobs.statistics(
             tiles.withColumn("chunk_id", F.lit(0)), fixed, STREAM_SPEC, "chunk_id"
         )
-        jobs.store(rows, STREAM_SPEC, store, log, date(2100, 1, 1))
+        jobs.store(rows, STREAM_SPEC, store, log, FAR_AHEAD)
 
     updates.keep_updated(arriving, handle, shared_dir(spark, "stream-state")).awaitTermination()
-    return spark.read.parquet(store).drop("month").withColumns(
-        {c: F.col(c).cast("double") for c in STAT_COLUMNS if c != "count"}
+    return _as_doubles(spark.read.parquet(store))
+
+
+# Runs on stored tiles
+
+
+class Archive:
+    """A run of the statistics job over tiles stored in blocks, some undated, some stored twice."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, late: bool = False):
+        folder = shared_dir(spark, "archive")
+        self.stats, self.qa = f"{folder}/stats", f"{folder}/qa"
+        made = inputs.tiles(spark, sf_dir)
+        again = made.filter("vec_id % 10 = 3").withColumn(
+            "path", F.regexp_replace("path", "[.]tif$", "_rev.tif")
+        )
+        tiles = to_schema(made.unionByName(again), TILES)
+        zones, levels = _tile_layers(spark, sf_dir)
+
+        def run(part: DataFrame, path: str, **options: bool) -> dict[str, object]:
+            tile_source.write_tiles(part, path, block=3)
+            stored = tile_source.read_tiles(spark, path, STREAM_SPEC.name)
+            return jobs.run_statistics(
+                spark, STREAM_SPEC, stored, zones, levels, self.stats, self.qa, FAR_AHEAD,
+                resolution=None, **options,
+            )
+
+        if late:
+            # A first run of every third day, then one that backfills the others.
+            third = F.datediff("day", F.lit("2020-01-01")) % 3 == 0
+            days = to_schema(made.filter(third), TILES)
+            run(days, f"{folder}/some")
+            tiles = to_schema(made, TILES)
+            self.report = run(tiles, f"{folder}/all", update=True, backfill=True)
+        else:
+            self.report = run(tiles, f"{folder}/tiles")
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Archive:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in _ARCHIVES:
+            _ARCHIVES[key] = cls(spark, sf_dir)
+        return _ARCHIVES[key]
+
+
+_ARCHIVES: dict[tuple[str, str], Archive] = {}
+
+
+@query
+def archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run stored: neither undated slices nor those stored twice."""
+    return _as_doubles(spark.read.parquet(Archive.of(spark, sf_dir).stats))
+
+
+@query
+def qa_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(Archive.of(spark, sf_dir).qa).drop("date").filter("iso3 IS NULL")
+
+
+@query
+def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = Archive.of(spark, sf_dir).report
+    names = ["dataset", "mode", "n_missing", "n_files", "n_undated", "n_failed", "n_conflicts"]
+    kinds = "dataset string, mode string, n_missing long, n_files long, n_undated long, n_failed long, n_conflicts long"
+    return spark.createDataFrame([tuple(report[n] for n in names)], kinds)
+
+
+@query
+def backfill_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run into nothing, and a second that updates and fills what the first lacked."""
+    return _as_doubles(spark.read.parquet(Archive(spark, sf_dir, late=True).stats))
+
+
+@query
+def multi_tile_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rasters in blocks of five: the grid spans them all, the statistics are those of one tile."""
+    zones, levels = _tile_layers(spark, sf_dir)
+    whole = to_schema(inputs.tiles_from(table(spark, sf_dir, "embeddings")), TILES)
+    blocks = written(tile_source.in_blocks(whole, 5), "blocks")
+    fixed = jobs.layers(zones, levels, tile_source.grid_of(blocks), None)
+    rows = jobs.statistics(jobs.dated_tiles(blocks, STREAM_SPEC), fixed, STREAM_SPEC)
+    stored = to_schema(rows, jobs.stats_schema(STREAM_SPEC))
+    return _as_doubles(stored.withColumn("dataset", F.lit("embeddings")).withColumn("month", F.lit(0)))
+
+
+@query
+def conflicting_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices with a tile stored twice, and slices with blocks that overlap by one column."""
+    made = inputs.tiles_from(table(spark, sf_dir, "embeddings"))
+    blocks = tile_source.in_blocks(made, 4)
+    twice = blocks.filter("vec_id % 10 = 3 AND x0 = 0 AND y0 = 8")
+    shifted = blocks.filter("vec_id % 10 = 4 AND x0 = 4").withColumn("x0", F.col("x0") - 1)
+    parts = blocks.filter("vec_id % 10 != 4 OR x0 != 4").unionByName(twice).unionByName(shifted)
+    return tile_source.conflicting_slices(parts, ["day"], inputs.grid_of_side(inputs.TILE_SIDE))
+
+
+@query
+def simplify_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations' borders and a sliver each as zones, divided by Spark beyond ``FEW_VERTICES``."""
+    point = F.struct("x", "y")
+    lines = inputs.borders(spark, sf_dir).groupBy("nation").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", point.alias("p")))), lambda v: v["p"]).alias("line")
     )
+    sliver = F.array(
+        *[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in ((0.0, 0.0), (1.0, 0.001), (2.0, 0.0))]
+    )
+    zones = lines.select(
+        F.lit("AAA").alias("iso3"),
+        F.lit(0).alias("adm_level"),
+        F.col("nation").cast("int").alias("zone_idx"),
+        F.array("line", sliver).cast(RINGS).alias("rings"),
+    )
+    thin = simplify.simplify_zones(written(zones, "borders"), TOLERANCE, FEW_VERTICES)
+    rings = thin.select("zone_idx", F.posexplode("rings").alias("ring_no", "ring"))
+    corners = rings.select("zone_idx", "ring_no", F.posexplode("ring").alias("nth", "p"))
+    return rounded(corners.select("zone_idx", "ring_no", "nth", "p.x", "p.y"), "x", "y")
+
+
+@query
+def zonal_stats_mixed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones on both sides of the limit for one task, taken at a tenth of the largest window."""
+    scene = Scene.of(spark, sf_dir)
+    mapped = written(rasterize.zone_map(scene.zones, scene.windows, scene.grid), "zone-map")
+    bounds = zonal.Bounds.counted(mapped, scene.sizes, False)
+    cells = inputs.cells_obs(spark, sf_dir)
+    limit = scene.sizes.largest // 10
+    return rounded(
+        zonal.zonal_stats(cells, mapped, scene.grid, bounds, ["valid_date"], local_cells=limit),
+        "mean", "median", "sum", "std",
+    )
+
+
+@query
+def level_filter_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's own level filter, over all zones of the scene."""
+    scene = Scene.of(spark, sf_dir)
+    return jobs.to_deepest_level(scene.zones, inputs.countries(spark, sf_dir)).select(*ZONE_KEYS, "pcode")
+
+
+@query
+def stored_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones written to the shared folder and read back by country."""
+    path = shared_dir(spark, "zones")
+    tables.write_zones(Scene.of(spark, sf_dir).zones, path)
+    return tables.read_zones(spark, path).select(*ZONE_KEYS, "pcode")
