@@ -51,7 +51,10 @@ def _grams(hashes: Column, k: int) -> Column:
 
 
 def _least_of(values: Column, n: int) -> Column:
-    """The least of every ``n`` consecutive values, each run's once; needs ``n`` of them."""
+    """Winnowing: the least of every ``n`` consecutive values, each once.
+
+    Every run of ``n`` values holds one of them, chosen by that run alone.
+    """
     last = F.size(values) - n
     least = lambda i: F.array_min(F.slice(values, i + 1, n))
     return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), least))).otherwise(
@@ -63,11 +66,6 @@ def hashed(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(F.lower(w)))
 
 
-def winnowed(hashes: Column, n: int = N, k: int = K) -> Column:
-    """Fingerprints of a text: every run of ``n`` words holds one, chosen by that run alone."""
-    return _least_of(_grams(hashes, k), n - k + 1)
-
-
 def windows(text: Column, lengths: Column) -> Column:
     """(pos, len, h1, h2) of every run of words with one of ``lengths``; ``text`` in lower case."""
 
@@ -115,15 +113,16 @@ def contamination(
 
     items = items.select(F.col(item_id).alias("item"), _ascii_lower(F.col(item_text)).alias("text"))
     sized = items.select("item", "text", F.size(words_of(F.col("text"))).alias("n")).filter("n > 0")
-    sized = written(sized.withColumn("len", F.least("n", F.lit(n)).cast("int")), "items")
+    sized = sized.withColumns({"len": F.least("n", F.lit(n)).cast("int"), "hashes": hashed(words_of(F.col("text")))})
+    sized = written(sized, "items")
     found = sized.select("item", F.explode(windows(F.col("text"), F.array("len"))).alias("w")).select("item", "w.h1", "w.h2", "w.len")
     item_windows = written(found.distinct(), "item-windows")
     lengths = sorted(r.len for r in sized.select("len").distinct().collect())  # at most n values
 
     # Fingerprints of the items, and for short items their least word.
-    long_items = sized.filter(F.col("len") == n).select(F.explode(winnowed(hashed(words_of(F.col("text"))), n, k)).alias("print"))
-    prints = written(long_items.distinct(), "item-prints")
-    short = sized.filter(F.col("len") < n).select(F.array_min(hashed(words_of(F.col("text")))).alias("print"))
+    item_grams = sized.filter(F.col("len") == n).select(_grams(F.col("hashes"), k).alias("grams"))
+    prints = written(item_grams.select(F.explode(_least_of(F.col("grams"), n - k + 1)).alias("print")).distinct(), "item-prints")
+    short = sized.filter(F.col("len") < n).select(F.array_min("hashes").alias("print"))
     least = written(short.distinct(), "item-words")
 
     # ``rows`` computes hashes once: the grams refer to them by column.

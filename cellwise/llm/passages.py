@@ -129,10 +129,9 @@ def _taken(batch: pa.RecordBatch, index: np.ndarray) -> list[pa.Array]:
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each paragraph: place, hash, hashes of neighbouring words."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for begin in range(0, len(texts), 256):
+        for begin in range(0, batch.num_rows, 256):
             of, start, end, own, near = [], [], [], [], []
-            for i, text in enumerate(texts[begin : begin + 256], begin):
+            for i, text in enumerate(batch.slice(begin, 256).column("text").to_pylist(), begin):
                 words = Words(text or "")
                 if words.n < PASSAGE:
                     continue
@@ -164,10 +163,9 @@ def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each long line: place, hash of its shingles, bands."""
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for begin in range(0, len(texts), 256):
+        for begin in range(0, batch.num_rows, 256):
             of, start, end, own, banded = [], [], [], [], []
-            for i, text in enumerate(texts[begin : begin + 256], begin):
+            for i, text in enumerate(batch.slice(begin, 256).column("text").to_pylist(), begin):
                 places = list(lines_of(text or ""))
                 words = Words(text) if places else None
                 for s, e in places:
@@ -242,9 +240,11 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     context = ", ".join(f"{c} int" for c in CONTEXT)
     parts = written(texts.mapInArrow(_paragraphs, f"{typed}, start int, end int, hash long, {context}"), "paragraphs")
-    place = F.when(F.col("doc").isNotNull(), F.struct("doc", *CONTEXT))
-    twice = parts.groupBy("hash").agg(F.min(place).alias("own"), F.max("doc").alias("last"))
-    twice = twice.filter("own.doc != last").select("hash", "own")
+    # Most paragraphs stand in one document: two numbers of each tell, and only the others go on.
+    ends = parts.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    twice = written(ends.filter("first != last").select("hash", "first"), "repeated")
+    again = parts.join(small(twice, twice.count()), "hash")
+    own = again.filter("doc = first").groupBy("hash").agg(F.min(F.struct("start", *CONTEXT)).alias("own"))
 
     def shared_words(side: str):
         reach = F.lit(0)
@@ -253,11 +253,11 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
             reach = F.when(same, F.lit(n * STEP)).otherwise(reach)
         return reach
 
-    part_spans = parts.join(twice, "hash").filter("doc is null or doc != own.doc").select(
+    part_spans = again.filter("doc is null or doc != first").join(own, "hash").select(
         *KEY,
         (F.col("start") - shared_words("before")).alias("start"),
         (F.col("end") + shared_words("after")).alias("end"),
-        F.col("own.doc").alias("first"),
+        "first",
         F.lit(False).alias("whole"),
     )
     both = line_spans.unionByName(part_spans)
