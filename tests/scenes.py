@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cellwise.operators.grid import Grid
 from cellwise.schema import TILES, ZONES
 
+# Polygon vertices of the published method's tests.
 LEFT = [(-1, -1), (-0.5, -0.8), (0, -0.5), (-0.2, 0), (-0.8, 0.2), (-1, 0.5)]
 TOP = [(-0.2, 0.2), (0.2, 0.5), (0, 1), (-0.5, 0.8)]
 RIGHT = [(0.2, -1), (1, -0.8), (0.8, 0), (1, 0.5), (0.5, 0.8), (0, 0.2)]

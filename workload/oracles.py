@@ -699,8 +699,9 @@ UNION ALL SELECT i, 'R' || r_regionkey, r_name, 'N' || n_nationkey, n_name, 'S'
 UNION ALL SELECT 'M', valid_date FROM monthly""",
     "missing_dates": with_(DAYS) + "SELECT valid_date FROM missing",
     "missing_issue_dates": with_(DAYS)
-    + """SELECT valid_date FROM monthly EXCEPT
-SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders WHERE o_totalprice > 495000""",
+    + """SELECT CAST(unnest(range(date_trunc('month', low), high + INTERVAL 1 DAY, INTERVAL 1 MONTH)) AS DATE)
+  AS valid_date FROM (SELECT min(l_shipdate) AS low, max(l_shipdate) AS high FROM lineitem)
+EXCEPT SELECT CAST(date_trunc('month', o_orderdate) AS DATE) FROM orders""",
     "run_dates": with_(DAYS) + "SELECT valid_date FROM run",
     "date_chunks": with_(DAYS)
     + """SELECT valid_date, CAST((row_number() OVER (ORDER BY valid_date) - 1) // 100 AS INTEGER)

@@ -163,8 +163,12 @@ def dedupe_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stats_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One month of one country's statistics; the filter reaches the scan of the line items."""
-    return tables.stats_slice(observed(spark, sf_dir), "RBX", 1, date(1998, 5, 1))
+    """One month of one country's statistics, read from a table stored by month."""
+    path = shared_dir(spark, "stats")
+    stored = observed(spark, sf_dir).withColumn("month", F.trunc("valid_date", "MM"))
+    stored.write.partitionBy("month").parquet(path)
+    found = spark.read.schema(stored.schema).parquet(path)
+    return tables.stats_slice(found, "RBX", 1, date(1998, 5, 1)).drop("month")
 
 
 # Projections and filters
@@ -599,17 +603,13 @@ def missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.missing_dates(expected, days)
 
 
-def _large_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Issue months of a sparse forecast: those of the largest orders."""
-    large = table(spark, sf_dir, "orders").filter("o_totalprice > 495000")
-    return large.select(F.trunc("o_orderdate", "MM").alias("issued_date"))
-
-
 @query
 def missing_issue_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    span = _span(_order_days(spark, sf_dir))
-    expected = runs.expected_dates(span, F.col("first"), F.col("last"), "M")
-    return runs.missing_dates(expected, _large_orders(spark, sf_dir), "issued_date")
+    """Months in which goods were shipped, but no order issued: the last ones."""
+    shipped = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("valid_date"))
+    expected = runs.expected_dates(_span(shipped), F.col("first"), F.col("last"), "M")
+    issued = table(spark, sf_dir, "orders").select(F.trunc("o_orderdate", "MM").alias("issued_date"))
+    return runs.missing_dates(expected, issued, "issued_date")
 
 
 @query
