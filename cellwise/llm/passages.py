@@ -38,6 +38,7 @@ PASSAGE = 40
 STEP, STEPS = 6, 3
 # A paragraph begins at a word whose hash is the least among so many before and after it.
 RADIUS = 6
+LONGEST = 12
 WORD = re.compile(r"\S+")
 KEY = ["doc", "row"]
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -82,14 +83,22 @@ class Words:
         return self.inverse[start]
 
     def cuts(self) -> np.ndarray:
-        """First words of the paragraphs, the text's own first word included."""
+        """First words of the paragraphs, the text's own first word included.
+
+        Words that repeat at short distances, such as one word a hundred times, have no least
+        one among them; there, every ``LONGEST`` words begin a paragraph.
+        """
         h, n = self.h, self.n
         chosen = np.ones(n, bool)
         for d in range(1, min(RADIUS, n - 1) + 1):
             chosen[d:] &= h[d:] < h[:-d]
-            chosen[:-d] &= h[:-d] < h[d:]
+            chosen[:-d] &= h[:-d] <= h[d:]
         chosen[0] = True
-        return np.flatnonzero(chosen)
+        first = np.flatnonzero(chosen)
+        length = np.diff(np.append(first, n))
+        parts = np.maximum(1, length // LONGEST)
+        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        return np.repeat(first, parts) + nth * LONGEST
 
     def shingles(self, start: int, end: int) -> np.ndarray:
         """Distinct shingles of a line, sorted; a line shorter than a shingle is one."""

@@ -583,3 +583,11 @@ def test_tokens_forget(monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 3)
     counted = tokens.Lengths(tokens.default_tokenizer())
     assert list(counted.of(["a b c d", "e f g h", "a b"])) == [4, 4, 2]
+
+
+def test_repeated_words_are_passages_too(spark):
+    rng = random.Random(37)
+    junk = [f"{sentence(rng, 60, 3000)} {'so ' * n}{sentence(rng, 60, 3000)}" for n in (80, 70, 20)]
+    rows = {r.doc_id: r for r in passages.cleaned(docs_of(spark, junk)).collect()}
+    assert rows[0].n_removed == rows[2].n_removed == 0 and rows[1].n_removed >= 50
+    assert not shared_runs([rows[i].text for i in range(3)], 51)
