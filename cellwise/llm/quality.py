@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings, trained by numpy stochastic gradient descent.
 
-A text is the mean of learned vectors of its words and of their character n-grams, all hashed
-into one table; a softmax over the two labels sits on it. Fitting reads a bounded sample. Once
+A text is the mean of learned vectors of its words, of their character n-grams and of a mark for
+words that repeat the one before, all hashed into one table; a softmax over the two labels sits on it. Fitting reads a bounded sample. Once
 fitted, a bucket's vector matters only through the difference of the two labels' outputs, so
 scoring a text is a mean of one number per bucket, taken inside the tasks.
 """
@@ -20,6 +20,9 @@ from cellwise.llm.text import boundary_array, chunked, ngram_buckets, word_start
 BUCKETS = 1 << 16
 DIMENSIONS = 8
 ORDERS = (1, 3, 4, 5)
+# The bucket of a repeated word, and how many times it counts beside the word's own n-grams.
+REPEATED = 0
+REPEAT_WEIGHT = 4
 # Rows of each label and bytes of all of them that the fit reads at most, in expectation.
 ROWS_PER_LABEL = 1_500
 TRAINING_BYTES = 24 << 20
@@ -48,6 +51,10 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     letters = (array[:-1].astype(np.uint64) + np.uint64(7)) * (position.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(0x85EBCA77))
     sums = np.add.reduceat(letters * (letters >> np.uint64(15) | np.uint64(1)), starts)
     yield ((sums * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48)).astype(np.int64) % BUCKETS, text_of
+    # A word that its neighbour repeats is one more feature, the same for all words.
+    again = np.flatnonzero((sums[1:] == sums[:-1]) & (text_of[1:] == text_of[:-1]))
+    if len(again):
+        yield np.full(len(again) * REPEAT_WEIGHT, REPEATED), np.repeat(text_of[again], REPEAT_WEIGHT)
 
 
 def _means(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -24,7 +24,7 @@ TRAINING_BYTES = 64 << 20
 FEATURES = 4_096
 # A feature is in at least so many training texts, and this sure to differ between grades.
 LEAST_TEXTS = 3
-LEAST_GAIN = 9.0
+LEAST_GAIN = 8.5
 PENALTY = 0.01
 REJECT_AT = 0.5
 
