@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.llm.components import components
@@ -40,6 +40,8 @@ STEP, STEPS = 6, 3
 RADIUS = 6
 LONGEST = 12
 WORD = re.compile(r"\S+")
+# The same words for Spark's regular expressions.
+BLANK_FREE = r"(?U)[^\s\x1c-\x1f]+"
 KEY = ["doc", "row"]
 ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(32)
@@ -231,9 +233,10 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """``doc``, ``row`` and ``spans`` (start, end, first document) of what stands in an earlier one.
+    """``doc``, ``row`` and ``runs`` (start, end, firsts) of what stands in an earlier document.
 
-    ``texts`` has the columns doc, row (a hash of the text) and text.
+    ``texts`` has the columns doc, row (a hash of the text) and text. ``firsts`` are the documents
+    in which the parts of a run stand first.
     """
     # Lines: nodes by content, components by similarity, all but the first document give way.
     schema = texts.select(*KEY).schema
@@ -245,7 +248,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     )
     owners = named.groupBy("component").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     owners = owners.filter("first != last").select("component", "first")
-    line_spans = named.join(owners, "component").filter("doc is null or doc != first").select(*KEY, "start", "end", "first", F.lit(True).alias("whole"))
+    line_spans = named.join(owners, "component").filter("doc is null or doc != first").select(*KEY, "start", "end", "first")
 
     context = ", ".join(f"{c} int" for c in CONTEXT)
     parts = written(texts.mapInArrow(_paragraphs, f"{typed}, start int, end int, hash long, {context}"), "paragraphs")
@@ -267,31 +270,45 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         (F.col("start") - shared_words("before")).alias("start"),
         (F.col("end") + shared_words("after")).alias("end"),
         "first",
-        F.lit(False).alias("whole"),
     )
-    both = line_spans.unionByName(part_spans)
-    return both.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end", "first", "whole")).alias("spans"))
+    # A document has at most as many spans as paragraphs.
+    spans = F.array_sort(F.collect_list(F.struct("start", "end", "first")))
+    return (
+        line_spans.unionByName(part_spans)
+        .groupBy(*KEY)
+        .agg(spans.alias("spans"))
+        .select(*KEY, F.filter(merged(F.col("spans")), lambda r: r["end"] - r["start"] >= PASSAGE).alias("runs"))
+        .filter(F.size("runs") > 0)
+    )
 
 
-def merged(spans: list[dict]) -> list[tuple[int, int, list]]:
-    """Runs of adjoining spans that are long enough: (start, end, first documents)."""
-    runs: list[list] = []
-    for s in sorted(spans, key=lambda s: (s["start"], s["end"])):
-        if runs and s["start"] <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], s["end"])
-            runs[-1][2].add(s["first"])
-        else:
-            runs.append([s["start"], s["end"], {s["first"]}])
-    return [(a, b, sorted(f)) for a, b, f in runs if b - a >= PASSAGE]
+def merged(spans: Column) -> Column:
+    """Sorted spans joined where they meet: an array of (start, end, firsts)."""
+
+    def step(runs: Column, span: Column) -> Column:
+        last = F.try_element_at(runs, F.lit(-1))
+        alone = F.struct(span["start"].alias("start"), span["end"].alias("end"), F.array(span["first"]).alias("firsts"))
+        wider = F.struct(
+            last["start"].alias("start"),
+            F.greatest(last["end"], span["end"]).alias("end"),
+            F.array_union(last["firsts"], F.array(span["first"])).alias("firsts"),
+        )
+        meets = (F.size(runs) > 0) & (span["start"] <= last["end"])
+        before = F.slice(runs, 1, F.greatest(F.size(runs) - 1, F.lit(0)))
+        return F.when(meets, F.concat(before, F.array(wider))).otherwise(F.concat(runs, F.array(alone)))
+
+    none = F.filter(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array(s["first"]).alias("firsts"))),
+        lambda s: F.lit(False),
+    )
+    return F.aggregate(spans, none, step)
 
 
-def without(text: str, runs: list[tuple[int, int, list]]) -> str:
+def without(text: str, runs: list[tuple[int, int]]) -> str:
     """``text`` without the words of ``runs``; a blank that parted them from the next word goes."""
-    if not runs:
-        return text
     at = [m.start() for m in WORD.finditer(text)] + [len(text)]
     kept, done = [], 0
-    for start, end, _ in runs:
+    for start, end in runs:
         kept.append(text[done : at[start]])
         done = at[min(end, len(at) - 1)]
     kept.append(text[done:])
@@ -307,32 +324,38 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     with a null id is cut for any other, but none for it. Texts are read whole. The names of
     extra columns are kept, except that columns of these three names are replaced.
     """
-    rest = [c for c in docs.columns if c not in (id_col, text, "n_words", "n_removed", "repeats_of")]
+    added = ("n_words", "n_removed", "repeats_of")
+    kept = [c for c in docs.columns if c not in added]
     texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
-    spans = written(repeated_spans(texts), "spans").select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("spans").alias("_spans"))
-    # A span has about 20 bytes; a document has as many as it has repeated paragraphs.
-    n_spans = spans.agg(F.sum(F.size("_spans"))).first()[0] or 0
+    runs = repeated_spans(texts).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("runs").alias("_runs"))
+    runs = written(runs, "runs")
+    # A run has some 30 bytes.
+    n_runs = runs.agg(F.sum(F.size("_runs"))).first()[0] or 0
+    runs = small(runs, n_runs)
     same = F.col(id_col).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_row"))
-    joined = docs.select(id_col, text, *rest).join(small(spans, n_spans), same, "left")
 
+    def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for whole, starts, ends in batches:
+            yield pd.Series([without(t, list(zip(s.tolist(), e.tolist()))) for t, s, e in zip(whole, starts, ends)], dtype=object)
+
+    n_words = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(BLANK_FREE)).cast("long").alias("n_words")
     id_type = docs.schema[id_col].dataType.simpleString()
-    out_type = f"text string, n_words long, n_removed long, repeats_of array<{id_type}>"
-
-    def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts_, spans_ in batches:
-            new, words, gone, firsts = [], [], [], []
-            for t, s in zip(texts_.tolist(), spans_.tolist()):
-                runs = merged([dict(x) for x in s]) if s is not None and len(s) else []
-                n = len(t.split()) if t else 0
-                runs = [(max(0, a), min(n, b), f) for a, b, f in runs]
-                new.append(without(t, runs) if runs else t)
-                words.append(n)
-                gone.append(sum(b - a for a, b, _ in runs))
-                firsts.append(sorted({x for r in runs for x in r[2]}))
-            yield pd.DataFrame({"text": new, "n_words": words, "n_removed": gone, "repeats_of": firsts})
-
-    done = joined.select(id_col, *rest, F.pandas_udf(cut, out_type)(F.col(text), F.col("_spans")).alias("_cut"))
-    return done.select(*[F.col("_cut.text").alias(text) if c == text else F.col(c) for c in docs.columns if c not in ("n_words", "n_removed", "repeats_of")], "_cut.n_words", "_cut.n_removed", "_cut.repeats_of")
+    none = F.expr("array()").cast(f"array<{id_type}>")
+    # Texts without a repeat are most; they stay in the JVM.
+    whole = docs.join(runs, same, "left_anti").select(
+        *kept, n_words, F.lit(0).cast("long").alias("n_removed"), none.alias("repeats_of")
+    )
+    parts = docs.join(runs, same)
+    shorter = F.pandas_udf(cut, "string")(F.col(text), F.col("_runs.start"), F.col("_runs.end"))
+    n_removed = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    firsts = F.array_sort(F.array_distinct(F.flatten(F.col("_runs.firsts"))))
+    changed = parts.select(
+        *[shorter.alias(text) if c == text else F.col(c) for c in kept],
+        n_words,
+        n_removed.alias("n_removed"),
+        firsts.alias("repeats_of"),
+    )
+    return whole.unionByName(changed)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
