@@ -12,6 +12,7 @@ go through the recurrence.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -62,12 +63,19 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
     script = np.zeros(0x110000, np.int8)
     for first, last, name in SCRIPTS:
         script[first : last + 1] = SCRIPT_NAMES.index(name)
-    # Combining marks of a listed script carry on a word.
-    letter |= script > 0
-    letter[0] = False
     return letter, script
 
 
+@lru_cache(maxsize=1)
+def _in_words() -> np.ndarray:
+    """Code points of words: letters, and the marks of listed scripts, which carry words on."""
+    letter, script = _letters()
+    inside = letter.copy()
+    for i in np.flatnonzero((script > 0) & ~letter):
+        inside[i] = unicodedata.category(chr(i)).startswith("M")
+    return inside
+
+
 class Words:
     """The words of some texts in one array, with the buckets of their n-grams."""
 
@@ -75,10 +83,11 @@ class Words:
         is_letter, script = _letters()
         lowered = [t.lower() for t in texts]
         unspaced = [SCRIPT_NAMES.index(s) for s in UNSPACED]
-        self.array, self.text_of = boundary_array(lowered, is_letter, lambda cp: np.isin(script[cp], unspaced))
+        self.array, self.text_of = boundary_array(lowered, _in_words(), lambda cp: np.isin(script[cp], unspaced))
         self.starts = word_starts(self.array)
         self.script = script[self.array[self.starts + 1]] if len(self.starts) else np.zeros(0, np.int8)
-        self.letters = np.diff(np.append(self.starts, len(self.array) - 1)) - 1
+        counted = np.add.reduceat(is_letter[self.array], self.starts) if len(self.starts) else np.zeros(0)
+        self.letters = counted.astype(np.int64)
 
     def buckets(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         return ngram_buckets(self.array, ORDERS, BUCKETS)
@@ -123,7 +132,10 @@ class Model:
         prefix = run - gains
         lowest = np.minimum.accumulate(prefix - apart, axis=0) + apart
         largest = np.maximum.reduceat(run - lowest, edges, axis=0).max(axis=1)
+        lettered = np.add.reduceat(words.letters, edges) > 0
         for i, text in enumerate(which.tolist()):
+            if not lettered[i]:
+                continue
             name = self.languages[best[i]]
             if largest[i] <= self.switch:
                 out[text] = (name, 1.0, [(name, int(n_words[i]))])

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 # White space that may surround a cut. A text with any other kind is cut nowhere near it.
 CUT = " \t\n\r"
 PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-OTHER_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 # A cut for texts with other white space: both neighbours of the blank are plain ASCII marks.
 SAFE = re.compile(r"(?<=[!-~])(?= [!-~])")
 REMEMBERED = 400_000

@@ -134,6 +134,8 @@ def test_language_scripts_narrow(spark):
     model = trained(spark)
     assert model.label(["дом"])[0][0] == "ru"
     assert model.label(["漢字 漢字"])[0][0] in model.languages
+    # Signs and marks alone are no letters.
+    assert [x[0] for x in model.label(["× ÷", "\u0301", "3 \u0967", "хата́"])] == ["und", "und", "und", "ru"]
 
 
 def test_language_odd_rows(spark, odd_docs, no_docs):
