@@ -18,7 +18,8 @@ from cellwise.session import removed, written
 def _star(both: DataFrame) -> DataFrame:
     """Pairs (node, neighbour) with the least of a node and its neighbours as ``least``."""
     least = both.groupBy("a").agg(F.min("b").alias("m"))
-    return both.join(least.select(F.col("a").alias("a2"), F.least("a", "m").alias("least")), F.col("a") == F.col("a2")).drop("a2")
+    least = least.select(F.col("a").alias("a2"), F.least("a", "m").alias("least"))
+    return both.join(least, F.col("a") == F.col("a2")).drop("a2")
 
 
 def _mirrored(pairs: DataFrame) -> DataFrame:
@@ -31,9 +32,10 @@ def components(pairs: DataFrame, first: str, second: str) -> DataFrame:
     Nodes are of any ordered type. Pairs with a null or with equal ends link nothing. A node in
     no pair is not in the result: it is its own component.
     """
-    edges = pairs.select(F.greatest(first, second).alias("a"), F.least(first, second).alias("b"), F.col(first).isNotNull() & F.col(second).isNotNull() & (F.col(first) != F.col(second)))
-    edges = edges.filter(edges[2]).select("a", "b").distinct()
-    edges = written(edges, "links")
+    # A comparison with a null is not true, so such pairs go too.
+    unequal = pairs.filter(F.col(first) != F.col(second))
+    edges = unequal.select(F.greatest(first, second).alias("a"), F.least(first, second).alias("b"))
+    edges = written(edges.distinct(), "links")
     before = None
     while True:
         # Large star: the larger neighbours of every node, linked to its least one.
@@ -41,17 +43,13 @@ def components(pairs: DataFrame, first: str, second: str) -> DataFrame:
         # Small star: every node's smaller neighbours and itself, linked to its least one.
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         joined = large.join(least.select(F.col("a").alias("a2"), "least"), F.col("a") == F.col("a2"))
-        small = (
-            joined.filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-            .union(least.select("a", F.col("least").alias("b")))
-            .distinct()
-        )
-        new = written(small, "links")
+        inner = joined.filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        own = least.select("a", F.col("least").alias("b"))
+        new = written(inner.union(own).distinct(), "links")
         state = new.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
         removed(edges)
         edges = new
         if state == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-                edges.select("b", "b").distinct()
-            )
+            leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return leaves.union(edges.select("b", "b").distinct())
         before = state

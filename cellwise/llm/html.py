@@ -219,7 +219,12 @@ def extract(page: str | None, weights: Weights) -> str:
     return " ".join(p.text for p in parts[begin:end] if p.words and p.kind != "marked" and (p.inside or not own))
 
 
-def fit(pages: DataFrame, html_col: str = "html", sample_key: Column | None = None, labelled_pages: int = LABELLED_PAGES) -> Weights:
+def fit(
+    pages: DataFrame,
+    html_col: str = "html",
+    sample_key: Column | None = None,
+    labelled_pages: int = LABELLED_PAGES,
+) -> Weights:
     """Weights from a bounded sample of the pages that mark their article.
 
     Without such pages the prior counts alone decide.
@@ -253,7 +258,12 @@ def fit(pages: DataFrame, html_col: str = "html", sample_key: Column | None = No
     return Weights.learn(sides[True], sides[False])
 
 
-def main_text(pages: DataFrame, weights: Weights, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+def main_text(
+    pages: DataFrame,
+    weights: Weights,
+    html_col: str = "html",
+    keep: tuple[str, ...] = ("page_id", "url"),
+) -> DataFrame:
     """``keep`` columns, ``text`` and ``n_chars`` for every row of ``pages``.
 
     Null and empty pages, and pages without text, have empty text. A character reference is

@@ -136,11 +136,13 @@ def nearest(
     if lengths is None:
         return spark.createDataFrame([], schema)
     dim = lengths.d
-    rows = rows.filter(F.size("v") == dim).withColumn("class", F.xxhash64("v")).withColumn("twin", F.xxhash64(F.lit(SEED), "v"))
+    hashes = {"class": F.xxhash64("v"), "twin": F.xxhash64(F.lit(SEED), "v")}
+    rows = rows.filter(F.size("v") == dim).withColumns(hashes)
     key = ["class", "twin"]
 
     # Members: the k + 1 smallest ids of a class. Spark keeps as many per task before the exchange.
-    members = rows.select(*key, "id", "v").withColumn("n", F.row_number().over(W.partitionBy(*key).orderBy("id"))).filter(F.col("n") <= k + 1)
+    by_id = F.row_number().over(W.partitionBy(*key).orderBy("id"))
+    members = rows.select(*key, "id", "v", by_id.alias("n")).filter(F.col("n") <= k + 1)
     members = written(members, "members")
     classes = members.filter("n = 1").select(*key, "v")
     asking = written(rows.filter("asks").select(*key, "id").distinct(), "asking")
@@ -222,7 +224,11 @@ def nearest(
     cut = lambda n, of: F.pmod(F.xxhash64(*of), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     group = ["table", "bucket", "row_block", "ask_block"]
-    left = index.join(blocks, spot).withColumn("row_block", cut("rows", key)).select(*spot, "row_block", every("asks").alias("ask_block"), *key, "v")
+    left = (
+        index.join(blocks, spot)
+        .withColumn("row_block", cut("rows", key))
+        .select(*spot, "row_block", every("asks").alias("ask_block"), *key, "v")
+    )
     query = asked.select(F.col("class").alias("q_class"), F.col("twin").alias("q_twin"), F.col("v").alias("q"))
     right = (
         spots.join(blocks, spot)

@@ -190,7 +190,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 places = [pa.array(np.array(x, np.int32)) for x in (start, end)]
                 offsets = pa.array(np.arange(0, BANDS * len(of) + 1, BANDS), pa.int32())
                 bands_of = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(banded)))
-                columns = _taken(batch, np.array(of)) + places + [pa.array(_signed(np.array(own, np.uint64))), bands_of]
+                hashes = pa.array(_signed(np.array(own, np.uint64)))
+                columns = [*_taken(batch, np.array(of)), *places, hashes, bands_of]
                 yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "start", "end", "hash", "bands"])
 
 
@@ -208,7 +209,8 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for place in places:
                 sets.append(_signed(words.shingles(place["start"], place["end"])).tolist())
                 hashes.append(place["hash"])
-        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["hash", "shingles"])
+        columns = [pa.array(hashes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["hash", "shingles"])
 
 
 def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
@@ -248,7 +250,8 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     )
     owners = named.groupBy("component").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     owners = owners.filter("first != last").select("component", "first")
-    line_spans = named.join(owners, "component").filter("doc is null or doc != first").select(*KEY, "start", "end", "first")
+    later = named.join(owners, "component").filter("doc is null or doc != first")
+    line_spans = later.select(*KEY, "start", "end", "first")
 
     context = ", ".join(f"{c} int" for c in CONTEXT)
     parts = written(texts.mapInArrow(_paragraphs, f"{typed}, start int, end int, hash long, {context}"), "paragraphs")
@@ -326,9 +329,9 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     """
     added = ("n_words", "n_removed", "repeats_of")
     kept = [c for c in docs.columns if c not in added]
-    texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
-    runs = repeated_spans(texts).select(F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("runs").alias("_runs"))
-    runs = written(runs, "runs")
+    named = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
+    runs = repeated_spans(named.filter(F.col("text").isNotNull()))
+    runs = written(runs.toDF("_doc", "_row", "_runs"), "runs")
     # A run has some 30 bytes.
     n_runs = runs.agg(F.sum(F.size("_runs"))).first()[0] or 0
     runs = small(runs, n_runs)
@@ -336,7 +339,8 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
 
     def cut(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for whole, starts, ends in batches:
-            yield pd.Series([without(t, list(zip(s.tolist(), e.tolist()))) for t, s, e in zip(whole, starts, ends)], dtype=object)
+            cut_texts = [without(t, list(zip(s, e))) for t, s, e in zip(whole, starts, ends)]
+            yield pd.Series(cut_texts, dtype=object)
 
     n_words = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(BLANK_FREE)).cast("long").alias("n_words")
     id_type = docs.schema[id_col].dataType.simpleString()

@@ -48,7 +48,8 @@ def features(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield buckets[at], place[at]
     # Whole words: a sum over their letters, each multiplied by its place in the word.
     position = np.arange(len(place)) - np.repeat(starts, np.diff(np.append(starts, len(array) - 1)))
-    letters = (array[:-1].astype(np.uint64) + np.uint64(7)) * (position.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(0x85EBCA77))
+    by_place = position.astype(np.uint64) * np.uint64(0x9E3779B1) + np.uint64(0x85EBCA77)
+    letters = (array[:-1].astype(np.uint64) + np.uint64(7)) * by_place
     sums = np.add.reduceat(letters * (letters >> np.uint64(15) | np.uint64(1)), starts)
     yield ((sums * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(48)).astype(np.int64) % BUCKETS, text_of
     # A word that its neighbour repeats is one more feature, the same for all words.
@@ -152,20 +153,28 @@ def fit(
     total = sum(sizes.values())
     if len(sizes) < 2:
         share = sizes.get(1, 0) / total if total else 0.5
-        return Model(np.zeros(BUCKETS, np.float32), float(np.clip(np.log((share + 1e-9) / (1 - share + 1e-9)), -30, 30)))
+        odds = np.log((share + 1e-9) / (1 - share + 1e-9))
+        return Model(np.zeros(BUCKETS, np.float32), float(np.clip(odds, -30, 30)))
     part = F.when(F.col("label") == 1, min(1.0, rows_per_label / sizes[1])).otherwise(min(1.0, rows_per_label / sizes[0]))
     chosen = known.filter(F.pmod(key, F.lit(1 << 20)) < part * (1 << 20)).distinct()
     # Some 2 * rows_per_label ids: broadcast, so that the texts are filtered as they are read.
     sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     size = sample.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    thinned = sample.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(min(1.0, training_bytes / max(1, size)) * (1 << 20)))
+    fair = int(min(1.0, training_bytes / max(1, size)) * (1 << 20))
+    thinned = sample.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < fair)
     rows = sorted((r.doc_id, r.text, r.label) for r in thinned.collect())
     if len({r[2] for r in rows}) < 2:
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(sizes[1] / sizes[0])))
     return train([r[1] for r in rows], np.array([r[2] for r in rows]), prior=sizes[1] / total)
 
 
-def scored(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD) -> DataFrame:
+def scored(
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    threshold: float = THRESHOLD,
+) -> DataFrame:
     """``keep`` columns, ``score`` (likelihood of label 1) and ``predicted`` for every row.
 
     Null and empty texts score the bias alone; texts are read whole; repeated rows score alike.

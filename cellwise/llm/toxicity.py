@@ -46,7 +46,14 @@ class Model:
         return float(sum(1 / (1 + np.exp(np.clip(self.thresholds - total, -30, 30)))))
 
 
-def train(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades: int, shares: np.ndarray, rounds: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def train(
+    rows: list[list[int]],
+    grades: np.ndarray,
+    n_features: int,
+    n_grades: int,
+    shares: np.ndarray,
+    rounds: int = 400,
+) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient descent with momentum on the penalised likelihood.
 
     ``shares`` are the grades' shares in the population; rows are weighted to match them.
@@ -65,7 +72,8 @@ def train(rows: list[list[int]], grades: np.ndarray, n_features: int, n_grades:
     curvature = np.bincount(ids, row_weight[of], n_features) * 0.25 + PENALTY * row_weight.max()
     for _ in range(rounds):
         total = np.bincount(of, weights[ids], len(rows))
-        below = np.concatenate([np.zeros((len(rows), 1)), sigmoid(thresholds[None, :] - total[:, None]), np.ones((len(rows), 1))], axis=1)
+        inner = sigmoid(thresholds[None, :] - total[:, None])
+        below = np.pad(inner, ((0, 0), (1, 1)), constant_values=((0, 0), (0, 1)))
         high, low = below[padded_at, grades + 1], below[padded_at, grades]
         p = np.maximum(high - low, 1e-12)
         d_high, d_low = high * (1 - high), low * (1 - low)
@@ -121,10 +129,10 @@ def fit(
         F.count("*").alias("n"), F.array(*in_grade).alias("by")
     ).filter(F.col("n") >= LEAST_TEXTS)
     rows_in_all = sum(counts.values())
-    gain = sum(
-        (F.get("by", i) * F.ln((F.get("by", i) + 1e-9) / (F.col("n") * (counts[g] / rows_in_all))) for i, g in enumerate(sorted(counts))),
-        F.lit(0.0),
-    )
+    gain = F.lit(0.0)
+    for i, g in enumerate(sorted(counts)):
+        due = F.col("n") * (counts[g] / rows_in_all)
+        gain = gain + F.get("by", i) * F.ln((F.get("by", i) + 1e-9) / due)
     best = by_word.withColumn("gain", gain).filter(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "word").limit(FEATURES)
     vocabulary = sorted(r.word for r in best.select("word").collect())
     number = {w: i for i, w in enumerate(vocabulary)}
@@ -140,7 +148,13 @@ def fit(
     return Model({w: float(weights[i]) for w, i in number.items()}, thresholds, kinds)
 
 
-def severities(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",), reject_at: float = REJECT_AT) -> DataFrame:
+def severities(
+    docs: DataFrame,
+    model: Model,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    reject_at: float = REJECT_AT,
+) -> DataFrame:
     """``keep`` columns, ``severity``, ``grade`` (nearest) and ``toxic`` for every row of ``docs``.
 
     Null, empty and wordless texts have no feature: their severity is that of the thresholds
