@@ -248,9 +248,11 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     named = lines.join(alike, lines["hash"] == alike["node"], "left").select(
         *KEY, "start", "end", F.coalesce("component", "hash").alias("component")
     )
+    named = written(named, "named-lines")
     owners = named.groupBy("component").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    owners = owners.filter("first != last").select("component", "first")
-    later = named.join(owners, "component").filter("doc is null or doc != first")
+    # Stored, so that a component of very many lines meets them in a plain join, which AQE splits.
+    owners = written(owners.filter("first != last").select("component", "first"), "owners")
+    later = named.join(small(owners, owners.count()), "component").filter("doc is null or doc != first")
     line_spans = later.select(*KEY, "start", "end", "first")
 
     context = ", ".join(f"{c} int" for c in CONTEXT)
