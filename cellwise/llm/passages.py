@@ -4,8 +4,9 @@ A passage is removed from every document but the first that has it, by id. Parag
 be one are found in two ways:
 
 * Lines of ``PASSAGE`` words or more get a MinHash signature over their shingles of five words,
-  cut into bands. Lines that agree in a band are compared with the band's representative, exactly,
-  by Jaccard similarity; similar lines become components.
+  cut into bands. Lines that agree in a band are compared with the band's representative, and
+  where that leaves several components with each other, exactly, by Jaccard similarity; similar
+  lines become components.
 * Passages inside of other text: a document is cut into short paragraphs at words that their
   neighbourhood alone chooses, so a passage is cut alike wherever it stands. Equal ones collide in
   a single band, the hash of their content. Consecutive paragraphs that stand in an earlier
@@ -214,26 +215,84 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
-    """Pairs (``x``, ``y``) of line hashes with a Jaccard similarity of ``SIMILARITY`` or more."""
+    """Pairs (``x``, ``y``) of line hashes with a Jaccard similarity of ``SIMILARITY`` or more.
+
+    Within a bucket of a band all are compared with one representative, which joins large groups
+    at the cost of one pair a line. Lines of buckets that are still of several components then
+    meet across these by ``shared_prefixes``, so no similar pair of a bucket stays apart.
+    """
     nodes = lines.select("hash", F.posexplode("bands").alias("band", "value")).distinct()
-    # The representative of a band differs from band to band, so a bad one costs one band only.
+    # The representative of a band differs from band to band, so most groups are joined by one.
     shared = nodes.groupBy("band", "value").agg(
-        F.min_by("hash", F.xxhash64("hash", "value")).alias("y"), F.min("hash").alias("low"), F.max("hash").alias("high")
+        F.min_by("hash", F.xxhash64("hash", "value")).alias("y"),
+        F.min("hash").alias("low"),
+        F.max("hash").alias("high"),
+        F.count("*").alias("size"),
     )
-    shared = shared.filter("low != high").select("band", "value", "y")
-    pairs = written(nodes.join(shared, ["band", "value"]).filter("hash != y").select(F.col("hash").alias("x"), "y").distinct(), "line-pairs")
-    wanted = pairs.select(F.col("x").alias("hash")).union(pairs.select("y")).distinct()
+    shared = shared.filter("low != high").select("band", "value", "y", "size")
+    members = nodes.join(shared, ["band", "value"]).select("band", "value", "hash", "y", "size")
+    members = written(members, "line-members")
+    pairs = members.filter("hash != y").select(F.col("hash").alias("x"), "y").distinct()
+    wanted = members.select("hash").distinct()
     first = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.min(F.struct(*KEY, "start", "end")).alias("p"))
     places = first.groupBy("p.doc", "p.row").agg(F.collect_list(F.struct("hash", "p.start", "p.end")).alias("places"))
     places = written(places, "line-places")
     found = texts.join(small(places, places.count()), KEY).select("text", "places")
     sets = written(found.mapInArrow(_shingled, "hash long, shingles array<long>").dropDuplicates(["hash"]), "line-shingles")
+    near = written(_similar(pairs, sets), "similar-lines")
+    # A bucket of two has been compared whole.
+    joined = components(near, "x", "y")
+    several = members.filter("size > 2").join(joined, members["hash"] == joined["node"], "left")
+    several = several.select("band", "value", "hash", F.coalesce("component", "hash").alias("component"))
+    mixed = several.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = mixed.filter("low != high").select("band", "value")
+    apart = written(several.join(mixed, ["band", "value"]).select("hash", "component").distinct(), "lines-apart")
+    return near.union(_similar(shared_prefixes(sets.join(apart, "hash")), sets))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose shingles are similar."""
     x, y = (sets.select(F.col("hash").alias(n), F.col("shingles").alias(f"{n}_set")) for n in ("x", "y"))
     both = pairs.join(x, "x").join(y, "y")
     common = F.size(F.array_intersect("x_set", "y_set"))
     return both.filter(common >= SIMILARITY * (F.size("x_set") + F.size("y_set") - common)).select("x", "y")
 
 
+def shared_prefixes(sets: DataFrame) -> DataFrame:
+    """Pairs (``x``, ``y``) that hold all similar ones of different ``component``, and few others.
+
+    Two similar sets share an element among the rarest of each: a fifth of the larger one's and a
+    ninth of the smaller one's (Xiao et al., 2008). Elements of one component only come first in
+    that order and link nothing, so lines that share a template and no more meet nobody.
+    """
+    size = F.size("shingles").alias("n")
+    each = written(sets.select("hash", "component", size, F.explode("shingles").alias("s")), "shingle-rows")
+    common = each.groupBy("s").agg(
+        F.count("*").alias("lines"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    common = common.filter("low != high").select("s", "lines")
+    # A line has at most as many of them as shingles.
+    ranked = each.join(common, "s").groupBy("hash", "component", "n").agg(
+        F.sort_array(F.collect_list(F.struct("lines", "s"))).alias("common")
+    )
+
+    def rarest(share: float) -> Column:
+        needed = F.ceil(F.lit(share) * F.col("n") - F.lit(1e-9)).cast("int")
+        return F.slice("common", F.lit(1), F.greatest(F.size("common") - needed + 1, F.lit(0)))
+
+    both = 2 * SIMILARITY / (1 + SIMILARITY)
+    ranked = ranked.select("hash", "component", "n", rarest(SIMILARITY).alias("larger"), rarest(both).alias("smaller"))
+    ranked = written(ranked.filter(F.size("larger") > 0), "rarest-shingles")
+
+    def side(name: str, prefix: str) -> DataFrame:
+        rows = ranked.select("*", F.explode(prefix).alias("p"))
+        return rows.select(F.col("p.s").alias("s"), *[F.col(c).alias(f"{name}_{c}") for c in ("hash", "component", "n")])
+
+    met = side("x", "larger").join(side("y", "smaller"), "s")
+    met = met.filter(f"x_component != y_component AND y_n <= x_n AND y_n >= {SIMILARITY} * x_n")
+    return met.select(F.col("x_hash").alias("x"), F.col("y_hash").alias("y")).distinct()
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """``doc``, ``row`` and ``runs`` (start, end, firsts) of what stands in an earlier document.
 
