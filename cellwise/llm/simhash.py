@@ -14,6 +14,7 @@ of all documents share is one row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -221,12 +222,7 @@ def near_duplicates(
     smallest one, and a component of null ids only has a null ``component_id``.
     """
     found = written(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))), "fingerprints")
-    distinct = written(found.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
-    joined = components(links(distinct, distance), "x", "y")
-    joined = written(joined, "components")
-    of = distinct.join(joined, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    of = _components_of(found, distance)
     # The smallest id of a component: a small table of components, added up before its exchange.
     named = of.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = of.join(named, "component").select("fp", "component_id")
@@ -235,16 +231,36 @@ def near_duplicates(
     )
 
 
+def _components_of(found: DataFrame, distance: int) -> DataFrame:
+    """``fp``, its smallest id as ``least``, and ``component`` (a fingerprint) for every ``fp`` of ``found``."""
+    distinct = written(found.groupBy("fp").agg(F.min("id").alias("least")), "distinct-fingerprints")
+    joined = written(components(links(distinct, distance), "x", "y"), "components")
+    return distinct.join(joined, F.col("fp") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")
+    )
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+    """``docs`` with one row of each component: one with its smallest id, a null id last.
 
-    Of several rows with that id, the one with the least text stays (null counts as empty).
-    Components of null ids only keep one such row.
+    Of several rows of a component with that id, the one with the least hash of its text stays
+    (null counts as empty), and of rows that share both, one. Other components with the same id,
+    null included, keep their own rows.
     """
-    first = near_duplicates(docs, id_col, text).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
-    ids = written(first.groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("_rows")), "kept")
-    kept = docs.join(small(ids, ids.count()), F.col(id_col).eqNullSafe(F.col("_kept")))
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    keys = docs.select(F.col(id_col).alias("id"), own.alias("hash"), F.col(text).alias("text"))
+    found = written(fingerprints(keys), "fingerprints")
+    counted = found.groupBy("fp", "id", "hash").agg(F.count("*").alias("rows"))
+    of = _components_of(found, DISTANCE).select("fp", "component")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "hash", "rows")
+    first = counted.join(of, "fp").groupBy("component").agg(F.min(order).alias("first"))
+    first = first.select(F.col("first.id").alias("_id"), F.col("first.hash").alias("_hash"), F.col("first.rows").alias("_rows"))
+    first = written(first, "kept")
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (own == F.col("_hash"))
+    kept = docs.join(small(first, first.count()), same)
     columns = docs.columns
-    least = F.min_by(F.struct(*columns), F.coalesce(F.col(text), F.lit("")))
-    several = kept.filter("_rows > 1").groupBy("_kept").agg(least.alias("_one")).select("_one.*")
+    # Rows of one id and text differ in other columns at most; those with a map have no hash.
+    others = [F.col(f.name) for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    least = F.min_by(F.struct(*columns), F.xxhash64(*others, *[c.isNull() for c in others]))
+    several = kept.filter("_rows > 1").groupBy("_id", "_hash").agg(least.alias("_one")).select("_one.*")
     return kept.filter("_rows = 1").select(*columns).union(several)

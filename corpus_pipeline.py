@@ -6,7 +6,7 @@ columns of ``documents``; the last returns the mix: one row per document left, w
 taken of it. Any stage's failure can be repeated from the table before it.
 
 Null and empty texts pass every filter; repeated rows are judged alike, except that near-duplicate
-removal keeps the rows that share the first id of a group; empty tables give empty tables.
+removal keeps one row of a group; empty tables give empty tables.
 """
 
 from __future__ import annotations
