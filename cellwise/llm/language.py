@@ -137,7 +137,9 @@ class Model:
             if not lettered[i]:
                 continue
             name = self.languages[best[i]]
-            if largest[i] <= self.switch:
+            # A path with m runs in other languages gains at most m * largest and switches m - 1
+            # times or more, and one run of all words gains nothing; rounding goes to the recurrence.
+            if 2 * largest[i] < self.switch - 1e-6:
                 out[text] = (name, 1.0, [(name, int(n_words[i]))])
                 continue
             path = viterbi(scores[edges[i] : ends[i]], self.switch)
