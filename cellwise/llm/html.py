@@ -21,14 +21,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Quotes enclose a value after an equals sign only, of any length; one that is never closed is a
+# character, and the tag ends at the next bracket.
+_ATTRIBUTES = r"(?:[^<>=\"']++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(?P<raw>script|style|xmp)\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
-    r"|<(?P<close>/?)(?P<name>[a-z][^\s<>/]*)(?P<attributes>(?:[^<>\"']|\"[^\"]{0,4000}\"|'[^']{0,4000}')*|[^<>]*)>"
+    rf"|<(?P<raw>script|style|xmp)\b{_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|$)"
+    rf"|<(?P<close>/?)(?P<name>[a-z][^\s<>/]*)(?P<attributes>{_ATTRIBUTES}|[^<>]*)>"
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|itemprop)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# Every attribute is read, so that a name within another one's value is none.
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 BLOCKS = frozenset(
     "address article aside blockquote body br button caption center dd details dialog div dl dt"
