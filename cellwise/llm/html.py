@@ -6,7 +6,8 @@ and the blocks of text in it are the article. What an element's name or its clas
 mark as menu, header, footer, sidebar, notice, advert, form, comment or the like is never text.
 
 Labelled pages are those that mark their article themselves, with an article or main element;
-what they teach holds for pages that don't. A page's own mark, where it has one, also counts.
+what they teach holds for pages that don't. A page's own mark, where it holds a fair share of the
+page's words, is one bounded term of the score; the run decides.
 """
 
 from __future__ import annotations
@@ -57,6 +58,8 @@ HINTS = frozenset(
 )
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 HEADERS = frozenset(["header", "topbar"])
+# An article in one of these is a teaser or the like.
+APART = frozenset(["aside", "nav", "footer"])
 REMARKS = frozenset("comment comments discussion disqus replies reply respond".split())
 
 # What labelled pages are taken to have shown before any was read: (inside, outside) words of
@@ -67,7 +70,12 @@ PRIOR_TAG = (5.0, 5.0)
 # sidebar within an article does not split it.
 MARKED_SHARE = 0.02
 TAG_SHARE = 0.25
+# A page's own mark is one term of a word's score, as large as the learned weight may become: text
+# beside the marked part doesn't pay, text between marked parts may. It counts where the marked
+# part holds so much of the page's plain words.
+PLAIN_MOST = 3.0
 OWN_MARK = 3.0
+FAIR_SHARE = 0.25
 LABELLED_PAGES = 2_000
 
 
@@ -99,7 +107,7 @@ def parse(page: str) -> list[Part]:
     """Tags and blocks of a page in order. Unclosed and stray tags are tolerated."""
     parts: list[Part] = []
     pieces: list[str] = []
-    # Open elements that matter: (name, is marked, is article, marked as a remark).
+    # Open elements that matter: (name, is marked, is article, is a remark or apart).
     stack: list[tuple[str, bool, bool, bool]] = []
     state = {"linked": 0, "chars": 0, "a": 0}
 
@@ -151,19 +159,20 @@ def parse(page: str) -> list[Part]:
         marked, inside = now()
         remark = stack[-1][3] if stack else False
         words, hidden = _hints(m["attributes"]) if "=" in m["attributes"] or "hidden" in m["attributes"] else (set(), False)
-        is_article = name in ("article", "main")
         own = name in NEVER or hidden or bool(words & HINTS) and name not in ("html", "body", "main")
         if name == "header" or words & HEADERS and name not in ("html", "body", "main", "article"):
             own = own or not inside
-        if is_article and not remark and not (words & REMARKS):
-            own = marked = False  # an article begins anew within whatever wraps it
+        remark = remark or bool(words & REMARKS)
+        is_article = name in ("article", "main") and not remark
+        if is_article:
+            own = marked = False  # an article begins anew within whatever wraps it, but for these
         changes = own != marked and own or is_article
         if name in BLOCKS or changes:
             flush(*now())
         if name == "a":
             state["a"] = 1
         if name not in VOID and (name in BLOCKS or own or is_article):
-            stack.append((name, marked or own, inside or is_article, remark or bool(words & REMARKS)))
+            stack.append((name, marked or own, inside or is_article, remark or name in APART))
         if name in BLOCKS:
             parts.append(Part(name, "", 0, now()[1]))
     text(page[end:])
@@ -184,7 +193,7 @@ class Weights:
         words, tags = {}, {}
         for kind, (own, other) in PRIOR_WORDS.items():
             words[kind] = math.log((inside[kind] + own) / (outside[kind] + other))
-        words["plain"] = max(words["plain"], 0.5)
+        words["plain"] = min(max(words["plain"], 0.5), PLAIN_MOST)
         words["marked"] = min(words["marked"], 0.0) * MARKED_SHARE
         for name in set(inside) | set(outside):
             if name not in PRIOR_WORDS:
@@ -206,21 +215,28 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return begin, end
 
 
+def has_own_mark(parts: list[Part]) -> bool:
+    """Whether article or main elements hold a fair share of the page's plain words."""
+    inside = sum(p.words for p in parts if p.inside and p.kind == "plain")
+    return inside > 0 and inside >= FAIR_SHARE * sum(p.words for p in parts if p.kind == "plain")
+
+
 def extract(page: str | None, weights: Weights) -> str:
     """The text of a page's article: blocks of the best run, joined by one space."""
     parts = parse(page or "")
-    own = any(p.inside for p in parts)
+    own = has_own_mark(parts)
     scores = []
     for p in parts:
+        inside = own and p.inside
         if not p.words:
             scores.append(weights.tags.get(p.kind, weights.new_tag))
         elif p.kind == "marked":
-            scores.append(0.0 if p.inside else weights.words["marked"] * p.words)
+            scores.append(0.0 if inside else weights.words["marked"] * p.words)
         else:
-            mark = 0.0 if not own else OWN_MARK if p.inside else -2 * OWN_MARK - 2 * abs(weights.words["plain"])
-            scores.append((max(weights.words[p.kind], 0.5 if p.inside else -99.0) + mark) * p.words)
+            mark = 0.0 if not own else OWN_MARK if inside else -OWN_MARK
+            scores.append((max(weights.words[p.kind], 0.5 if inside else -99.0) + mark) * p.words)
     begin, end = best_run(scores)
-    return " ".join(p.text for p in parts[begin:end] if p.words and p.kind != "marked" and (p.inside or not own))
+    return " ".join(p.text for p in parts[begin:end] if p.words and p.kind != "marked")
 
 
 def fit(
@@ -242,7 +258,10 @@ def fit(
         counts: dict[bool, Counter] = {True: Counter(), False: Counter()}
         for batch in batches:
             for page in batch["html"]:
-                for p in parse(page):
+                parts = parse(page)
+                if not has_own_mark(parts):
+                    continue  # its mark is no label
+                for p in parts:
                     counts[p.inside][p.kind] += p.words or 1
         for inside, found in counts.items():
             if not found:
