@@ -3,8 +3,8 @@
 A passage is removed from every document but the first that has it, by id. Paragraphs that may
 be one are found in two ways:
 
-* Lines of ``PASSAGE`` words or more get a MinHash signature over their shingles of five words,
-  cut into bands. Lines that agree in a band are compared with the band's representative, and
+* Lines of ``PASSAGE`` words or more, and paragraphs and windows of shorter lines, get a MinHash
+  signature over their shingles of five words, cut into bands. Lines that agree in a band are compared with the band's representative, and
   where that leaves several components with each other, exactly, by Jaccard similarity; similar
   lines become components.
 * Passages inside of other text: a document is cut into short paragraphs at words that their
@@ -18,6 +18,7 @@ Runs of ``PASSAGE`` words or more are cut out. Exchanges carry hashes and places
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,15 +121,65 @@ def bands(shingled: np.ndarray) -> np.ndarray:
 
 
 def lines_of(text: str) -> Iterator[tuple[int, int]]:
-    """First and last-but-one word of every line that is long enough."""
+    """First and last-but-one word of every line that is long enough, and of every paragraph of
+    shorter lines.
+
+    A paragraph is a block of lines without a blank one between them. Shorter blocks that follow
+    each other, and blocks of over ``3 * PASSAGE`` words, are cut into windows of lines.
+    """
     at = 0
-    for line in text.split("\n"):
-        n = len(line.split())
-        if n >= PASSAGE:
+    block: list[tuple[int, int, int]] = []
+    several: list[tuple[int, int, int]] = []
+    for line in [*text.split("\n"), None]:
+        words = (line or "").split()
+        n = len(words)
+        if 0 < n < PASSAGE:
+            block.append((at, at + n, zlib.crc32(" ".join(words).encode("utf-8", "surrogatepass"))))
+            at += n
+            continue
+        if block:
+            first, last = block[0][0], block[-1][1]
+            if last - first < PASSAGE:
+                several += block
+            else:
+                yield first, last
+                yield from _windows(several)
+                several = []
+                if last - first > 3 * PASSAGE:
+                    yield from ((s, e) for s, e in _windows(block) if 2 * (e - s) <= last - first)
+            block = []
+        if n or line is None:
+            yield from _windows(several)
+            several = []
+        if n:
             yield at, at + n
         at += n
 
 
+def _windows(lines: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Consecutive lines (start, end, hash) cut at those of the least hash among all that begin
+    within ``PASSAGE`` words, so the cuts move with the content and no window is shorter.
+
+    What precedes the first cut is a window too, if it is long enough.
+    """
+    if not lines or lines[-1][1] - lines[0][0] < PASSAGE:
+        return
+    cuts = [lines[0][0]]
+    low = 0
+    for i, (start, _, own) in enumerate(lines):
+        while start - lines[low][0] >= PASSAGE:
+            low += 1
+        if any(h <= own for _, _, h in lines[low:i]):
+            continue
+        high = i + 1
+        while high < len(lines) and lines[high][0] - start < PASSAGE and lines[high][2] >= own:
+            high += 1
+        if (high == len(lines) or lines[high][0] - start >= PASSAGE) and start > cuts[-1]:
+            cuts.append(start)
+    cuts.append(lines[-1][1])
+    yield from ((s, e) for s, e in zip(cuts, cuts[1:]) if e - s >= PASSAGE)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
 
