@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cellwise.llm import decontamination, mixing
+from cellwise.llm import decontamination, mixing, negatives, rules, spelling
 
 ORACLES: dict[str, str] = {}
 
@@ -76,3 +76,116 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """
+
+ORACLES["op11_negatives"] = f"""
+WITH rows AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.id AS a, a.label AS own, r.id AS id, r.label AS label, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.id % 100 = 0 AND a.id <> r.id
+), positives AS (
+  SELECT a, own, id, score FROM scores WHERE own = label
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id) <= {negatives.POSITIVES}
+)
+SELECT p.a AS anchor_id, p.id AS positive_id,
+  row_number() OVER (PARTITION BY p.a, p.id ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.a = p.a AND s.label <> p.own
+  AND 100 * s.score BETWEEN {negatives.LEAST} * p.score AND {negatives.MOST} * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.id ORDER BY s.score DESC, s.id) <= {negatives.NEGATIVES}
+"""
+
+# Near words by edit distance over all pairs. DuckDB's distance counts bytes, so letters beyond
+# ASCII take the place of signs that words do not have.
+_WIDE = "".join(map(chr, range(0xC0, 0x100)))
+_NARROW = "".join(map(chr, range(0x21, 0x61))).replace("'", "''")
+_LOWERED = f"translate(text, '{spelling.UPPER}', '{spelling.LOWER}')"
+ORACLES["op12_spelling"] = f"""
+WITH RECURSIVE steps AS (
+  SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), byte_table AS (
+  SELECT list(c ORDER BY i) AS crcs FROM steps WHERE k = 8
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), keyed AS (
+  SELECT run, count(*) AS n, hex(encode(id || ':' || run)) AS bytes FROM runs WHERE length(run) >= {spelling.MIN_LENGTH} GROUP BY id, run
+), hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(bytes), 2), lambda i: ('0x' || substr(bytes, i, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]))) AS h
+  FROM keyed, byte_table
+), words AS (
+  SELECT CASE WHEN h % {spelling.ERRORS} = 0
+    THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+  FROM hashed
+), counts AS (
+  SELECT word, sum(n)::BIGINT AS n, translate(word, '{_WIDE}', '{_NARROW}') AS short FROM words
+  WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY word HAVING sum(n) >= {spelling.MIN_COUNT}
+), near AS (
+  SELECT a.word, count(*) AS n_near, min((-b.n, b.word)) AS best
+  FROM counts a JOIN counts b ON length(b.word) BETWEEN length(a.word) - 1 AND length(a.word) + 1
+    AND levenshtein(a.short, b.short) = 1
+  GROUP BY a.word
+), formed AS (
+  SELECT c.word, c.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN -best[1] >= {spelling.RATIO} * c.n THEN best[2] END AS form,
+    CASE WHEN -best[1] >= {spelling.RATIO} * c.n THEN -best[1] END AS form_n
+  FROM counts c LEFT JOIN near USING (word)
+), paths AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT p.word, f.form FROM paths p JOIN formed f ON f.word = p.root WHERE f.form IS NOT NULL
+), ends AS (
+  SELECT p.word, p.root FROM paths p JOIN formed f ON f.word = p.root WHERE f.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+_SENTENCE_END = rules.SENTENCE_END.replace("'", "''")
+ORACLES["op13_rules"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '{rules.WORD}') AS words FROM d
+), l AS (
+  SELECT r, line, count(*) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '{rules.WORD}') GROUP BY r, line
+), judged AS (
+  SELECT r, n, line, len(regexp_extract_all(line, '{rules.WORD}')) AS m FROM l
+), lines AS (
+  SELECT r, sum(n - 1)::BIGINT AS dup, coalesce(sum(m) FILTER (
+    regexp_matches(line, '{_SENTENCE_END}')
+    AND 4 * len(regexp_extract_all(line, '{rules.DOUBLED}')) <= m
+    AND 4 * len(regexp_extract_all(line, '{rules.SYMBOL}')) <= m
+    AND 4 * len(regexp_extract_all(line, '{rules.SEPARATOR}')) <= m
+    AND NOT regexp_matches(line, '{rules.MENU}')
+    AND NOT (m <= {rules.BOILERPLATE_WORDS} AND regexp_matches(line, '{rules.BOILERPLATE}'))), 0)::BIGINT AS left_over
+  FROM judged GROUP BY r
+), runs AS (
+  SELECT r, i, words[i] AS a, words[i + 1] AS b, words[i + 2] AS c
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) > 2)
+), repeated AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS k FROM runs) WHERE k > 1
+), covered AS (
+  SELECT r, count(*) AS n FROM (SELECT DISTINCT r, unnest(range(i, i + 3)) AS p FROM repeated) GROUP BY r
+), figures AS (
+  SELECT w.r, doc_id, len(words)::BIGINT AS n_words,
+    (length(t) - len(regexp_extract_all(t, '[\x20\x09-\x0D]')))::BIGINT AS word_chars,
+    len(regexp_extract_all(t, '{rules.SYMBOL}'))::BIGINT AS n_symbols,
+    coalesce(dup, 0)::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(left_over, 0)::BIGINT AS n_left
+  FROM w LEFT JOIN lines USING (r) LEFT JOIN covered USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words AS base_failed,
+  NOT (n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words)
+    AND 100 * (n_words - n_left) <= {rules.MAX_LOST} * n_words AS kept,
+  n_left
+FROM figures
+"""

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellwise.llm import decontamination, html, language, mixing, neighbours, passages, quality, simhash, tokens, toxicity
+from cellwise.llm import (
+    decontamination,
+    html,
+    language,
+    mixing,
+    negatives,
+    neighbours,
+    passages,
+    quality,
+    rules,
+    simhash,
+    spelling,
+    tokens,
+    toxicity,
+)
 from cellwise.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +111,20 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.line_cleaned(table(spark, sf_dir, "documents")).drop("cleaned")
