@@ -78,7 +78,7 @@ def test_verdicts(spark):
     junk = "click | here | now | and | then | there"
     texts = [
         "\n".join(good),
-        "\n".join([*good, "", junk, good[0]]),
+        "\n".join([*good, "", junk, "Next"]),
         "\n".join([*good, *[f"{junk} {i}" for i in range(9)]]),
         "\n".join(good[:2]),
         "\n".join([good[0]] * 4),
