@@ -79,7 +79,7 @@ def test_verdicts(spark):
     texts = [
         "\n".join(good),
         "\n".join([*good, "", junk, "Next"]),
-        "\n".join([*good, *[f"{junk} {i}" for i in range(9)]]),
+        "\n".join([*good, *[" | ".join(f"entry{i}{k}" for k in range(6)) for i in range(9)]]),
         "\n".join(good[:2]),
         "\n".join([good[0]] * 4),
     ]
