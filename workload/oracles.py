@@ -12,6 +12,7 @@ from workload.queries import (
     DEGREE_COVERAGE,
     FINE,
     PLANS_AS_OF,
+    QUARTILES,
     SOME_CODES,
     TOLERANCE,
 )
@@ -485,6 +486,61 @@ def _tile_stats(where: str) -> str:
     )
 
 
+# Exact coverage: for each cell of a zone's box and each edge in its row, the area between the edge
+# and the cell's right side, as an integral in closed form.
+
+_PART = "CASE WHEN {t} <= 0 THEN 0.0 WHEN {t} >= 1 THEN {t} - 0.5 ELSE {t} * {t} / 2 END"
+SHARES = f"""ring_edges AS (SELECT {Z}, ring_no, x AS x1, y AS y1,
+    coalesce(lead(x) OVER ring, first_value(x) OVER ring) AS x2,
+    coalesce(lead(y) OVER ring, first_value(y) OVER ring) AS y2
+  FROM vertices WINDOW ring AS (PARTITION BY {Z}, ring_no ORDER BY i)),
+turns AS (SELECT {Z}, ring_no, sign(sum(x1 * y2 - x2 * y1)) * CASE ring_no WHEN 0 THEN 1 ELSE -1 END AS s
+  FROM ring_edges GROUP BY {Z}, ring_no),
+boxes AS (SELECT {Z}, greatest(floor(min(x1)), 0)::BIGINT AS c0, least(ceil(max(x1)), any_value(n))::BIGINT AS c1,
+    greatest(any_value(n) - ceil(max(y1)), 0)::BIGINT AS r0, least(any_value(n) - floor(min(y1)), any_value(n))::BIGINT AS r1
+  FROM ring_edges, p GROUP BY {Z}),
+rowed AS (SELECT {Z}, c0, c1, unnest(range(r0, r1)) AS row FROM boxes),
+cut AS (SELECT r.*, s, x1, y1, x2, y2, greatest(least(y1, n - row), n - row - 1) AS ya,
+    greatest(least(y2, n - row), n - row - 1) AS yb
+  FROM rowed r JOIN ring_edges e USING ({Z}) JOIN turns USING ({Z}, ring_no), p
+  WHERE least(y1, y2) < n - row AND greatest(y1, y2) > n - row - 1),
+ends AS (SELECT *, ya - yb AS climb, x1 + (ya - y1) * (x2 - x1) / (y2 - y1) AS xa,
+    x1 + (yb - y1) * (x2 - x1) / (y2 - y1) AS xb FROM cut WHERE ya <> yb),
+celled AS (SELECT *, unnest(range(c0, c1)) AS col FROM ends),
+parts AS (SELECT {Z}, row, col, s * climb * CASE WHEN abs(xb - xa) < 1e-12 THEN greatest(0.0, least(1.0, col + 1 - xa))
+    ELSE ({_PART.format(t="(col + 1 - xa)")} - {_PART.format(t="(col + 1 - xb)")}) / (xb - xa) END AS w FROM celled),
+shares AS (SELECT {Z}, row, col, sum(w) AS w FROM parts GROUP BY {Z}, row, col HAVING sum(w) > 1e-9)"""
+
+
+def _exact(level: str = "adm_level = 1") -> str:
+    def quantile(share: float) -> str:
+        return f"""(min(value) FILTER (upto >= total * {share} * (1 - 1e-9)) +
+    coalesce(min(value) FILTER (upto > total * {share} * (1 + 1e-9)), max(value))) / 2"""
+
+    more = "".join(f", {quantile(q)} AS q{round(100 * q):02d}" for q in QUARTILES)
+    return f"""met AS (SELECT valid_date, {Z}, value, w FROM cells JOIN shares USING (row, col)
+  WHERE value IS NOT NULL AND {level}),
+ranked AS (SELECT *, sum(w) OVER (g ORDER BY value RANGE UNBOUNDED PRECEDING) AS upto, sum(w) OVER g AS total,
+    sum(value * w) OVER g / sum(w) OVER g AS m FROM met WINDOW g AS (PARTITION BY valid_date, {Z})),
+exact AS (SELECT valid_date, {Z}, sum(value * w) / sum(w) AS mean, {quantile(0.5)} AS median, min(value) AS min,
+    max(value) AS max, sum(value * w) AS sum, sqrt(sum(w * (value - m) * (value - m)) / sum(w)) AS std,
+    sum(w) AS count{more} FROM ranked GROUP BY valid_date, {Z})"""
+
+
+def _compare_exact() -> str:
+    diffs = {
+        f"{s}_diff_db_ee": f"round(abs((ee.{s} - db.{s}) / ((ee.{s} + db.{s}) / 2) * 100), 4)" for s in ("mean", "median", "min", "max")
+    }
+    values = ", ".join(
+        f"round({t}.mean, 6) AS mean_{t}, {t}.median AS median_{t}, {t}.min AS min_{t}, {t}.max AS max_{t}" for t in ("db", "ee")
+    )
+    db = agg("valid_date", "avg(value) AS mean, median(value) AS median, min(value) AS min, max(value) AS max").replace("agg AS", "db AS", 1)
+    joined = f"""joined AS (SELECT valid_date, {Z}, {values}, {", ".join(f"{e} AS {c}" for c, e in diffs.items())}
+  FROM db JOIN exact ee USING (valid_date, {Z}))"""
+    return with_(*PLAIN, OBS, db, SHARES, _exact(), joined) + f"""SELECT *, greatest({", ".join(diffs)}) AS max_difference
+FROM joined WHERE greatest({", ".join(diffs)}) > 5"""
+
+
 ORACLES: dict[str, str] = {
     "tile_to_cells": with_(TILES)
     + f"""SELECT vec_id, CAST((i - 1) // 8 AS INTEGER) AS row, CAST((i - 1) % 8 AS INTEGER) AS col,
@@ -786,3 +842,22 @@ UNION ALL SELECT nation, 1, nth, x, y FROM (SELECT DISTINCT CAST(c_nationkey AS
 WHERE z.adm_level <= c.max_adm_level""",
     "stored_zones": with_(P, SHAPES, ZONES) + "SELECT iso3, adm_level, zone_idx, pcode FROM zones",
 }
+
+ORACLES |= {
+    "point_cover": ORACLES["point_in_zone"],
+    "coverage_weights": with_(P, SHAPES, ZONES, vertices(), SHARES)
+    + f"SELECT {Z}, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col, round(w, 6) AS w FROM shares WHERE round(w, 6) > 0",
+    "zonal_stats_exact": with_(P, SHAPES, ZONES, vertices(), SHARES, OBS, _exact())
+    + "SELECT * REPLACE (round(mean, 6) AS mean, round(sum, 6) AS sum, round(std, 6) AS std, round(count, 6) AS count) FROM exact",
+    "compare_exact": _compare_exact(),
+    "zonal_stats_runs": with_(
+        *PLAIN,
+        OBS,
+        agg(
+            "valid_date",
+            """round(avg(value), 6) AS mean, min(value) AS min, max(value) AS max, round(sum(value), 6) AS sum,
+  round(stddev_pop(value), 6) AS std, CAST(count(value) AS BIGINT) AS count""",
+        ),
+    )
+    + "SELECT * FROM agg",
+}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellwise.functions.dates import issued_date
-from cellwise.operators import areas, grid as grids, merge, quality, rasterize, simplify, zonal
+from cellwise.operators import areas, cover, coverage, grid as grids, merge, quality, rasterize, simplify, spans, zonal
 from cellwise.plans import jobs, metadata, runs
 from cellwise.schema import RINGS, STAT_COLUMNS, TILES, ZONE_KEYS, DatasetSpec, to_schema
 from cellwise.session import shared_dir, small, written
@@ -291,12 +291,23 @@ def zone_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def point_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = Scene.of(spark, sf_dir)
     reach = 10 * scene.side
-    points = table(spark, sf_dir, "customer").select(
+    return rasterize.points_in_zones(_customer_points(spark, sf_dir, reach), scene.zones, 8.0, "c_custkey")
+
+
+def _customer_points(spark: SparkSession, sf_dir: str, reach: int) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
         "c_custkey",
         (F.col("c_custkey") * 37 % reach / F.lit(10.0) + 0.013).alias("x"),
         (F.col("c_custkey") * 91 % reach / F.lit(10.0) + 0.017).alias("y"),
     )
-    return rasterize.points_in_zones(points, scene.zones, 8.0, "c_custkey")
+
+
+@query
+def point_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, by the quadtree cover of all zones."""
+    scene = Scene.of(spark, sf_dir)
+    points = _customer_points(spark, sf_dir, 10 * scene.side)
+    return cover.points_in_cover(points, cover.zone_cover(scene.zones), "c_custkey")
 
 
 @query
@@ -952,3 +963,48 @@ def stored_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "zones")
     tables.write_zones(Scene.of(spark, sf_dir).zones, path)
     return tables.read_zones(spark, path).select(*ZONE_KEYS, "pcode")
+
+
+# Exact coverage and running sums
+
+QUARTILES = (0.25, 0.75)
+
+
+@query
+def coverage_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The covered share of every cell of all zones."""
+    scene = Scene.of(spark, sf_dir)
+    return rounded(coverage.coverage_weights(scene.zones, scene.grid), "w").filter("w > 0")
+
+
+def _exact(spark: SparkSession, sf_dir: str, stats: tuple[str, ...], quantiles: tuple[float, ...] = ()) -> DataFrame:
+    """Monthly statistics of the nations, weighted by coverage."""
+    scene = Scene.of(spark, sf_dir)
+    weights = written(coverage.coverage_weights(scene.level(1), scene.grid), "weights")
+    cells = inputs.cells_obs(spark, sf_dir)
+    return coverage.exact_stats(cells, weights, scene.grid, weights.count(), ["valid_date"], stats, quantiles)
+
+
+@query
+def zonal_stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_exact(spark, sf_dir, coverage.STATISTICS, QUARTILES), "mean", "sum", "std", "count")
+
+
+@query
+def compare_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics by cell centres against those by exact coverage, where they are far apart."""
+    stats = ("mean", "median", "min", "max")
+    scene = Scene.of(spark, sf_dir)
+    centres = stats_of(scene, inputs.cells_obs(spark, sf_dir), ["valid_date"], scene.level(1), None, stats)
+    found = {"db": centres, "ee": _exact(spark, sf_dir, stats)}
+    return rounded(merge.compare(found, "db", ["valid_date", *ZONE_KEYS], stats), "mean_db", "mean_ee")
+
+
+@query
+def zonal_stats_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly statistics of all zones by running sums along rows."""
+    scene = Scene.of(spark, sf_dir)
+    mapped = rasterize.zone_map(scene.zones, scene.windows, scene.grid)
+    runs = written(spans.zone_runs(mapped), "runs")
+    found = spans.run_stats(inputs.cells_obs(spark, sf_dir), runs, scene.grid, runs.count(), ["valid_date"])
+    return rounded(found, "mean", "sum", "std")
