@@ -1,18 +1,20 @@
 """Substring dedup: paragraph MinHash banding, exact Jaccard, and removal by components.
 
-A passage is removed from every document but the first that has it, by id. Paragraphs that may
-be one are found in two ways:
+A passage is removed from every document but the first that has it, by id. What may be one is found
+in two ways:
 
 * Lines of ``PASSAGE`` words or more, and paragraphs and windows of shorter lines, get a MinHash
-  signature over their shingles of five words, cut into bands. Lines that agree in a band are compared with the band's representative, and
-  where that leaves several components with each other, exactly, by Jaccard similarity; similar
-  lines become components.
+  signature over their shingles of five words, cut into bands. Lines that agree in a band are
+  compared with the band's representative, and where that leaves several components with each other,
+  exactly, by Jaccard similarity; similar lines become components.
 * Passages inside of other text: a document is cut into short paragraphs at words that their
   neighbourhood alone chooses, so a passage is cut alike wherever it stands. Equal ones collide in
-  a single band, the hash of their content. Consecutive paragraphs that stand in an earlier
-  document, with as many neighbouring words as they share with it, make up a run.
+  a single band, the hash of their content. Around each such paragraph, windows of ``PASSAGE`` words
+  are laid alike in every document that has it; a window goes where one earlier document holds it as
+  a whole, word for word. So text put together from several earlier documents stays, unless a piece
+  of it that is long enough stands in one of them.
 
-Runs of ``PASSAGE`` words or more are cut out. Exchanges carry hashes and places, never texts.
+What is cut is the union of such lines and windows. Exchanges carry hashes and places, never texts.
 """
 
 from __future__ import annotations
@@ -34,10 +36,16 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # Bands of rows: at a similarity of 0.8 a pair collides with probability 1 - (1 - 0.8^2)^7 = 0.999.
 BANDS, ROWS = 7, 2
-# Shorter repeats stay. Neighbouring words are compared STEP at a time, so up to STEP - 1 at each
-# end are not seen: every repeat of more than 50 words has 40 that are.
+# Shorter repeats stay.
 PASSAGE = 40
-STEP, STEPS = 6, 3
+# Windows begin at a paragraph, and so many words before it: a repeat of PASSAGE + STEP - 1 words or
+# more that holds a whole paragraph holds one of its windows, and all but STEP - 1 words at each end
+# are in some window.
+STEP = 8
+OFFSETS = range(0, PASSAGE + 1, STEP)
+# Bits of a line's sketch, in words of 64.
+SKETCH_BITS = 256
+SKETCH = [f"bits{i}" for i in range(SKETCH_BITS // 64)]
 # A paragraph begins at a word whose hash is the least among so many before and after it.
 RADIUS = 6
 LONGEST = 12
@@ -46,9 +54,7 @@ WORD = re.compile(r"\S+")
 BLANK_FREE = r"(?U)[^\s\x1c-\x1f]+"
 KEY = ["doc", "row"]
 ODD = np.uint64(0x9E3779B97F4A7C15)
-_SHIFT = np.uint64(32)
 _PERMUTATIONS = (np.cumprod(np.full(BANDS * ROWS, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64) | np.uint64(1))[:, None]
-CONTEXT = [f"{side}{n}" for side in ("before", "after") for n in range(1, STEPS + 1)]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -189,62 +195,50 @@ def _taken(batch: pa.RecordBatch, index: np.ndarray) -> list[pa.Array]:
     return [batch.column(c).take(at) for c in KEY]
 
 
-def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each paragraph: place, hash, hashes of neighbouring words."""
+def _lists(values: list[np.ndarray], width: int) -> pa.ListArray:
+    """Rows of ``width`` numbers each as lists."""
+    n = sum(map(len, values))
+    offsets = pa.array(np.arange(0, width * n + 1, width), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(_signed(np.concatenate(values).ravel())))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each long line, with ``bands``, and for each paragraph, with ``windows`` (0: none).
+
+    Both have their place and a hash: a line's of its shingles, a paragraph's of its words.
+    """
+    lists = pa.list_(pa.int64())
+    names = [*KEY, "start", "end", "hash", "bands", "windows"]
     for batch in batches:
         for begin in range(0, batch.num_rows, 256):
-            of, start, end, own, near = [], [], [], [], []
+            lines, parts = ([[] for _ in range(5)] for _ in range(2))
             for i, text in enumerate(batch.slice(begin, 256).column("text").to_pylist(), begin):
                 words = Words(text or "")
                 if words.n < PASSAGE:
                     continue
-                s = words.cuts()
-                e = np.append(s[1:], words.n)
-                sides = []
-                for side, sign in ((s, -1), (e, 1)):
-                    for k in range(1, STEPS + 1):
-                        other = side + sign * k * STEP
-                        there = (other >= 0) & (other <= words.n)
-                        other = np.clip(other, 0, words.n)
-                        run = words.runs(np.minimum(side, other), np.maximum(side, other))
-                        # 0 where the text has no such words; 0 matches nothing.
-                        sides.append(np.where(there, (run >> _SHIFT).astype(np.uint32), np.uint32(0)).view(np.int32))
-                of.append(np.full(len(s), i))
-                start.append(s)
-                end.append(e)
-                own.append(words.runs(s, e))
-                near.append(np.stack(sides, axis=1))
-            if not of:
-                continue
-            context = np.concatenate(near)
-            places = [pa.array(np.concatenate(x).astype(np.int32)) for x in (start, end)]
-            columns = _taken(batch, np.concatenate(of)) + places + [pa.array(_signed(np.concatenate(own)))]
-            columns += [pa.array(np.ascontiguousarray(context[:, k])) for k in range(context.shape[1])]
-            yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "start", "end", "hash", *CONTEXT])
-
-
-def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each long line: place, hash of its shingles, bands."""
-    for batch in batches:
-        for begin in range(0, batch.num_rows, 256):
-            of, start, end, own, banded = [], [], [], [], []
-            for i, text in enumerate(batch.slice(begin, 256).column("text").to_pylist(), begin):
-                places = list(lines_of(text or ""))
-                words = Words(text) if places else None
-                for s, e in places:
-                    of.append(i)
-                    start.append(s)
-                    end.append(e)
-                    shingled = words.shingles(s, e)
-                    own.append(_shingle_hash(shingled))
-                    banded.append(_signed(bands(shingled)))
-            if of:
-                places = [pa.array(np.array(x, np.int32)) for x in (start, end)]
-                offsets = pa.array(np.arange(0, BANDS * len(of) + 1, BANDS), pa.int32())
-                bands_of = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(banded)))
-                hashes = pa.array(_signed(np.array(own, np.uint64)))
-                columns = [*_taken(batch, np.array(of)), *places, hashes, bands_of]
-                yield pa.RecordBatch.from_arrays(columns, names=[*KEY, "start", "end", "hash", "bands"])
+                places = np.array(list(lines_of(text)), np.int64).reshape(-1, 2)
+                sets = [words.shingles(s, e) for s, e in places]
+                if sets:
+                    own = np.array([_shingle_hash(x) for x in sets], np.uint64)
+                    found = (np.full(len(sets), i), places[:, 0], places[:, 1], own, np.stack([bands(x) for x in sets]))
+                    for column, values in zip(lines, found):
+                        column.append(values)
+                start = words.cuts()
+                end = np.append(start[1:], words.n)
+                first = start[:, None] - np.array(OFFSETS)
+                there = (first >= 0) & (first + PASSAGE <= words.n)
+                first = np.where(there, first, 0)
+                laid = np.where(there, words.runs(first.ravel(), first.ravel() + PASSAGE).reshape(first.shape), np.uint64(0))
+                for column, values in zip(parts, (np.full(len(start), i), start, end, words.runs(start, end), laid)):
+                    column.append(values)
+            for (of, start, end, own, listed), width in ((lines, BANDS), (parts, len(OFFSETS))):
+                if not of:
+                    continue
+                numbers = _lists(listed, width)
+                none = pa.nulls(len(numbers), lists)
+                columns = _taken(batch, np.concatenate(of)) + [pa.array(np.concatenate(x).astype(np.int32)) for x in (start, end)]
+                columns += [pa.array(_signed(np.concatenate(own))), *((numbers, none) if listed is lines[4] else (none, numbers))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _shingle_hash(shingled: np.ndarray) -> np.uint64:
@@ -252,21 +246,35 @@ def _shingle_hash(shingled: np.ndarray) -> np.uint64:
     return mixed(np.array([mixed(shingled).sum(dtype=np.uint64) + np.uint64(len(shingled))]))[0]
 
 
+def sketch(shingled: np.ndarray) -> np.ndarray:
+    """Bits that say for each remainder of hashes whether an odd number of them has it.
+
+    Two sets differ in at least as many elements as their sketches in bits.
+    """
+    odd = np.bincount((shingled & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The shingles of the lines asked for."""
+    """The shingles of the lines asked for, and their sketches."""
     for batch in batches:
-        hashes, sets = [], []
+        hashes, sets, bits = [], [], []
         for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
             words = Words(text)
             for place in places:
-                sets.append(_signed(words.shingles(place["start"], place["end"])).tolist())
+                shingled = words.shingles(place["start"], place["end"])
+                sets.append(_signed(shingled).tolist())
+                bits.append(sketch(shingled))
                 hashes.append(place["hash"])
         columns = [pa.array(hashes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["hash", "shingles"])
+        columns += [pa.array(b) for b in np.array(bits, np.int64).reshape(-1, len(SKETCH)).T]
+        yield pa.RecordBatch.from_arrays(columns, names=["hash", "shingles", *SKETCH])
 
 
 def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
-    """Pairs (``x``, ``y``) of line hashes with a Jaccard similarity of ``SIMILARITY`` or more.
+    """Pairs (``x``, ``y``) of line hashes that lead from each line to all similar ones.
+
+    Each is of a Jaccard similarity of ``SIMILARITY`` or more, or of two lines joined by such pairs.
 
     Within a bucket of a band all are compared with one representative, which joins large groups
     at the cost of one pair a line. Lines of buckets that are still of several components then
@@ -288,17 +296,21 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     first = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.min(F.struct(*KEY, "start", "end")).alias("p"))
     places = first.groupBy("p.doc", "p.row").agg(F.collect_list(F.struct("hash", "p.start", "p.end")).alias("places"))
     places = written(places, "line-places")
-    found = texts.join(small(places, places.count()), KEY).select("text", "places")
-    sets = written(found.mapInArrow(_shingled, "hash long, shingles array<long>").dropDuplicates(["hash"]), "line-shingles")
+    # A text has as many places as lines; each takes some 20 bytes.
+    n_places = places.agg(F.sum(F.size("places") + 2)).first()[0] or 0
+    found = texts.join(small(places, n_places), KEY).select("text", "places")
+    schema = "hash long, shingles array<long>, " + ", ".join(f"{c} long" for c in SKETCH)
+    sets = written(found.mapInArrow(_shingled, schema).dropDuplicates(["hash"]), "line-shingles")
     near = written(_similar(pairs, sets), "similar-lines")
     # A bucket of two has been compared whole.
-    joined = components(near, "x", "y")
+    joined = written(components(near, "x", "y"), "line-components")
     several = members.filter("size > 2").join(joined, members["hash"] == joined["node"], "left")
     several = several.select("band", "value", "hash", F.coalesce("component", "hash").alias("component"))
     mixed = several.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = mixed.filter("low != high").select("band", "value")
     apart = written(several.join(mixed, ["band", "value"]).select("hash", "component").distinct(), "lines-apart")
-    return near.union(_similar(shared_prefixes(sets.join(apart, "hash")), sets))
+    late = _similar(shared_prefixes(sets.join(apart, "hash")), sets)
+    return joined.filter("node != component").select(F.col("node").alias("x"), F.col("component").alias("y")).union(late)
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -314,16 +326,18 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
 
     Two similar sets share an element among the rarest of each: a fifth of the larger one's and a
     ninth of the smaller one's (Xiao et al., 2008). Elements of one component only come first in
-    that order and link nothing, so lines that share a template and no more meet nobody.
+    that order and link nothing, so lines that share a template and no more meet nobody. Of those
+    that meet, the sketches tell nearly all that differ too much, before a pair is made.
     """
     size = F.size("shingles").alias("n")
-    each = written(sets.select("hash", "component", size, F.explode("shingles").alias("s")), "shingle-rows")
+    own = ["hash", "component", "n", *SKETCH]
+    each = written(sets.select("hash", "component", size, *SKETCH, F.explode("shingles").alias("s")), "shingle-rows")
     common = each.groupBy("s").agg(
         F.count("*").alias("lines"), F.min("component").alias("low"), F.max("component").alias("high")
     )
     common = common.filter("low != high").select("s", "lines")
     # A line has at most as many of them as shingles.
-    ranked = each.join(common, "s").groupBy("hash", "component", "n").agg(
+    ranked = each.join(common, "s").groupBy(*own).agg(
         F.sort_array(F.collect_list(F.struct("lines", "s"))).alias("common")
     )
 
@@ -332,15 +346,17 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
         return F.slice("common", F.lit(1), F.greatest(F.size("common") - needed + 1, F.lit(0)))
 
     both = 2 * SIMILARITY / (1 + SIMILARITY)
-    ranked = ranked.select("hash", "component", "n", rarest(SIMILARITY).alias("larger"), rarest(both).alias("smaller"))
+    ranked = ranked.select(*own, rarest(SIMILARITY).alias("larger"), rarest(both).alias("smaller"))
     ranked = written(ranked.filter(F.size("larger") > 0), "rarest-shingles")
 
     def side(name: str, prefix: str) -> DataFrame:
         rows = ranked.select("*", F.explode(prefix).alias("p"))
-        return rows.select(F.col("p.s").alias("s"), *[F.col(c).alias(f"{name}_{c}") for c in ("hash", "component", "n")])
+        return rows.select(F.col("p.s").alias("s"), *[F.col(c).alias(f"{name}_{c}") for c in own])
 
     met = side("x", "larger").join(side("y", "smaller"), "s")
     met = met.filter(f"x_component != y_component AND y_n <= x_n AND y_n >= {SIMILARITY} * x_n")
+    differ = " + ".join(f"bit_count(x_{c} ^ y_{c})" for c in SKETCH)
+    met = met.filter(f"({differ}) * {1 + SIMILARITY} <= {1 - SIMILARITY} * (x_n + y_n) + 1e-9")
     return met.select(F.col("x_hash").alias("x"), F.col("y_hash").alias("y")).distinct()
 
 
@@ -350,10 +366,12 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     ``texts`` has the columns doc, row (a hash of the text) and text. ``firsts`` are the documents
     in which the parts of a run stand first.
     """
-    # Lines: nodes by content, components by similarity, all but the first document give way.
     schema = texts.select(*KEY).schema
     typed = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
-    lines = written(texts.mapInArrow(_lines, f"{typed}, start int, end int, hash long, bands array<long>"), "lines")
+    made = f"{typed}, start int, end int, hash long, bands array<long>, windows array<long>"
+    pieces = written(texts.mapInArrow(_pieces, made), "pieces")
+    lines = pieces.filter("bands IS NOT NULL").drop("windows")
+    # Lines: nodes by content, components by similarity, all but the first document give way.
     alike = components(similar_lines(texts, lines), "x", "y")
     named = lines.join(alike, lines["hash"] == alike["node"], "left").select(
         *KEY, "start", "end", F.coalesce("component", "hash").alias("component")
@@ -365,35 +383,25 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     later = named.join(small(owners, owners.count()), "component").filter("doc is null or doc != first")
     line_spans = later.select(*KEY, "start", "end", "first")
 
-    context = ", ".join(f"{c} int" for c in CONTEXT)
-    parts = written(texts.mapInArrow(_paragraphs, f"{typed}, start int, end int, hash long, {context}"), "paragraphs")
     # Most paragraphs stand in one document: two numbers of each tell, and only the others go on.
+    parts = pieces.filter("windows IS NOT NULL").select(*KEY, "start", "hash", "windows")
     ends = parts.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-    twice = written(ends.filter("first != last").select("hash", "first"), "repeated")
-    again = parts.join(small(twice, twice.count()), "hash")
-    own = again.filter("doc = first").groupBy("hash").agg(F.min(F.struct("start", *CONTEXT)).alias("own"))
-
-    def shared_words(side: str):
-        reach = F.lit(0)
-        for n in range(1, STEPS + 1):
-            same = (F.col(f"{side}{n}") == F.col(f"own.{side}{n}")) & (F.col(f"{side}{n}") != 0)
-            reach = F.when(same, F.lit(n * STEP)).otherwise(reach)
-        return reach
-
-    part_spans = again.filter("doc is null or doc != first").join(own, "hash").select(
-        *KEY,
-        (F.col("start") - shared_words("before")).alias("start"),
-        (F.col("end") + shared_words("after")).alias("end"),
-        "first",
+    twice = written(ends.filter("first != last").select("hash"), "repeated")
+    again = parts.join(small(twice, twice.count()), "hash").select(*KEY, "start", F.posexplode("windows").alias("nth", "window"))
+    again = again.filter("window != 0").select(*KEY, (F.col("start") - F.col("nth") * STEP).alias("start"), "window")
+    again = written(again, "windows")
+    held = again.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    held = written(held.filter("first != last").select("window", "first"), "repeated-windows")
+    part_spans = again.join(small(held, held.count()), "window").filter("doc is null or doc != first").select(
+        *KEY, "start", (F.col("start") + PASSAGE).alias("end"), "first"
     )
-    # A document has at most as many spans as paragraphs.
+    # A document has at most so many spans per paragraph as there are offsets.
     spans = F.array_sort(F.collect_list(F.struct("start", "end", "first")))
     return (
         line_spans.unionByName(part_spans)
         .groupBy(*KEY)
         .agg(spans.alias("spans"))
-        .select(*KEY, F.filter(merged(F.col("spans")), lambda r: r["end"] - r["start"] >= PASSAGE).alias("runs"))
-        .filter(F.size("runs") > 0)
+        .select(*KEY, merged(F.col("spans")).alias("runs"))
     )
 
 
