@@ -10,10 +10,13 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count has a proven bound below this. The widest
-# row broadcast here (a zone-map row) takes about 64 bytes, so the bound is ~256 MB. A cluster
-# with smaller executors lowers it with this setting.
-BROADCAST_ROWS = 4_000_000
+# A side is broadcast only when its bytes have a proven bound below this, or below a share of the
+# smaller of the driver's and an executor's heap, as several may be held at once. The setting, in
+# rows of ``ROW_BYTES``, replaces both.
+BROADCAST_BYTES = 256 << 20
+HEAP_SHARE = 32
+# A zone-map row, with what a hash table adds to it.
+ROW_BYTES = 64
 SHARED_SETTING = "spark.checkpoint.dir"
 BROADCAST_SETTING = "spark.cellwise.broadcastRows"
 
@@ -97,7 +100,15 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def broadcast_rows(spark: SparkSession) -> int:
-    return int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_ROWS)))
+    """Rows of ``ROW_BYTES`` that may be broadcast."""
+    rows = spark.conf.get(BROADCAST_SETTING, None)
+    if rows is not None:
+        return int(rows)
+    context = spark.sparkContext
+    heaps = [context._jvm.java.lang.Runtime.getRuntime().maxMemory()]
+    if not context.master.startswith("local["):
+        heaps.append(context._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.executor.memory", "1g")))
+    return min(BROADCAST_BYTES, min(heaps) // HEAP_SHARE) // ROW_BYTES
 
 
 def partitions(spark: SparkSession) -> int:
@@ -105,15 +116,18 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def small(df: DataFrame, row_bound: int) -> DataFrame:
-    """Mark ``df`` for broadcast if its proven row bound allows it.
+def small(df: DataFrame, row_bound: int, row_bytes: int = ROW_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if its proven bound in bytes allows it.
 
-    A larger table is to be hashed if each of its shuffled parts stays within the bound, which
-    spares the other side a sort; else Spark decides.
+    That is ``row_bound`` rows of ``row_bytes``; pass the width of rows that hold more than a few
+    numbers, or count the elements of their arrays as rows. A larger table is to be hashed if each
+    of its shuffled parts stays within the bound, which spares the other side a sort; else Spark
+    decides.
     """
-    limit = broadcast_rows(df.sparkSession)
-    if row_bound <= limit:
+    limit = broadcast_rows(df.sparkSession) * ROW_BYTES
+    size = row_bound * row_bytes
+    if size <= limit:
         return F.broadcast(df)
-    if row_bound / partitions(df.sparkSession) <= limit:
+    if size / partitions(df.sparkSession) <= limit:
         return df.hint("shuffle_hash")
     return df

@@ -232,3 +232,17 @@ def test_merging_statistics_are_reduced_before_the_shuffle(layer, spans, cells):
     plan = found._jdf.queryExecution().executedPlan().toString().split("BroadcastHashJoin [cell")[0]
     assert "partial_max" in plan.split("Exchange hashpartitioning")[1]
     assert "Window" not in plan
+
+
+def test_wide_rows_are_not_broadcast(spark):
+    """The bound of a broadcast is in bytes, not in rows."""
+    from cellwise.session import BROADCAST_BYTES, HEAP_SHARE, ROW_BYTES, broadcast_rows, small
+
+    heap = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    assert broadcast_rows(spark) * ROW_BYTES <= min(BROADCAST_BYTES, heap // HEAP_SHARE)
+    table = spark.range(10)
+    hints = lambda df: df._jdf.queryExecution().logical().toString()
+    rows = broadcast_rows(spark)
+    assert "Hint broadcast" in hints(small(table, rows))
+    assert "Hint shuffle_hash" in hints(small(table, rows, 2 * ROW_BYTES))
+    assert "Hint" not in hints(small(table, 1000 * rows, 10 * ROW_BYTES))
