@@ -168,7 +168,9 @@ def contamination(
         .agg(F.sort_array(F.collect_set("item")).alias("found"))
     )
     report = written(n_hit.join(which, ROW, "left"), "contamination")
-    out = grams.select("id", *ROW, "n_words").join(small(report, n_candidates), ROW, "left")
+    # A document may hold many items: they count as rows of their own.
+    n_report = report.agg(F.sum(F.greatest(F.size("found"), F.lit(0)) + 1)).first()[0] or 0
+    out = grams.select("id", *ROW, "n_words").join(small(report, n_report), ROW, "left")
     found_items = F.coalesce("found", F.expr("array()").cast("array<string>"))
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(

@@ -452,8 +452,8 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     named = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text).alias("row"), F.col(text).alias("text"))
     runs = repeated_spans(named.filter(F.col("text").isNotNull()))
     runs = written(runs.toDF("_doc", "_row", "_runs"), "runs")
-    # A run has some 30 bytes.
-    n_runs = runs.agg(F.sum(F.size("_runs"))).first()[0] or 0
+    # A run and each document that it repeats has some 30 bytes.
+    n_runs = runs.agg(F.sum(F.size("_runs") + F.size(F.flatten("_runs.firsts")))).first()[0] or 0
     runs = small(runs, n_runs)
     same = F.col(id_col).eqNullSafe(F.col("_doc")) & (F.xxhash64(text) == F.col("_row"))
 

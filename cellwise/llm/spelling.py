@@ -33,6 +33,8 @@ MIN_LENGTH = 5
 MIN_COUNT = 3
 RATIO = 2
 ERRORS = 97
+# Two words of a hash table's row; words of more letters are few.
+PAIR_BYTES = 160
 
 
 def with_errors(run: Column, doc_id: Column, one_in: int = ERRORS) -> Column:
@@ -133,7 +135,7 @@ def roots(links: DataFrame) -> DataFrame:
     reached = written(links.select("word", F.col("form").alias("root")), "roots")
     n = reached.count()
     while True:
-        onward = small(reached.select(F.col("word").alias("at"), F.col("root").alias("next")), n)
+        onward = small(reached.select(F.col("word").alias("at"), F.col("root").alias("next")), n, PAIR_BYTES)
         moved = reached.join(onward, F.col("root") == F.col("at"), "left")
         further = written(moved.select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "roots")
         removed(reached)
@@ -156,7 +158,7 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     counts = F.when(-F.col("best.less") >= ratio * F.col("n"), F.col("best.word"))
     formed = near.select("word", "n", "n_near", counts.alias("form"), (-F.col("best.less")).alias("best_n"))
     ends = roots(formed.filter("form is not null").select("word", "form"))
-    joined = formed.join(small(ends.select(F.col("word").alias("from"), "root"), ends.count()), F.col("word") == F.col("from"), "left")
+    joined = formed.join(small(ends.select(F.col("word").alias("from"), "root"), ends.count(), PAIR_BYTES), F.col("word") == F.col("from"), "left")
     return joined.select(
         "word",
         "form",
