@@ -8,11 +8,11 @@ in two ways:
   compared with the band's representative, and where that leaves several components with each other,
   exactly, by Jaccard similarity; similar lines become components.
 * Passages inside of other text: a document is cut into short paragraphs at words that their
-  neighbourhood alone chooses, so a passage is cut alike wherever it stands. Equal ones collide in
-  a single band, the hash of their content. Around each such paragraph, windows of ``PASSAGE`` words
-  are laid alike in every document that has it; a window goes where one earlier document holds it as
-  a whole, word for word. So text put together from several earlier documents stays, unless a piece
-  of it that is long enough stands in one of them.
+  neighbourhood alone chooses, so a passage is cut alike wherever it stands. Cuts with equal
+  neighbourhoods collide in a single band, the hash of those words. Around each such cut, windows of
+  ``PASSAGE`` words are laid alike in every document that has it; a window goes where one earlier
+  document holds it as a whole, word for word. So text put together from several earlier documents
+  stays, unless a piece of it that is long enough stands in one of them.
 
 What is cut is the union of such lines and windows. Exchanges carry hashes and places, never texts.
 """
@@ -36,18 +36,20 @@ SHINGLE = 5
 SIMILARITY = 0.8
 # Bands of rows: at a similarity of 0.8 a pair collides with probability 1 - (1 - 0.8^2)^7 = 0.999.
 BANDS, ROWS = 7, 2
+# Lines of a bucket beyond which its representative need not be asked by all of them.
+LARGE = 16
 # Shorter repeats stay.
 PASSAGE = 40
-# Windows begin at a paragraph, and so many words before it: a repeat of PASSAGE + STEP - 1 words or
-# more that holds a whole paragraph holds one of its windows, and all but STEP - 1 words at each end
-# are in some window.
-STEP = 8
+# Windows begin at a cut, and so many words before it: a repeat of PASSAGE + STEP - 1 words or more
+# that holds a cut with its neighbourhood holds one of its windows, and all but STEP - 1 words at
+# each end are in some window.
+STEP = 10
 OFFSETS = range(0, PASSAGE + 1, STEP)
 # Bits of a line's sketch, in words of 64.
 SKETCH_BITS = 256
 SKETCH = [f"bits{i}" for i in range(SKETCH_BITS // 64)]
 # A paragraph begins at a word whose hash is the least among so many before and after it.
-RADIUS = 6
+RADIUS = 8
 LONGEST = 12
 WORD = re.compile(r"\S+")
 # The same words for Spark's regular expressions.
@@ -205,7 +207,8 @@ def _lists(values: list[np.ndarray], width: int) -> pa.ListArray:
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each long line, with ``bands``, and for each paragraph, with ``windows`` (0: none).
 
-    Both have their place and a hash: a line's of its shingles, a paragraph's of its words.
+    Both have their place and a hash: a line's of its shingles, a paragraph's of the words around the
+    cut with which it begins.
     """
     lists = pa.list_(pa.int64())
     names = [*KEY, "start", "end", "hash", "bands", "windows"]
@@ -229,7 +232,8 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 there = (first >= 0) & (first + PASSAGE <= words.n)
                 first = np.where(there, first, 0)
                 laid = np.where(there, words.runs(first.ravel(), first.ravel() + PASSAGE).reshape(first.shape), np.uint64(0))
-                for column, values in zip(parts, (np.full(len(start), i), start, end, words.runs(start, end), laid)):
+                around = words.runs(np.maximum(start - RADIUS, 0), np.minimum(start + RADIUS + 1, words.n))
+                for column, values in zip(parts, (np.full(len(start), i), start, end, around, laid)):
                     column.append(values)
             for (of, start, end, own, listed), width in ((lines, BANDS), (parts, len(OFFSETS))):
                 if not of:
@@ -276,8 +280,8 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
 
     Each is of a Jaccard similarity of ``SIMILARITY`` or more, or of two lines joined by such pairs.
 
-    Within a bucket of a band all are compared with one representative, which joins large groups
-    at the cost of one pair a line. Lines of buckets that are still of several components then
+    Within a bucket of a band all are compared with one representative; a line of several large
+    buckets with one of theirs only, which joins large groups at the cost of one pair a line. Lines of buckets that are still of several components then
     meet across these by ``shared_prefixes``, so no similar pair of a bucket stays apart.
     """
     nodes = lines.select("hash", F.posexplode("bands").alias("band", "value")).distinct()
@@ -291,7 +295,9 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     shared = shared.filter("low != high").select("band", "value", "y", "size")
     members = nodes.join(shared, ["band", "value"]).select("band", "value", "hash", "y", "size")
     members = written(members, "line-members")
-    pairs = members.filter("hash != y").select(F.col("hash").alias("x"), "y").distinct()
+    met = members.filter("hash != y")
+    large = met.filter(F.col("size") > LARGE).groupBy("hash").agg(F.min("y").alias("y")).select("hash", "y")
+    pairs = met.filter(F.col("size") <= LARGE).select("hash", "y").union(large).distinct().withColumnRenamed("hash", "x")
     wanted = members.select("hash").distinct()
     first = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.min(F.struct(*KEY, "start", "end")).alias("p"))
     places = first.groupBy("p.doc", "p.row").agg(F.collect_list(F.struct("hash", "p.start", "p.end")).alias("places"))
@@ -383,7 +389,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     later = named.join(small(owners, owners.count()), "component").filter("doc is null or doc != first")
     line_spans = later.select(*KEY, "start", "end", "first")
 
-    # Most paragraphs stand in one document: two numbers of each tell, and only the others go on.
+    # Most cuts stand in one document: two numbers of each tell, and only the others go on.
     parts = pieces.filter("windows IS NOT NULL").select(*KEY, "start", "hash", "windows")
     ends = parts.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     twice = written(ends.filter("first != last").select("hash"), "repeated")
