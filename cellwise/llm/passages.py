@@ -30,14 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.llm.components import components
-from cellwise.session import small, written
+from cellwise.session import broadcast_rows, partitions, small, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
 # Bands of rows: at a similarity of 0.8 a pair collides with probability 1 - (1 - 0.8^2)^7 = 0.999.
 BANDS, ROWS = 7, 2
-# Lines of a bucket beyond which its representative need not be asked by all of them.
-LARGE = 16
 # Shorter repeats stay.
 PASSAGE = 40
 # Windows begin at a cut, and so many words before it: a repeat of PASSAGE + STEP - 1 words or more
@@ -280,8 +278,8 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
 
     Each is of a Jaccard similarity of ``SIMILARITY`` or more, or of two lines joined by such pairs.
 
-    Within a bucket of a band all are compared with one representative; a line of several large
-    buckets with one of theirs only, which joins large groups at the cost of one pair a line. Lines of buckets that are still of several components then
+    Within a bucket of a band all are compared with one representative, which joins large groups
+    at the cost of one pair a line and band. Lines of buckets that are still of several components then
     meet across these by ``shared_prefixes``, so no similar pair of a bucket stays apart.
     """
     nodes = lines.select("hash", F.posexplode("bands").alias("band", "value")).distinct()
@@ -295,9 +293,7 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     shared = shared.filter("low != high").select("band", "value", "y", "size")
     members = nodes.join(shared, ["band", "value"]).select("band", "value", "hash", "y", "size")
     members = written(members, "line-members")
-    met = members.filter("hash != y")
-    large = met.filter(F.col("size") > LARGE).groupBy("hash").agg(F.min("y").alias("y")).select("hash", "y")
-    pairs = met.filter(F.col("size") <= LARGE).select("hash", "y").union(large).distinct().withColumnRenamed("hash", "x")
+    pairs = members.filter("hash != y").select(F.col("hash").alias("x"), "y").distinct()
     wanted = members.select("hash").distinct()
     first = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.min(F.struct(*KEY, "start", "end")).alias("p"))
     places = first.groupBy("p.doc", "p.row").agg(F.collect_list(F.struct("hash", "p.start", "p.end")).alias("places"))
@@ -366,6 +362,12 @@ def shared_prefixes(sets: DataFrame) -> DataFrame:
     return met.select(F.col("x_hash").alias("x"), F.col("y_hash").alias("y")).distinct()
 
 
+def dealt(df: DataFrame, n: int) -> DataFrame:
+    """``df`` of ``n`` rows, which grow with the corpus: to be shuffled at any size, not broadcast."""
+    spark = df.sparkSession
+    return df.hint("shuffle_hash" if n / partitions(spark) <= broadcast_rows(spark) else "merge")
+
+
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """``doc``, ``row`` and ``runs`` (start, end, firsts) of what stands in an earlier document.
 
@@ -393,12 +395,12 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     parts = pieces.filter("windows IS NOT NULL").select(*KEY, "start", "hash", "windows")
     ends = parts.groupBy("hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     twice = written(ends.filter("first != last").select("hash"), "repeated")
-    again = parts.join(small(twice, twice.count()), "hash").select(*KEY, "start", F.posexplode("windows").alias("nth", "window"))
+    again = parts.join(dealt(twice, twice.count()), "hash").select(*KEY, "start", F.posexplode("windows").alias("nth", "window"))
     again = again.filter("window != 0").select(*KEY, (F.col("start") - F.col("nth") * STEP).alias("start"), "window")
     again = written(again, "windows")
     held = again.groupBy("window").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     held = written(held.filter("first != last").select("window", "first"), "repeated-windows")
-    part_spans = again.join(small(held, held.count()), "window").filter("doc is null or doc != first").select(
+    part_spans = again.join(dealt(held, held.count()), "window").filter("doc is null or doc != first").select(
         *KEY, "start", (F.col("start") + PASSAGE).alias("end"), "first"
     )
     # A document has at most so many spans per paragraph as there are offsets.
