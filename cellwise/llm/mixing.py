@@ -7,8 +7,8 @@ smallest keys are taken until their words reach what is left, each kept if that
 closer to it.
 
 The order within a source is not a window over the source, which may hold a third of all rows:
-keys are cut into slices of equal probability, slices are added up before the exchange, and only
-documents of the slice in which the budget ends are sorted.
+keys are cut into slices by their logarithm, slices are added up before the exchange, and only
+documents of the slice in which the budget ends are sorted, equal rows as one.
 
 Targets are water levels: every source gets the lesser of weight times level and its cap.
 """
@@ -25,9 +25,10 @@ from cellwise.session import small, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
-# Slices of a source's keys. A slice holds 1/4096 of a source: at ten billion documents in one
-# source, the one sorted slice has some 2.5 million rows, which spill.
-SLICES = 1 << 12
+# Slices of a source's keys for each doubling of a key. Whatever the weights, a slice is expected to
+# hold at most ln 2 / e / 2048, an eighth of a thousandth of a source: with keys exponential at rate
+# w, that is the most of (ln 2 / 2048) key w exp(-w key).
+SLICES = 1 << 11
 HEX_DIGITS = 13
 
 
@@ -101,13 +102,14 @@ def mix(
     text: str = "text",
     source: str = "source",
 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``.
+    """One row per row of ``docs``: id, ``size``, ``source_size``, ``target``, ``taken``, ``source``.
 
     ``taken`` counts the words the mix takes of the document, repeats counted: whole epochs and,
     if the sampling chooses it, once more. ``quality`` has an ``id`` (each once) and its
     positive ``weight``; ids it lacks weigh 1, null or other weights a millionth. Null texts have size 0 and are taken
-    0 times; a null source is a source of its own. Ids are drawn by their text; rows with equal
-    ids and equal sizes have the same draw and are ordered by the hash of their text. A source
+    0 times; a null source is a source of its own. Ids are drawn by their text, null ids
+    by that of the document; rows with equal ids have the same draw and are ordered by size and the
+    hash of their text, and of rows that are equal in all this any may be the one that is taken. A source
     of wordless documents only has target 0. Extra columns are not read.
     """
     rows = docs.select(
@@ -115,6 +117,7 @@ def mix(
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
         F.xxhash64(text).alias("tie"),
+        F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null"), F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))).alias("name"),
     )
     weight = F.lit(1.0)
     if quality is not None:
@@ -122,11 +125,9 @@ def mix(
         known = quality.select(F.col("id").alias("known"), F.coalesce("weight", F.lit(0.0)).alias("weight"))
         rows = rows.join(known, F.col("id") == F.col("known"), "left")
         weight = F.when(F.col("known").isNull(), 1.0).otherwise(F.greatest("weight", F.lit(1e-6)))
-    drawn = uniform(F.coalesce(F.col("id").cast("string"), F.lit("null")), seed)
-    rows = rows.select("id", "source", "size", "tie", (-F.ln(drawn) / weight).alias("key"))
-    # The share of a source below a key is unknown, but 1 - exp(-key) orders alike and is even
-    # enough in (0, 1) for equal weights.
-    rows = written(rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * (SLICES - 1)).cast("int")), "sizes")
+    key = -F.ln(uniform(F.col("name"), seed)) / weight
+    rows = rows.select("id", "source", "size", "tie", key.alias("key"))
+    rows = written(rows.withColumn("slice", F.floor(F.log2("key") * SLICES).cast("int")), "sizes")
     aimed = written(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap), "targets")
     n_sources = aimed.count()
     budgets = aimed.select(
@@ -139,7 +140,7 @@ def mix(
     same = F.col("source").eqNullSafe(F.col("s"))
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     upto = F.sum("words").over(W.partitionBy("source").orderBy("slice"))
-    # At most SLICES rows of a source meet in this window, however large the source is.
+    # SLICES rows for each of some fifty doublings meet in this window, however large the source is.
     ends = (
         slices.select("source", "slice", (upto - F.col("words")).alias("before"), upto.alias("upto"))
         .join(budgets, same)
@@ -154,12 +155,21 @@ def mix(
     first = placed.filter("last is null or slice != last").withColumn(
         "extra", F.when(F.col("last").isNull(), F.lit(False)).otherwise(F.col("slice") < F.col("last"))
     )
+    # Equal rows are one row of the sorted slice, so that copies without an id are no hot group.
+    same_rows = ["source", "key", "id", "size", "tie", "source_size", "target", "epochs", "rest", "before"]
+    sliced = placed.filter("slice = last").groupBy(*same_rows).agg(F.count("*").alias("copies"))
     order = W.partitionBy("source").orderBy("key", "id", "size", "tie").rowsBetween(W.unboundedPreceding, 0)
-    middle = F.col("before") + F.sum("size").over(order) - F.col("size") / 2
-    sliced = placed.filter("slice = last").withColumn("extra", middle <= F.col("rest"))
+    words = F.col("size") * F.col("copies")
+    before = F.col("before") + F.sum(words).over(order) - words
+    # The n-th copy is taken if before + (n - 1/2) size is within the rest.
+    fitting = F.floor((F.col("rest") - before) / F.col("size") + 0.5).cast("long")
+    sliced = sliced.withColumn("fitting", F.when(F.col("size") > 0, fitting).otherwise(0))
+    sliced = sliced.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    sliced = sliced.withColumn("extra", F.col("nth") <= F.col("fitting"))
+    columns = ["id", "source", "size", "source_size", "target", "epochs", "extra"]
     taken = F.col("size") * (F.col("epochs") + F.col("extra").cast("long"))
-    return first.unionByName(sliced).select(
-        F.col("id").alias(id_col), F.col("source").alias(source), "size", "source_size", "target", taken.alias("taken")
+    return first.select(*columns).unionByName(sliced.select(*columns)).select(
+        F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"), F.col("source").alias(source)
     )
 
 

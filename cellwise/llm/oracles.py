@@ -13,7 +13,7 @@ WITH RECURSIVE weights AS (
 ), sized AS (
   SELECT d.doc_id, d.source,
     coalesce(len(regexp_extract_all(d.text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-    -ln((('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null') || '-mix'), 1, {mixing.HEX_DIGITS}))::BIGINT::DOUBLE + 0.5)
+    -ln((('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null' || md5(coalesce(d.text, ''))) || '-mix'), 1, {mixing.HEX_DIGITS}))::BIGINT::DOUBLE + 0.5)
       / {float(16**mixing.HEX_DIGITS)!r}::DOUBLE) / coalesce(w.weight, 1.0::DOUBLE) AS key
   FROM documents d LEFT JOIN weights w USING (doc_id)
 ), sources AS (
@@ -42,7 +42,7 @@ WITH RECURSIVE weights AS (
     sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size ROWS UNBOUNDED PRECEDING) - s.size AS before
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, source, size, source_size, target,
+SELECT doc_id, size, source_size, target, source,
   (size * (epochs + CASE WHEN before + size / 2.0::DOUBLE <= target - epochs * source_size THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM placed
 """

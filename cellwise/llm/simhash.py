@@ -33,6 +33,8 @@ DISTANCE = 2
 SAMPLE = 40_000
 # Fingerprints a leaf is to hold; a larger one is searched in blocks of as many.
 LEAF = 4_096
+# Fingerprints a task takes from a leaf at once, of homes and of guests.
+MOST = 1 << 18
 
 
 def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
@@ -147,8 +149,13 @@ class Forest:
             self.label = parent[self.label]
 
 
-def leaf_links(fps: np.ndarray, at_home: np.ndarray, t: int, block: int = LEAF) -> list[tuple[int, int]]:
-    """Pairs of positions that link everything within ``t`` in this leaf, home with anyone."""
+def leaf_links(
+    fps: np.ndarray, at_home: np.ndarray, t: int, block: int = LEAF, within: bool = True
+) -> list[tuple[int, int]]:
+    """Pairs of positions that link everything within ``t`` in this leaf, home with anyone.
+
+    Without ``within``, only homes with guests.
+    """
     homes, guests = np.flatnonzero(at_home), np.flatnonzero(~at_home)
     forest = Forest(len(fps))
     if not len(homes):
@@ -161,7 +168,7 @@ def leaf_links(fps: np.ndarray, at_home: np.ndarray, t: int, block: int = LEAF)
         return who[order], np.searchsorted(far[order], np.arange(BITS + 2 + t))
 
     ringed, start = rings(homes)
-    for others, same in ((homes, True), (guests, False)):
+    for others, same in ((homes, True), (guests, False))[0 if within else 1 :]:
         mine, own = rings(others)
         for ring in range(BITS + 1):
             row = mine[own[ring] : own[ring + 1]]
@@ -177,10 +184,12 @@ def leaf_links(fps: np.ndarray, at_home: np.ndarray, t: int, block: int = LEAF)
     return forest.joined
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE, leaf: int = LEAF) -> DataFrame:
+def links(distinct: DataFrame, distance: int = DISTANCE, leaf: int = LEAF, most: int = MOST) -> DataFrame:
     """Links (``x``, ``y``) that connect all fingerprints of column ``fp`` within ``distance``.
 
-    ``distinct`` has each fingerprint once and is a stored table.
+    ``distinct`` has each fingerprint once and is a stored table. A leaf that holds over ``most``
+    fingerprints, as the sample is too small for a deeper tree or many are close, is searched by
+    pairs of blocks, so that no task holds more than two blocks.
     """
     spark = distinct.sparkSession
     total = distinct.count()
@@ -197,14 +206,29 @@ def links(distinct: DataFrame, distance: int = DISTANCE, leaf: int = LEAF) -> Da
                 for shard, who, is_home in tree.value.route(part.view(np.uint64), distance):
                     yield pd.DataFrame({"leaf": shard, "fp": part[who], "home": is_home})
 
-    def searched(group: pd.DataFrame) -> pd.DataFrame:
+    def searched(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         fps = group["fp"].to_numpy(np.int64)
-        found = leaf_links(fps.view(np.uint64), group["home"].to_numpy(bool), distance)
+        found = leaf_links(fps.view(np.uint64), group["home"].to_numpy(bool), distance, within=key[1] == key[2])
         x, y = ([p[k] for p in found] for k in (0, 1))
         return pd.DataFrame({"x": fps[x], "y": fps[y]}, dtype="int64")
 
-    shards = distinct.select("fp").mapInPandas(routed, "leaf long, fp long, home boolean")
-    return shards.groupBy("leaf").applyInPandas(searched, "x long, y long")
+    shards = written(distinct.select("fp").mapInPandas(routed, "leaf long, fp long, home boolean"), "leaves")
+    held = shards.groupBy("leaf").agg(F.count("*").alias("n")).filter(F.col("n") > most)
+    cut = held.select("leaf", F.ceil(F.col("n") / most).cast("int").alias("blocks"))
+    # At most as many rows as the tree has leaves.
+    shards = shards.join(small(cut, 1 << tree.value.depth), "leaf", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    block, each = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"), F.sequence(F.lit(0), F.col("blocks") - 1)
+    # Homes of block i meet all guests, and the homes of the blocks after theirs as guests.
+    shards = shards.withColumn("own", block)
+    homes = shards.filter("home").select("leaf", F.col("own").alias("i"), F.explode(each).alias("j"), "fp", "home")
+    guests = shards.select(
+        "leaf",
+        F.explode(F.when(F.col("home"), F.filter(each, lambda i: i < F.col("own"))).otherwise(each)).alias("i"),
+        F.col("own").alias("j"),
+        "fp",
+        F.lit(False).alias("home"),
+    )
+    return homes.unionByName(guests).groupBy("leaf", "i", "j").applyInPandas(searched, "x long, y long")
 
 
 def near_duplicates(
