@@ -35,6 +35,52 @@ def missing_dates(expected: DataFrame, stats: DataFrame, column: str = "valid_da
     return expected.join(present, "valid_date", "left_anti")
 
 
+def missing_intervals(
+    stats: DataFrame,
+    levels: DataFrame,
+    start: date,
+    end: date,
+    frequency: str,
+    column: str = "valid_date",
+) -> DataFrame:
+    """Runs of dates from ``start`` to ``end`` that each country and level of ``levels`` lacks.
+
+    ``iso3``, ``adm_level``, ``first_date``, ``last_date`` and ``n_dates`` (long). A date counts as
+    present only where that country has it at that level. Stored dates off the calendar, and rows
+    with a null key, don't count; repeated rows count once. ``frequency`` is as in ``calendar``.
+
+    Gaps lie between neighbours of the stored dates, so the work follows what is stored, not the
+    product of calendar and countries: a gap is one row, however long.
+    """
+    keys = ["iso3", "adm_level"]
+    spark = stats.sparkSession
+    days = calendar(spark, start, end, frequency).distinct()
+    # A calendar: one row per date of a dataset's history, some ten thousand at most.
+    place = F.row_number().over(Window.orderBy("valid_date")).alias("nth")
+    days = F.broadcast(days.select(F.col("valid_date").alias("day"), place))
+    have = stats.select(*keys, F.col(column).alias("day")).distinct().join(days, "day").select(*keys, "nth")
+    known = levels.select(*keys).filter("iso3 IS NOT NULL AND adm_level IS NOT NULL").distinct()
+    have = have.join(known, keys, "left_semi")
+    # A place before the first date and one after the last close the gaps at both ends.
+    last = days.agg(F.coalesce(F.max("nth"), F.lit(0))).scalar()
+    ends = known.select(*keys, F.explode(F.array(F.lit(0), last + 1)).alias("nth"))
+    before = F.lag("nth").over(Window.partitionBy(*keys).orderBy("nth"))
+    gaps = have.unionByName(ends).withColumn("before", before).filter("nth - before > 1")
+    firsts, lasts = (days.select(F.col("day").alias(f"{n}_date"), F.col("nth").alias(f"{n}_nth")) for n in ("first", "last"))
+    return (
+        gaps.withColumns({"first_nth": F.col("before") + 1, "last_nth": F.col("nth") - 1})
+        .join(firsts, "first_nth")
+        .join(lasts, "last_nth")
+        .select(*keys, "first_date", "last_date", (F.col("nth") - F.col("before") - 1).cast("long").alias("n_dates"))
+    )
+
+
+def dates_of_intervals(intervals: DataFrame, frequency: str) -> DataFrame:
+    """The dates of ``missing_intervals``, each with the countries and levels to fill: what a backfill reads."""
+    dates = dates_between(F.col("first_date"), F.col("last_date"), frequency)
+    return intervals.select("iso3", "adm_level", F.explode(dates).alias("valid_date"))
+
+
 def run_dates(*parts: DataFrame) -> DataFrame:
     """Planned and missing dates together, each once."""
     together = parts[0].select("valid_date")

@@ -861,3 +861,35 @@ ORACLES |= {
     )
     + "SELECT * FROM agg",
 }
+
+_SPLIT = SIMPLIFY[SIMPLIFY.index("part(nation") : SIMPLIFY.index("SELECT nation, pos, round(x, 6)")]
+ORACLES |= {
+    # The same division of segments, on open lines from their first to their last vertex.
+    "simplify_shared": """WITH RECURSIVE raw AS (SELECT c_nationkey AS nation, c_custkey / n::DOUBLE AS x,
+  c_acctbal / 50000 + 10 * c_nationkey AS y FROM customer, (SELECT count(*) AS n FROM customer)),
+line AS (SELECT *, row_number() OVER (PARTITION BY nation ORDER BY x, y) AS pos,
+  count(*) OVER (PARTITION BY nation) AS n FROM raw QUALIFY n > 1),
+anchor AS (SELECT nation, min(pos) AS lo, max(pos) AS hi, arg_min(x, pos) AS ux, arg_min(y, pos) AS uy,
+  arg_max(x, pos) AS wx, arg_max(y, pos) AS wy FROM line GROUP BY nation),
+border AS (SELECT l.nation, pos, x, y FROM line l JOIN anchor a ON a.nation = l.nation AND pos > lo AND pos < hi),
+"""
+    + _SPLIT.replace("ux, uy, ux, uy, pos = lo FROM border", "ux, uy, wx, wy, FALSE FROM border")
+    + """, found AS (SELECT nation, x, y FROM part WHERE kept UNION ALL SELECT nation, ux, uy FROM anchor
+  UNION ALL SELECT nation, wx, wy FROM anchor)
+SELECT CAST(2 * nation + up AS INTEGER) AS zone_idx, round(x, 6) AS x, round(y, 6) AS y FROM found, (VALUES (0), (1)) u(up)
+UNION ALL SELECT CAST(2 * nation + up AS INTEGER), round(x, 6), round(10.0 * nation + CASE up WHEN 0 THEN -2.0 ELSE 2.0 END, 6)
+FROM (SELECT nation, ux AS x FROM anchor UNION ALL SELECT nation, wx FROM anchor), (VALUES (0), (1)) u(up)""",
+    "missing_intervals": """WITH stored AS (SELECT DISTINCT c_nationkey AS nation, CAST(o_orderdate AS DATE) AS day
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+bounds AS (SELECT min(day) AS a, max(day) AS b FROM stored),
+lacking AS (SELECT n_nationkey AS nation, CAST(d AS DATE) AS day
+  FROM nation, bounds, unnest(generate_series(a, b, INTERVAL 1 DAY)) g(d)
+  WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.nation = n_nationkey AND s.day = CAST(d AS DATE))),
+grouped AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY nation ORDER BY day) AS INTEGER) AS island FROM lacking)
+SELECT 'N' || nation AS iso3, 0 AS adm_level, min(day) AS first_date, max(day) AS last_date, count(*) AS n_dates
+FROM grouped GROUP BY nation, island""",
+    "tagged_csv": "SELECT CAST(s_suppkey AS VARCHAR) AS code, s_name AS name FROM supplier",
+    "iso3_stored": ORACLES["iso3_meta"],
+    "polygons_stored": ORACLES["polygon_meta"],
+    "lookup_stored": ORACLES["admin_lookup"],
+}

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellwise.functions.dates import issued_date
-from cellwise.operators import areas, cover, coverage, grid as grids, merge, quality, rasterize, simplify, spans, zonal
+from cellwise.operators import areas, cover, coverage, grid as grids, merge, quality, rasterize, simplify, spans, topology, zonal
 from cellwise.plans import jobs, metadata, runs
 from cellwise.schema import RINGS, STAT_COLUMNS, TILES, ZONE_KEYS, DatasetSpec, to_schema
 from cellwise.session import shared_dir, small, written
-from cellwise.sources import catalog, tables, tiles as tile_source
+from cellwise.sources import catalog, sinks, tables, tiles as tile_source
 from cellwise.streaming import updates
 from workload import inputs
 from workload.inputs import Scene, table
@@ -874,7 +874,8 @@ def archive_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def qa_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(Archive.of(spark, sf_dir).qa).drop("date").filter("iso3 IS NULL")
+    """The whole log: the run has no line of a country, so one that came would part from the twin."""
+    return spark.read.parquet(Archive.of(spark, sf_dir).qa).drop("date")
 
 
 @query
@@ -1008,3 +1009,82 @@ def zonal_stats_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = written(spans.zone_runs(mapped), "runs")
     found = spans.run_stats(inputs.cells_obs(spark, sf_dir), runs, scene.grid, runs.count(), ["valid_date"])
     return rounded(found, "mean", "sum", "std")
+
+
+# Gaps, shared borders, and what the sinks store
+
+
+@query
+def missing_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of days on which a nation has no order, between the first and the last order of all."""
+    stored = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    stored = stored.select(
+        F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("iso3"),
+        F.lit(0).alias("adm_level"),
+        F.to_date("o_orderdate").alias("valid_date"),
+    )
+    first, last = stored.agg(F.min("valid_date"), F.max("valid_date")).first()
+    levels = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("iso3"), F.lit(0).alias("adm_level")
+    )
+    return runs.missing_intervals(stored, levels, first, last, "D")
+
+
+@query
+def simplify_shared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A zone below and one above each nation's border, which stays common to both."""
+    n = table(spark, sf_dir, "customer").count()
+    line = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("nation"),
+        F.struct((F.col("c_custkey") / F.lit(n)).alias("x"), (F.col("c_acctbal") / 50_000 + 10 * F.col("c_nationkey")).alias("y")).alias("p"),
+    )
+    lines = line.groupBy("nation").agg(F.array_sort(F.collect_list("p")).alias("line")).filter(F.size("line") > 1)
+    corner = lambda x, up: F.struct(x.alias("x"), (10.0 * F.col("nation") + up).alias("y"))
+    left, right = F.element_at("line", 1)["x"], F.element_at("line", -1)["x"]
+    below = F.concat("line", F.array(corner(right, -2.0), corner(left, -2.0)))
+    above = F.concat(F.reverse("line"), F.array(corner(left, 2.0), corner(right, 2.0)))
+    sides = F.explode(F.array(F.struct(F.lit(0).alias("up"), below.alias("ring")), F.struct(F.lit(1).alias("up"), above.alias("ring"))))
+    zones = lines.select("nation", sides.alias("side")).select(
+        F.lit("AAA").alias("iso3"),
+        F.lit(0).alias("adm_level"),
+        (2 * F.col("nation") + F.col("side.up")).cast("int").alias("zone_idx"),
+        F.array("side.ring").cast(RINGS).alias("rings"),
+    )
+    thin = topology.simplify_shared(written(zones, "neighbours"), TOLERANCE, FEW_VERTICES)
+    corners = thin.select("zone_idx", F.posexplode(F.element_at("rings", 1)).alias("nth", "p"))
+    return rounded(corners.select("zone_idx", "p.x", "p.y"), "x", "y")
+
+
+@query
+def tagged_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as a headered CSV in many files, with a tag row in one, and read back."""
+    path = shared_dir(spark, "tagged")
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"))
+    tags = spark.range(1).select(F.lit("#adm+code").alias("code"), F.lit("#adm+name").alias("name"))
+    tags.union(rows).write.option("header", True).csv(path)
+    return tables.read_tagged_csv(spark, path, "code string, name string")
+
+
+@query
+def iso3_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The country table as stored the second time."""
+    path, made = shared_dir(spark, "iso3"), iso3_meta(spark, sf_dir)
+    for rows in (made.withColumn("has_active_hrp", F.lit(None).cast("boolean")), made):
+        sinks.write_iso3(rows, path)
+    return spark.read.parquet(path)
+
+
+@query
+def polygons_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygon metadata stored with other names for one level, then again as they are."""
+    path, made = shared_dir(spark, "polygons"), written(polygon_meta(spark, sf_dir), "polygon-meta")
+    sinks.write_polygons(made.filter("adm_level = 1").withColumn("name", F.lit("old")), path)
+    sinks.write_polygons(made, path)
+    return spark.read.parquet(path)
+
+
+@query
+def lookup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "lookup")
+    sinks.write_lookup(admin_lookup(spark, sf_dir), path)
+    return spark.read.parquet(path)
