@@ -293,7 +293,6 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     shared = shared.filter("low != high").select("band", "value", "y", "size")
     members = nodes.join(shared, ["band", "value"]).select("band", "value", "hash", "y", "size")
     members = written(members, "line-members")
-    pairs = members.filter("hash != y").select(F.col("hash").alias("x"), "y").distinct()
     wanted = members.select("hash").distinct()
     first = lines.join(wanted, "hash", "left_semi").groupBy("hash").agg(F.min(F.struct(*KEY, "start", "end")).alias("p"))
     places = first.groupBy("p.doc", "p.row").agg(F.collect_list(F.struct("hash", "p.start", "p.end")).alias("places"))
@@ -303,7 +302,7 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     found = texts.join(small(places, n_places), KEY).select("text", "places")
     schema = "hash long, shingles array<long>, " + ", ".join(f"{c} long" for c in SKETCH)
     sets = written(found.mapInArrow(_shingled, schema).dropDuplicates(["hash"]), "line-shingles")
-    near = written(_similar(pairs, sets), "similar-lines")
+    near = written(_similar_to_representatives(members, sets), "similar-lines")
     # A bucket of two has been compared whole.
     joined = written(components(near, "x", "y"), "line-components")
     several = members.filter("size > 2").join(joined, members["hash"] == joined["node"], "left")
@@ -315,6 +314,26 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     return joined.filter("node != component").select(F.col("node").alias("x"), F.col("component").alias("y")).union(late)
 
 
+def _similar_to_representatives(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that lead from each line to the representatives of its bands that are similar to it.
+
+    A line asks the representative of its largest bucket first, which does the same, so answers lead
+    to ever larger buckets. A pair whose ends are led to one line would join nothing anew and is not
+    compared; of a large group of near copies that leaves about one pair a line.
+    """
+    asked = members.groupBy("hash").agg(F.max(F.struct("size", "y")).getField("y").alias("asked"))
+    asked = written(asked.select(F.col("hash").alias("x"), "asked"), "first-asked")
+    found = written(_similar(asked.filter("x != asked").select("x", F.col("asked").alias("y")), sets), "first-similar")
+    led = written(asked.join(found, "x", "left").select("x", "asked", F.coalesce("y", "x").alias("x_led")), "led")
+    for _ in range(2):
+        further = led.select(F.col("x").alias("x_led"), F.col("x_led").alias("next"))
+        led = written(led.join(further, "x_led").select("x", "asked", F.col("next").alias("x_led")), "led")
+    pairs = members.filter("hash != y").select(F.col("hash").alias("x"), "y").distinct()
+    rest = pairs.join(led, "x").filter("y != asked")
+    rest = rest.join(led.select(F.col("x").alias("y"), F.col("x_led").alias("y_led")), "y")
+    return found.union(_similar(rest.filter("x_led != y_led").select("x", "y"), sets))
+
+
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose shingles are similar."""
     x, y = (sets.select(F.col("hash").alias(n), F.col("shingles").alias(f"{n}_set")) for n in ("x", "y"))

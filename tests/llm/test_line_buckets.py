@@ -54,6 +54,32 @@ def test_a_template_makes_few_pairs(spark):
     assert len(met) <= 2 * len(rows)
 
 
+def test_near_copies_ask_about_one_representative_each(spark, monkeypatch):
+    """A large group of near copies, among pairs and lines alone: as few pairs, and the same groups."""
+    rng = random.Random(59)
+    base = sentence(rng, 100, 3000).split()
+    lines = [" ".join([*base[:at], f"edit{i}", *base[at + 1 :]]) for i in range(400) for at in [rng.randrange(100)]]
+    for i in range(40):
+        other = sentence(rng, 80, 3000)
+        lines += [other, f"{other} once{i}"]
+    docs = docs_of(spark, lines).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("row"), "text")
+    schema = "doc long, row long, start int, end int, hash long, bands array<long>, windows array<long>"
+    rows = docs.mapInArrow(passages._pieces, schema).filter("bands is not null").persist()
+    of = {r["hash"]: r.doc for r in rows.collect()}
+    compared, similar = [], passages._similar
+
+    def counted(pairs, sets):
+        compared.append(pairs.count())
+        return similar(pairs, sets)
+
+    monkeypatch.setattr(passages, "_similar", counted)
+    pairs = [(of[r.x], of[r.y]) for r in passages.similar_lines(docs, rows).collect()]
+    grams = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, lines)]
+    true = [(i, j) for i in range(len(lines)) for j in range(i) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j])]
+    assert union_find(pairs) == union_find(true)
+    assert sum(compared) <= 1.5 * len(lines), compared
+
+
 def test_sketches_bound_the_difference():
     rng = np.random.default_rng(3)
     for _ in range(200):
