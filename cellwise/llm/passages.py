@@ -321,17 +321,21 @@ def _similar_to_representatives(members: DataFrame, sets: DataFrame) -> DataFram
     to ever larger buckets. A pair whose ends are led to one line would join nothing anew and is not
     compared; of a large group of near copies that leaves about one pair a line.
     """
-    asked = members.groupBy("hash").agg(F.max(F.struct("size", "y")).getField("y").alias("asked"))
-    asked = written(asked.select(F.col("hash").alias("x"), "asked"), "first-asked")
-    found = written(_similar(asked.filter("x != asked").select("x", F.col("asked").alias("y")), sets), "first-similar")
-    led = written(asked.join(found, "x", "left").select("x", "asked", F.coalesce("y", "x").alias("x_led")), "led")
+    largest = F.max(F.struct("size", "y")).getField("y").alias("asked")
+    asked = members.groupBy(F.col("hash").alias("x")).agg(largest, F.collect_set("y").alias("ys"))
+    asked = written(asked, "first-asked")
+    found = _similar(asked.filter("x != asked").select("x", F.col("asked").alias("y")), sets)
+    found = written(found, "first-similar")
+    led = written(asked.join(found, "x", "left").select("x", "asked", "ys", F.coalesce("y", "x").alias("x_led")), "led")
     for _ in range(2):
         further = led.select(F.col("x").alias("x_led"), F.col("x_led").alias("next"))
-        led = written(led.join(further, "x_led").select("x", "asked", F.col("next").alias("x_led")), "led")
-    pairs = members.filter("hash != y").select(F.col("hash").alias("x"), "y").distinct()
-    rest = pairs.join(led, "x").filter("y != asked")
-    rest = rest.join(led.select(F.col("x").alias("y"), F.col("x_led").alias("y_led")), "y")
-    return found.union(_similar(rest.filter("x_led != y_led").select("x", "y"), sets))
+        led = written(led.join(further, "x_led").select("x", "asked", "ys", F.col("next").alias("x_led")), "led")
+    others = F.filter("ys", lambda y: ~y.isin(F.col("x"), F.col("asked"), F.col("x_led")))
+    rest = led.select("x", "x_led", F.explode(others).alias("y"))
+    # Lines of a group ask the same few, so it is decided once for all of them who is still open.
+    ends = rest.select("x_led", "y").distinct().join(led.select(F.col("x").alias("y"), F.col("x_led").alias("y_led")), "y")
+    still = ends.filter("x_led != y_led").select("x_led", "y")
+    return found.union(_similar(rest.join(still, ["x_led", "y"]).select("x", "y"), sets))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
