@@ -279,8 +279,9 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     Each is of a Jaccard similarity of ``SIMILARITY`` or more, or of two lines joined by such pairs.
 
     Within a bucket of a band all are compared with one representative, which joins large groups
-    at the cost of one pair a line and band. Lines of buckets that are still of several components then
-    meet across these by ``shared_prefixes``, so no similar pair of a bucket stays apart.
+    at the cost of one pair a line and band at most. Lines of buckets that are still of several
+    components meet the line in the middle of the bucket, and what is of several components even then
+    meets across these by ``shared_prefixes``, so no similar pair of a bucket stays apart.
     """
     nodes = lines.select("hash", F.posexplode("bands").alias("band", "value")).distinct()
     # The representative of a band differs from band to band, so most groups are joined by one.
@@ -305,15 +306,48 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     near = written(_similar_to_representatives(members, sets), "similar-lines")
     # A bucket of two has been compared whole.
     joined = written(components(near, "x", "y"), "line-components")
-    several = members.filter("size > 2").join(joined, members["hash"] == joined["node"], "left")
-    several = several.select("band", "value", "hash", F.coalesce("component", "hash").alias("component"))
-    mixed = several.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = mixed.filter("low != high").select("band", "value")
-    apart = written(several.join(mixed, ["band", "value"]).select("hash", "component").distinct(), "lines-apart")
+    # A bucket of two has been compared whole.
+    members = members.filter("size > 2")
+    mixed = several_components(members, joined)
+    central = written(_similar(middle_pairs(mixed, sets), sets), "similar-central")
+    stars = joined.select(F.col("node").alias("x"), F.col("component").alias("y"))
+    joined = written(components(stars.union(central), "x", "y"), "line-components")
+    apart = several_components(members, joined).select("hash", "component").distinct()
+    apart = written(apart, "lines-apart")
     late = _similar(shared_prefixes(sets.join(apart, "hash")), sets)
     return joined.filter("node != component").select(F.col("node").alias("x"), F.col("component").alias("y")).union(late)
 
 
+def several_components(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """``band``, ``value``, ``hash`` and ``component`` of the lines of buckets of several components."""
+    named = members.join(joined, members["hash"] == joined["node"], "left")
+    named = named.select("band", "value", "hash", F.coalesce("component", "hash").alias("component"))
+    ends = named.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return written(named.join(ends.filter("low != high").select("band", "value"), ["band", "value"]), "mixed-buckets")
+
+
+def middle_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each line of a bucket with the line in the middle of that bucket, if of another component.
+
+    In the middle is the line whose shingles most other lines have on average, which in a group of
+    near copies is the one with the fewest edits. These pairs only spare others: lines that stay apart
+    all the same are compared by ``shared_prefixes``.
+    """
+    each = sets.join(mixed.select("hash").distinct(), "hash").select("hash", F.explode("shingles").alias("s"))
+    each = written(each, "mixed-shingles")
+    common = each.groupBy("s").agg(F.count("*").alias("lines")).filter("lines > 1")
+    n = sets.select("hash", F.size("shingles").alias("n"))
+    central = each.join(common, "s").groupBy("hash").agg(F.sum("lines").alias("lines")).join(n, "hash")
+    central = central.select("hash", (F.col("lines") / F.col("n")).alias("centrality"))
+    named = written(mixed.join(central, "hash"), "central")
+    most = F.max(F.struct("centrality", "hash", "component"))
+    middle = named.groupBy("band", "value").agg(most.alias("m")).select(
+        "band", "value", F.col("m.hash").alias("y"), F.col("m.component").alias("y_component")
+    )
+    met = named.join(middle, ["band", "value"]).filter("component != y_component")
+    return met.select(F.col("hash").alias("x"), "y").distinct()
+
+
 def _similar_to_representatives(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs that lead from each line to the representatives of its bands that are similar to it.
 
