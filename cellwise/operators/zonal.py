@@ -63,7 +63,7 @@ def cells_in_zones(cells: DataFrame, zone_map: DataFrame, grid: Grid, bounds: Bo
     """
     keyed = zone_map.select(grid.cell_id().alias("cell"), *ZONE_KEYS, "w")
     located = cells.withColumn("cell", grid.cell_id())
-    return located.join(small(keyed, bounds.map_rows), "cell").drop("cell")
+    return located.join(small(keyed, bounds.map_rows, beyond="merge"), "cell").drop("cell")
 
 
 def zonal_stats(

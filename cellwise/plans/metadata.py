@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from cellwise.functions.values import codes_in, contains_text, sum_present
 from cellwise.operators.areas import areas_km2
 from cellwise.operators.grid import Grid, country_windows, fine_windows
-from cellwise.operators.rasterize import zone_map
+from cellwise.operators.rasterize import zone_counts
 from cellwise.schema import ZONE_KEYS
 from cellwise.sources.tables import first_per_key
 
@@ -122,19 +122,14 @@ class RasterSource:
 def pixel_counts(zones: DataFrame, source: RasterSource) -> DataFrame:
     """Raw and output pixels per zone: ``n_intersect_raw_pixels, frac_raw_pixels, n_upsampled_pixels``.
 
-    Each source cell is one row of the zone map, so raw cells are counted as rows. Zones of a
-    covered country without a pixel count 0; countries outside the grid or the coverage have
+    Raw cells are the rows of the zone map, counted on its runs. Zones of a covered country without a pixel count 0; countries outside the grid or the coverage have
     no row.
     """
     covered = zones
     if source.coverage is not None:
         covered = zones.filter(F.col("iso3").isin(*source.coverage))
     spans = country_windows(covered, source.grid)
-    pixels = (
-        zone_map(covered, spans, source.grid, source.resolution)
-        .groupBy(*ZONE_KEYS)
-        .agg(F.count(F.lit(1)).alias("raw"), F.sum("w").alias("fine"))
-    )
+    pixels = zone_counts(covered, spans, source.grid, source.resolution)
     factors = fine_windows(spans, source.grid, source.resolution).select(
         "iso3", (F.col("new_w") / F.col("w")).alias("factor")
     )
