@@ -18,6 +18,9 @@ from cellwise.session import partitions, small
 
 ROW_KEYS = ["iso3", "adm_level", "row"]
 
+# Blocks along a side of a zone's bounding box, at most, give or take one.
+BLOCKS_ACROSS = 4
+
 
 def zone_edges(zones: DataFrame, *keys: str) -> DataFrame:
     """Directed edges of all rings of each zone, holes included."""
@@ -312,34 +315,47 @@ def zone_map_upsampled_first(
 def points_in_zones(points: DataFrame, zones: DataFrame, block: float, *keys: str) -> DataFrame:
     """Zones holding each point ``(*keys, x, y)``, for points that are on no grid.
 
-    A point first meets the zones whose bounding box covers it (equi-join on square blocks of
-    side ``block``), then only the edges of those zones in its own horizontal band. It is inside
-    if an odd number of them cross its row to its left.
+    A point first meets the zones whose bounding box covers it (equi-join on square blocks), then
+    only the edges of those zones in its own horizontal band. It is inside if an odd number of them
+    cross its row to its left. Blocks and bands have the side ``block``, doubled until a box or an
+    edge reaches over a few of them, so large zones are no more rows than small ones.
     """
 
+    def doublings(extent: Column) -> Column:
+        """How often ``block`` is doubled; an extent of 0 has no logarithm."""
+        return F.greatest(F.ceil(F.log2(extent / (BLOCKS_ACROSS * block))), F.lit(0)).cast("int")
+
+    def at(place: Column) -> Column:
+        return F.floor(place / (F.lit(block) * F.pow(F.lit(2.0), F.col("doubled"))))
+
     def blocks(low: str, high: str) -> Column:
-        return F.explode(F.sequence(F.floor(F.col(low) / block), F.floor(F.col(high) / block)))
+        return F.explode(F.sequence(at(F.col(low)), at(F.col(high))))
+
+    def sizes(blocked: DataFrame) -> Column:
+        """The block sizes in use, some dozens at most."""
+        return F.explode(blocked.agg(F.collect_set("doubled")).scalar()).alias("doubled")
 
-    boxes = (
-        zone_bounds(zones, *ZONE_KEYS)
-        .withColumn("block_x", blocks("minx", "maxx"))
-        .withColumn("block_y", blocks("miny", "maxy"))
+    bounds = zone_bounds(zones, *ZONE_KEYS)
+    extent = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    sized = bounds.withColumn("doubled", doublings(extent))
+    boxes = sized.withColumn("block_x", blocks("minx", "maxx")).withColumn(
+        "block_y", blocks("miny", "maxy")
     )
     candidates = (
-        points.withColumn("block_x", F.floor(F.col("x") / block))
-        .withColumn("block_y", F.floor(F.col("y") / block))
-        .join(boxes, ["block_x", "block_y"])
+        points.select(*keys, "x", "y", sizes(sized))
+        .withColumns({"block_x": at(F.col("x")), "block_y": at(F.col("y"))})
+        .join(boxes, ["doubled", "block_x", "block_y"])
         .filter("x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy")
-        .select(*keys, "x", "y", *ZONE_KEYS, "block_y")
+        .select(*keys, "x", "y", *ZONE_KEYS)
     )
-    edges = (
+    long = (
         zone_edges(zones)
-        .withColumn("lower", F.least("y1", "y2"))
-        .withColumn("upper", F.greatest("y1", "y2"))
-        .withColumn("block_y", blocks("lower", "upper"))
-        .drop("lower", "upper")
+        .withColumns({"lower": F.least("y1", "y2"), "upper": F.greatest("y1", "y2")})
+        .withColumn("doubled", doublings(F.col("upper") - F.col("lower")))
     )
-    crossed = candidates.join(edges, [*ZONE_KEYS, "block_y"]).filter(
+    edges = long.withColumn("block_y", blocks("lower", "upper")).drop("lower", "upper")
+    candidates = candidates.select("*", sizes(long)).withColumn("block_y", at(F.col("y")))
+    crossed = candidates.join(edges, [*ZONE_KEYS, "doubled", "block_y"]).filter(
         ((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y")))
         & (crossing_x(F.col("y")) < F.col("x"))
     )
