@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -49,12 +50,14 @@ SKETCH = [f"bits{i}" for i in range(SKETCH_BITS // 64)]
 # A paragraph begins at a word whose hash is the least among so many before and after it.
 RADIUS = 8
 LONGEST = 12
+# Words that are hashed at once, but for the last text's.
+AT_ONCE = 1 << 16
 WORD = re.compile(r"\S+")
 # The same words for Spark's regular expressions.
 BLANK_FREE = r"(?U)[^\s\x1c-\x1f]+"
 KEY = ["doc", "row"]
 ODD = np.uint64(0x9E3779B97F4A7C15)
-_PERMUTATIONS = (np.cumprod(np.full(BANDS * ROWS, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64) | np.uint64(1))[:, None]
+_PERMUTATIONS = (np.cumprod(np.full(BANDS * ROWS, 0xD6E8FEB86659FD93, np.uint64), dtype=np.uint64) | np.uint64(1))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -64,65 +67,78 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """Hashes of a text's words, and of any run of them."""
+    """Hashes of the words of some texts, one text after the other, and of any run of words of a text.
 
-    def __init__(self, text: str) -> None:
+    Numpy's calls cost more than their work on one short text, so a task hands over many at once.
+    """
+
+    def __init__(self, *texts: str | list[str]) -> None:
         from xxhash import xxh64_intdigest
 
-        words = text.split()
-        self.n = len(words)
-        self.h = np.fromiter(map(xxh64_intdigest, words), np.uint64, self.n)
+        split = [t.split() if isinstance(t, str) else t for t in texts]
+        # Where texts begin, and where the last one ends.
+        self.bounds = np.cumsum([0, *map(len, split)])
+        self.n = int(self.bounds[-1])
+        self.h = np.fromiter(map(xxh64_intdigest, chain.from_iterable(split)), np.uint64, self.n)
         # Prefix sums of h[i] * ODD^i; a run's sum is shifted to start at power 0.
         powers = np.ones(self.n + 1, np.uint64)
         np.cumprod(np.full(self.n, ODD, np.uint64), out=powers[1:])
         self.sums = np.zeros(self.n + 1, np.uint64)
         np.cumsum(self.h * powers[:-1], out=self.sums[1:])
-        self.powers = powers
+        self.inverse = np.ones(self.n + 1, np.uint64)
+        np.cumprod(np.full(self.n, pow(int(ODD), -1, 1 << 64), np.uint64), out=self.inverse[1:])
 
     def runs(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of the words start..end-1, for each pair; equal runs have equal hashes."""
         # Multiplying by the power that is missing brings all runs to the same one.
-        lifted = (self.sums[end] - self.sums[start]) * self._lift(start)
+        lifted = (self.sums[end] - self.sums[start]) * self.inverse[start]
         return mixed(lifted + (end - start).astype(np.uint64))
 
-    def _lift(self, start: np.ndarray) -> np.ndarray:
-        if not hasattr(self, "inverse"):
-            inverse = np.ones(self.n + 1, np.uint64)
-            np.cumprod(np.full(self.n, pow(int(ODD), -1, 1 << 64), np.uint64), out=inverse[1:])
-            self.inverse = inverse
-        return self.inverse[start]
+    def text_of(self) -> np.ndarray:
+        """Number of the text of each word."""
+        return np.repeat(np.arange(len(self.bounds) - 1), np.diff(self.bounds))
 
     def cuts(self) -> np.ndarray:
-        """First words of the paragraphs, the text's own first word included.
+        """First words of the paragraphs, every text's own first word included.
 
         Words that repeat at short distances, such as one word a hundred times, have no least
         one among them; there, every ``LONGEST`` words begin a paragraph.
         """
-        h, n = self.h, self.n
+        h, n, text = self.h, self.n, self.text_of()
         chosen = np.ones(n, bool)
         for d in range(1, min(RADIUS, n - 1) + 1):
-            chosen[d:] &= h[d:] < h[:-d]
-            chosen[:-d] &= h[:-d] <= h[d:]
-        chosen[0] = True
+            less, apart = h[d:] < h[:-d], text[d:] != text[:-d]
+            chosen[d:] &= less | apart
+            chosen[:-d] &= ~less | apart
+        chosen[self.bounds[:-1][np.diff(self.bounds) > 0]] = True
         first = np.flatnonzero(chosen)
         length = np.diff(np.append(first, n))
         parts = np.maximum(1, length // LONGEST)
         nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         return np.repeat(first, parts) + nth * LONGEST
 
-    def shingles(self, start: int, end: int) -> np.ndarray:
-        """Distinct shingles of a line, sorted; a line shorter than a shingle is one."""
-        n = min(SHINGLE, end - start)
-        first = np.arange(start, end - n + 1)
-        return np.unique(self.runs(first, first + n))
-
-
-def bands(shingled: np.ndarray) -> np.ndarray:
-    """One hash per band, of the least shingles under its permutations."""
-    least = (shingled[None, :] * _PERMUTATIONS).min(axis=1).reshape(BANDS, ROWS)
-    out = np.arange(1, BANDS + 1, dtype=np.uint64)
+    def shingles(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct shingles of each line, sorted, one line after the other, and where lines begin
+        and the last one ends; a line shorter than a shingle is one.
+        """
+        size = np.minimum(SHINGLE, end - start)
+        several = end - start - size + 1
+        at = np.cumsum(np.append(0, several))
+        first = np.arange(at[-1]) + np.repeat(start - at[:-1], several)
+        found = self.runs(first, first + np.repeat(size, several))
+        for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+            found[i:j].sort()
+        new = np.append(True, found[1:] != found[:-1])
+        new[at[:-1]] = True
+        return found[new], np.append(np.cumsum(new)[at[:-1]] - 1, new.sum())
+
+
+def bands(shingled: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One hash per band of each line, of the least shingles under its permutations."""
+    least = [np.minimum.reduceat(shingled * p, at[:-1]) for p in _PERMUTATIONS]
+    out = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(at) - 1, 1))
     for r in range(ROWS):
-        out = mixed(out + least[:, r])
+        out = mixed(out + np.stack(least[r::ROWS], axis=1))
     return out
 
 
@@ -133,11 +149,19 @@ def lines_of(text: str) -> Iterator[tuple[int, int]]:
     A paragraph is a block of lines without a blank one between them. Shorter blocks that follow
     each other, and blocks of over ``3 * PASSAGE`` words, are cut into windows of lines.
     """
+    return _places(_split_lines(text))
+
+
+def _split_lines(text: str) -> list[list[str]]:
+    return [line.split() for line in text.split("\n")]
+
+
+def _places(lines: list[list[str]]) -> Iterator[tuple[int, int]]:
     at = 0
     block: list[tuple[int, int, int]] = []
     several: list[tuple[int, int, int]] = []
-    for line in [*text.split("\n"), None]:
-        words = (line or "").split()
+    for line in [*lines, None]:
+        words = line or []
         n = len(words)
         if 0 < n < PASSAGE:
             block.append((at, at + n, zlib.crc32(" ".join(words).encode("utf-8", "surrogatepass"))))
@@ -195,11 +219,11 @@ def _taken(batch: pa.RecordBatch, index: np.ndarray) -> list[pa.Array]:
     return [batch.column(c).take(at) for c in KEY]
 
 
-def _lists(values: list[np.ndarray], width: int) -> pa.ListArray:
-    """Rows of ``width`` numbers each as lists."""
-    n = sum(map(len, values))
+def _lists(values: np.ndarray) -> pa.ListArray:
+    """The rows of ``values`` as lists."""
+    n, width = values.shape
     offsets = pa.array(np.arange(0, width * n + 1, width), pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(_signed(np.concatenate(values).ravel())))
+    return pa.ListArray.from_arrays(offsets, pa.array(_signed(values.ravel())))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,44 +232,58 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Both have their place and a hash: a line's of its shingles, a paragraph's of the words around the
     cut with which it begins.
     """
-    lists = pa.list_(pa.int64())
-    names = [*KEY, "start", "end", "hash", "bands", "windows"]
     for batch in batches:
+        rows, texts, n = [], [], 0
         for begin in range(0, batch.num_rows, 256):
-            lines, parts = ([[] for _ in range(5)] for _ in range(2))
             for i, text in enumerate(batch.slice(begin, 256).column("text").to_pylist(), begin):
-                words = Words(text or "")
-                if words.n < PASSAGE:
+                lines = _split_lines(text or "")
+                n_words = sum(map(len, lines))
+                if n_words < PASSAGE:
                     continue
-                places = np.array(list(lines_of(text)), np.int64).reshape(-1, 2)
-                sets = [words.shingles(s, e) for s, e in places]
-                if sets:
-                    own = np.array([_shingle_hash(x) for x in sets], np.uint64)
-                    found = (np.full(len(sets), i), places[:, 0], places[:, 1], own, np.stack([bands(x) for x in sets]))
-                    for column, values in zip(lines, found):
-                        column.append(values)
-                start = words.cuts()
-                end = np.append(start[1:], words.n)
-                first = start[:, None] - np.array(OFFSETS)
-                there = (first >= 0) & (first + PASSAGE <= words.n)
-                first = np.where(there, first, 0)
-                laid = np.where(there, words.runs(first.ravel(), first.ravel() + PASSAGE).reshape(first.shape), np.uint64(0))
-                around = words.runs(np.maximum(start - RADIUS, 0), np.minimum(start + RADIUS + 1, words.n))
-                for column, values in zip(parts, (np.full(len(start), i), start, end, around, laid)):
-                    column.append(values)
-            for (of, start, end, own, listed), width in ((lines, BANDS), (parts, len(OFFSETS))):
-                if not of:
-                    continue
-                numbers = _lists(listed, width)
-                none = pa.nulls(len(numbers), lists)
-                columns = _taken(batch, np.concatenate(of)) + [pa.array(np.concatenate(x).astype(np.int32)) for x in (start, end)]
-                columns += [pa.array(_signed(np.concatenate(own))), *((numbers, none) if listed is lines[4] else (none, numbers))]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
-
-
-def _shingle_hash(shingled: np.ndarray) -> np.uint64:
-    """Hash of a set of shingles: lines with equal sets are one node."""
-    return mixed(np.array([mixed(shingled).sum(dtype=np.uint64) + np.uint64(len(shingled))]))[0]
+                rows.append(i)
+                texts.append(lines)
+                n += n_words
+                if n >= AT_ONCE:
+                    yield from _pieces_of(batch, np.array(rows), texts)
+                    rows, texts, n = [], [], 0
+        if rows:
+            yield from _pieces_of(batch, np.array(rows), texts)
+
+
+def _pieces_of(batch: pa.RecordBatch, rows: np.ndarray, texts: list[list[list[str]]]) -> Iterator[pa.RecordBatch]:
+    """The pieces of ``texts``, split into lines and words, which stand in ``rows`` of the batch."""
+    words = Words(*[list(chain.from_iterable(lines)) for lines in texts])
+    begin = words.bounds[:-1]
+    found = [np.array(list(_places(lines)), np.int64).reshape(-1, 2) for lines in texts]
+    text = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+    places = np.concatenate(found)
+    if len(places):
+        sets, at = words.shingles(places[:, 0] + begin[text], places[:, 1] + begin[text])
+        yield _piece_rows(batch, rows[text], places[:, 0], places[:, 1], _shingle_hashes(sets, at), "bands", bands(sets, at))
+    start = words.cuts()
+    end = np.append(start[1:], words.n)
+    text = words.text_of()[start]
+    low, high = begin[text], words.bounds[1:][text]
+    first = start[:, None] - np.array(OFFSETS)
+    there = (first >= low[:, None]) & (first + PASSAGE <= high[:, None])
+    first = np.where(there, first, 0)
+    laid = np.where(there, words.runs(first, np.where(there, first + PASSAGE, 0)), np.uint64(0))
+    around = words.runs(np.maximum(start - RADIUS, low), np.minimum(start + RADIUS + 1, high))
+    yield _piece_rows(batch, rows[text], start - low, end - low, around, "windows", laid)
+
+
+def _piece_rows(
+    batch: pa.RecordBatch, rows: np.ndarray, start: np.ndarray, end: np.ndarray, own: np.ndarray, name: str, listed: np.ndarray
+) -> pa.RecordBatch:
+    numbers = _lists(listed)
+    both = {"bands": pa.nulls(len(numbers), numbers.type), "windows": pa.nulls(len(numbers), numbers.type)} | {name: numbers}
+    columns = [*_taken(batch, rows), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(_signed(own))]
+    return pa.RecordBatch.from_arrays([*columns, *both.values()], names=[*KEY, "start", "end", "hash", *both])
+
+
+def _shingle_hashes(shingled: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of each line's set of shingles: lines with equal sets are one node."""
+    return mixed(np.add.reduceat(mixed(shingled), at[:-1]) + np.diff(at).astype(np.uint64))
 
 
 def sketch(shingled: np.ndarray) -> np.ndarray:
@@ -262,11 +300,11 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         hashes, sets, bits = [], [], []
         for text, places in zip(batch.column("text").to_pylist(), batch.column("places").to_pylist()):
-            words = Words(text)
-            for place in places:
-                shingled = words.shingles(place["start"], place["end"])
-                sets.append(_signed(shingled).tolist())
-                bits.append(sketch(shingled))
+            start, end = (np.array([place[k] for place in places], np.int64) for k in ("start", "end"))
+            shingled, at = Words(text).shingles(start, end)
+            for place, i, j in zip(places, at[:-1], at[1:]):
+                sets.append(_signed(shingled[i:j]).tolist())
+                bits.append(sketch(shingled[i:j]))
                 hashes.append(place["hash"])
         columns = [pa.array(hashes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))]
         columns += [pa.array(b) for b in np.array(bits, np.int64).reshape(-1, len(SKETCH)).T]
