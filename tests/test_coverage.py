@@ -132,3 +132,11 @@ def test_equal_weights_are_plain_statistics(spark):
 def test_unknown_statistic(spark):
     with pytest.raises(ValueError):
         exact_stats(spark.range(1), spark.range(1), GRID, 1, [], ["mode"])
+
+
+def test_runs_take_one_exchange(spark):
+    """Pieces are dealt by line once, for the sums of cells and for those along the line."""
+    runs = coverage_runs(zones_of(spark, zone(0, [(0.5, 0.5), (7.5, 0.5), (3.5, 6.5)])), GRID)
+    plan = runs._jdf.queryExecution().executedPlan().toString()
+    by_row = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "row#" in x]
+    assert len(by_row) == 1, plan
