@@ -9,7 +9,7 @@ Lineage is cut by a table in the shared folder each round.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from cellwise.session import removed, written
@@ -26,6 +26,11 @@ def _mirrored(pairs: DataFrame) -> DataFrame:
     return pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
+def _state(edges: DataFrame) -> Row:
+    """Number and fingerprint of the pairs: a round that leaves them as they were was the last."""
+    return edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+
+
 def components(pairs: DataFrame, first: str, second: str) -> DataFrame:
     """``node`` and ``component`` (its smallest node) for every node of a pair of unequal nodes.
 
@@ -36,8 +41,9 @@ def components(pairs: DataFrame, first: str, second: str) -> DataFrame:
     unequal = pairs.filter(F.col(first) != F.col(second))
     edges = unequal.select(F.greatest(first, second).alias("a"), F.least(first, second).alias("b"))
     edges = written(edges.distinct(), "links")
-    before = None
-    while True:
+    before = _state(edges)
+    # Without a link there is nothing to do, and links that are stars already take one round.
+    while before[0]:
         # Large star: the larger neighbours of every node, linked to its least one.
         large = _star(_mirrored(edges)).filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
         # Small star: every node's smaller neighbours and itself, linked to its least one.
@@ -46,10 +52,11 @@ def components(pairs: DataFrame, first: str, second: str) -> DataFrame:
         inner = joined.filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         own = least.select("a", F.col("least").alias("b"))
         new = written(inner.union(own).distinct(), "links")
-        state = new.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+        state = _state(new)
         removed(edges)
         edges = new
         if state == before:
-            leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-            return leaves.union(edges.select("b", "b").distinct())
+            break
         before = state
+    leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return leaves.union(edges.select("b", "b").distinct())

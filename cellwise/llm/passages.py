@@ -347,13 +347,18 @@ def similar_lines(texts: DataFrame, lines: DataFrame) -> DataFrame:
     # A bucket of two has been compared whole.
     members = members.filter("size > 2")
     mixed = several_components(members, joined)
-    central = written(_similar(middle_pairs(mixed, sets), sets), "similar-central")
-    stars = joined.select(F.col("node").alias("x"), F.col("component").alias("y"))
-    joined = written(components(stars.union(central), "x", "y"), "line-components")
-    apart = several_components(members, joined).select("hash", "component").distinct()
-    apart = written(apart, "lines-apart")
-    late = _similar(shared_prefixes(sets.join(apart, "hash")), sets)
-    return joined.filter("node != component").select(F.col("node").alias("x"), F.col("component").alias("y")).union(late)
+    # What is empty starts no further jobs: each takes memory of the driver, however small its input.
+    if not mixed.isEmpty():
+        central = written(_similar(middle_pairs(mixed, sets), sets), "similar-central")
+        if not central.isEmpty():
+            stars = joined.select(F.col("node").alias("x"), F.col("component").alias("y"))
+            joined = written(components(stars.union(central), "x", "y"), "line-components")
+            mixed = several_components(members, joined)
+    found = joined.filter("node != component").select(F.col("node").alias("x"), F.col("component").alias("y"))
+    if mixed.isEmpty():
+        return found
+    apart = written(mixed.select("hash", "component").distinct(), "lines-apart")
+    return found.union(_similar(shared_prefixes(sets.join(apart, "hash")), sets))
 
 
 def several_components(members: DataFrame, joined: DataFrame) -> DataFrame:
