@@ -119,11 +119,21 @@ class RasterSource:
     coverage: tuple[str, ...] | None = None
 
 
+def count_type(source: RasterSource) -> str:
+    """``int``, or ``bigint`` where a zone may have more pixels than an int counts."""
+    width, height = source.grid.width, source.grid.height
+    if source.resolution is not None:
+        wide, tall, _ = source.grid.upsampled(source.resolution)
+        width, height = max(width, wide), max(height, tall)
+    return "int" if width * height < 2**31 else "bigint"
+
+
 def pixel_counts(zones: DataFrame, source: RasterSource) -> DataFrame:
     """Raw and output pixels per zone: ``n_intersect_raw_pixels, frac_raw_pixels, n_upsampled_pixels``.
 
     Raw cells are the rows of the zone map, counted on its runs. Zones of a covered country without a pixel count 0; countries outside the grid or the coverage have
     no row.
+    Counts are of ``count_type``.
     """
     covered = zones
     if source.coverage is not None:
@@ -134,15 +144,16 @@ def pixel_counts(zones: DataFrame, source: RasterSource) -> DataFrame:
         "iso3", (F.col("new_w") / F.col("w")).alias("factor")
     )
     raw, fine = F.coalesce("raw", F.lit(0)), F.coalesce("fine", F.lit(0))
+    kind = count_type(source)
     return (
         covered.select(*ZONE_KEYS)
         .join(factors, "iso3")
         .join(pixels, ZONE_KEYS, "left")
         .select(
             *ZONE_KEYS,
-            raw.cast("int").alias("n_intersect_raw_pixels"),
+            raw.cast(kind).alias("n_intersect_raw_pixels"),
             (fine / (F.col("factor") * F.col("factor"))).alias("frac_raw_pixels"),
-            fine.cast("int").alias("n_upsampled_pixels"),
+            fine.cast(kind).alias("n_upsampled_pixels"),
         )
     )
 
