@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellwise.session import small
+from cellwise.session import partitions, small
 
 # The working resolution in degrees.
 RESOLUTION = 0.05
@@ -150,11 +150,23 @@ def clip(cells: DataFrame, spans: DataFrame, sizes: Sizes, keys: list[str]) -> D
     return inside.select(*keys, *cells.columns)
 
 
+def stretch(col: str) -> Column:
+    """Number of the stretch that a column lies in."""
+    return F.expr(f"{col} div {STRETCH}")
+
+
 def held_cells(cells: DataFrame, grid: Grid) -> DataFrame:
-    """``row, col`` of the cells that any slice holds, by the number that statistics join on."""
-    numbers = cells.select(grid.cell_id().alias("cell")).distinct()
+    """``row, col, stretch`` of the cells that any slice holds, by the number that statistics join on.
+
+    They are dealt by row and stretch, which serves ``at_cells`` too.
+    """
+    numbers = cells.select(grid.cell_id().alias("cell"))
     place = [F.expr(f"CAST(cell {op} {grid.width} AS INT)") for op in ("div", "%")]
-    return numbers.select(place[0].alias("row"), place[1].alias("col"))
+    placed = numbers.select(place[0].alias("row"), place[1].alias("col"))
+    dealt = placed.withColumn("stretch", stretch("col")).repartition(
+        partitions(cells.sparkSession), "row", "stretch"
+    )
+    return dealt.distinct()
 
 
 def at_cells(runs: DataFrame, cells: DataFrame) -> DataFrame:
@@ -163,9 +175,9 @@ def at_cells(runs: DataFrame, cells: DataFrame) -> DataFrame:
     They meet by stretches of a row, so no key holds more cells than a stretch has. Both sides are
     shuffled: they pack so well that their bytes would pass for a small table.
     """
-    reached = F.sequence(F.expr(f"first div {STRETCH}"), F.expr(f"last div {STRETCH}"))
-    cut = runs.withColumn("stretch", F.explode(reached))
-    placed = cells.select("row", "col", F.expr(f"col div {STRETCH}").alias("stretch"))
+    cut = runs.withColumn("stretch", F.explode(F.sequence(stretch("first"), stretch("last"))))
+    named = "stretch" if "stretch" in cells.columns else stretch("col").alias("stretch")
+    placed = cells.select("row", "col", named)
     return cut.join(placed.hint("merge"), ["row", "stretch"]).filter("col BETWEEN first AND last").drop("stretch")
 
 

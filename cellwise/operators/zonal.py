@@ -100,9 +100,11 @@ def zonal_stats(
     n_large = large.count()
     if n_large == 0:
         return _by_rank(matched(zone_map), keys, stats)
+    # Cells are shuffled to the zone map once, for both kinds of zones.
+    found = written(matched(zone_map), "matched")
     named = small(large, n_large)
-    rest = matched(zone_map.join(named, ZONE_KEYS, "left_anti"))
-    split = matched(zone_map.join(named, ZONE_KEYS, "left_semi"))
+    rest = found.join(named, ZONE_KEYS, "left_anti")
+    split = found.join(named, ZONE_KEYS, "left_semi")
     return _by_rank(rest, keys, stats).unionByName(split_stats(split, keys, stats))
 
 

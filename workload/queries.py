@@ -69,10 +69,15 @@ def map_of(
     return mapped, zonal.Bounds.counted(mapped, scene.sizes, resolution is not None)
 
 
+def kept_cells(cells: DataFrame) -> DataFrame:
+    """``cells`` as a table, for queries that read them more than once: held cells, statistics, slices."""
+    return written(cells, "cells")
+
+
 def observed(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
-    """Monthly statistics of the nations: the flagship."""
+    """Monthly statistics of the nations: the flagship. ``cells``, if given, are a stored table."""
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_obs(spark, sf_dir) if cells is None else cells
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir)) if cells is None else cells
     nations = scene.level(1)
     found = stats_of(scene, cells, ["valid_date"], nations)
     due = zonal.present_slices(cells, scene.windows, ["valid_date"])
@@ -345,7 +350,7 @@ def _upsampled_first(scene: Scene, held: DataFrame) -> DataFrame:
 def prep_order_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means and counts of the nations for both orders of clipping and upsampling."""
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     held = written(grids.held_cells(cells, scene.grid), "held")
     maps = {
         "clip_first": rasterize.zone_map(scene.level(1), scene.windows, scene.grid, FINE, cells=held),
@@ -394,7 +399,7 @@ def shoelace_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cell_zone_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     mapped, bounds = map_of(scene, cells, scene.zones)
     return zonal.cells_in_zones(cells, mapped, scene.grid, bounds).drop("w")
 
@@ -408,6 +413,7 @@ def _found_and_due(
     scene: Scene, cells: DataFrame, keys: list[str], zones: DataFrame, resolution: float | None
 ) -> tuple[DataFrame, DataFrame]:
     """Stored statistics and the slices due, by one pass over the cells' values."""
+    cells = kept_cells(cells)
     found = written(stats_of(scene, cells, keys, zones, resolution), "found")
     present = zonal.present_slices(cells, scene.windows, keys)
     due = zonal.filled_slices_after(found, present, cells, scene.windows, scene.sizes, keys)
@@ -454,7 +460,7 @@ def zonal_stats_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zonal_stats_large_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted statistics by the plan for zones too large for one task."""
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     mapped, bounds = map_of(scene, cells, scene.level(0), FINE)
     keys = ["valid_date", *ZONE_KEYS]
     matched = zonal.cells_in_zones(cells, mapped, scene.grid, bounds).withColumnRenamed("value", "v")
@@ -464,7 +470,7 @@ def zonal_stats_large_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stat_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     return rounded(
         stats_of(scene, cells, ["valid_date"], scene.zones, None, ("mean", "max", "count"))
     )
@@ -473,7 +479,7 @@ def stat_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def unique_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_nan(spark, sf_dir)
+    cells = kept_cells(inputs.cells_nan(spark, sf_dir))
     return stats_of(scene, cells, ["valid_date"], scene.zones, FINE, ("count", "unique"))
 
 
@@ -481,7 +487,7 @@ def unique_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def densify_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supplier zones, most of them empty in a month, over a raster with missing values."""
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_nan(spark, sf_dir)
+    cells = kept_cells(inputs.cells_nan(spark, sf_dir))
     suppliers = scene.level(2)
     found = stats_of(scene, cells, ["valid_date"], suppliers)
     due = zonal.present_slices(cells, scene.windows, ["valid_date"])
@@ -653,7 +659,7 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of the newest month, laid over those of the months before."""
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     names = cells.select(
         F.concat(F.lit("monthly/p_"), F.col("valid_date").cast("string"), F.lit(".tif")).alias("path")
     ).distinct()
@@ -667,7 +673,7 @@ def update_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table that lacks every spring is filled with the missing months."""
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     stored = observed(spark, sf_dir, cells.filter(~F.month("valid_date").isin(3, 4, 5)))
     span = _span(cells)
     expected = runs.expected_dates(span, F.col("first"), F.col("last"), "M")
@@ -762,7 +768,7 @@ def upsert_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compare_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain statistics of the nations against both upsampled forms."""
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     stats = ("mean", "median", "min", "max")
     nations = scene.level(1)
     held = written(grids.held_cells(cells, scene.grid), "held")
@@ -955,7 +961,7 @@ def zonal_stats_mixed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = Scene.of(spark, sf_dir)
     mapped = written(rasterize.zone_map(scene.zones, scene.windows, scene.grid), "zone-map")
     bounds = zonal.Bounds.counted(mapped, scene.sizes, False)
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     limit = scene.sizes.largest // 10
     return rounded(
         zonal.zonal_stats(cells, mapped, scene.grid, bounds, ["valid_date"], local_cells=limit),
@@ -993,7 +999,7 @@ def coverage_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _exact(spark: SparkSession, sf_dir: str, stats: tuple[str, ...], quantiles: tuple[float, ...] = ()) -> DataFrame:
     """Monthly statistics of the nations, weighted by coverage."""
     scene = Scene.of(spark, sf_dir)
-    cells = inputs.cells_obs(spark, sf_dir)
+    cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     held = grids.held_cells(cells, scene.grid)
     weights = written(coverage.coverage_weights(scene.level(1), scene.grid, held), "weights")
     return coverage.exact_stats(cells, weights, scene.grid, weights.count(), ["valid_date"], stats, quantiles)
@@ -1009,7 +1015,7 @@ def compare_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics by cell centres against those by exact coverage, where they are far apart."""
     stats = ("mean", "median", "min", "max")
     scene = Scene.of(spark, sf_dir)
-    centres = stats_of(scene, inputs.cells_obs(spark, sf_dir), ["valid_date"], scene.level(1), None, stats)
+    centres = stats_of(scene, kept_cells(inputs.cells_obs(spark, sf_dir)), ["valid_date"], scene.level(1), None, stats)
     found = {"db": centres, "ee": _exact(spark, sf_dir, stats)}
     return rounded(merge.compare(found, "db", ["valid_date", *ZONE_KEYS], stats), "mean_db", "mean_ee")
 
