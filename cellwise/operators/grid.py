@@ -155,14 +155,24 @@ def stretch(col: str) -> Column:
     return F.expr(f"{col} div {STRETCH}")
 
 
+def cell_place(grid: Grid) -> tuple[Column, Column]:
+    """Row and column of a cell by its number, which is what statistics join on."""
+    row, col = (F.call_function(op, grid.cell_id(), F.lit(grid.width).cast("long")) for op in ("div", "mod"))
+    return row.cast("int"), col.cast("int")
+
+
+def in_stretches(runs: DataFrame) -> DataFrame:
+    """Each run ``(first, last)`` once for every stretch that it reaches into."""
+    return runs.withColumn("stretch", F.explode(F.sequence(stretch("first"), stretch("last"))))
+
+
 def held_cells(cells: DataFrame, grid: Grid) -> DataFrame:
     """``row, col, stretch`` of the cells that any slice holds, by the number that statistics join on.
 
     They are dealt by row and stretch, which serves ``at_cells`` too.
     """
-    numbers = cells.select(grid.cell_id().alias("cell"))
-    place = [F.expr(f"CAST(cell {op} {grid.width} AS INT)") for op in ("div", "%")]
-    placed = numbers.select(place[0].alias("row"), place[1].alias("col"))
+    place = [at.alias(name) for at, name in zip(cell_place(grid), ("row", "col"), strict=True)]
+    placed = cells.select(*place)
     dealt = placed.withColumn("stretch", stretch("col")).repartition(
         partitions(cells.sparkSession), "row", "stretch"
     )
@@ -175,7 +185,7 @@ def at_cells(runs: DataFrame, cells: DataFrame) -> DataFrame:
     They meet by stretches of a row, so no key holds more cells than a stretch has. Both sides are
     shuffled: they pack so well that their bytes would pass for a small table.
     """
-    cut = runs.withColumn("stretch", F.explode(F.sequence(stretch("first"), stretch("last"))))
+    cut = in_stretches(runs)
     named = "stretch" if "stretch" in cells.columns else stretch("col").alias("stretch")
     placed = cells.select("row", "col", named)
     return cut.join(placed.hint("merge"), ["row", "stretch"]).filter("col BETWEEN first AND last").drop("stretch")

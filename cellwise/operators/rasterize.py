@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwise.functions.geometry import ring_edges
-from cellwise.operators.grid import MAX_WINDOWS, Grid, at_cells, fine_index, fine_windows, source_index, zone_bounds
+from cellwise.operators.grid import (
+    MAX_WINDOWS, Grid, at_cells, fine_index, fine_windows, in_stretches, source_index, zone_bounds,
+)
 from cellwise.schema import ZONE_KEYS
 from cellwise.session import partitions, small
 
@@ -243,18 +245,45 @@ def zone_map(
 
 def _by_cell(owned: DataFrame, cells: DataFrame | None) -> DataFrame:
     """A row per run and source cell it takes pixels of, with ``n``, how many."""
-    source = lambda at: F.col("c_lo") + source_index(F.col(at), F.col("w"), F.col("new_w"))
-    runs = owned.withColumns({"first": source("lo"), "last": source("hi")})
+    runs = _on_source(owned)
     if cells is None:
         met = runs.withColumn("col", F.explode(F.sequence("first", "last")))
     else:
         met = at_cells(runs, cells)
+    return met.select(*ZONE_KEYS, "row", "col", run_weight(F.col("col")).alias("n")).filter("n > 0")
+
+
+def _on_source(owned: DataFrame) -> DataFrame:
+    """Runs with the source columns ``first`` to ``last`` whose values their pixels take."""
+    source = lambda at: F.col("c_lo") + source_index(F.col(at), F.col("w"), F.col("new_w"))
+    return owned.withColumns({"first": source("lo"), "last": source("hi")})
+
+
+def _taking(col: Column) -> tuple[Column, Column]:
+    """First and last output column of the window that take the value of source column ``col``."""
     size, new_size = F.col("w").cast("long"), F.col("new_w").cast("long")
-    at = F.col("col") - F.col("c_lo")
-    begin = F.greatest("lo", fine_index(at, size, new_size))
-    end = F.least(F.col("hi"), fine_index(at + 1, size, new_size) - 1)
-    counted = met.select(*ZONE_KEYS, "row", "col", (end - begin + 1).cast("long").alias("n"))
-    return counted.filter("n > 0")
+    at = col - F.col("c_lo")
+    return fine_index(at, size, new_size), fine_index(at + 1, size, new_size) - 1
+
+
+def zone_runs(zones: DataFrame, spans: DataFrame, grid: Grid, resolution: float | None = None) -> DataFrame:
+    """The zone map by runs: cells ``first`` to ``last`` of a ``row``, within one ``stretch`` of it.
+
+    Its size follows from outlines, not from cells or slices; ``cells_in_zones`` lets the cells meet it.
+    With a resolution, there is a run per output row, with what ``run_weight`` needs: a cell meets as
+    many runs of a zone as output rows take it. That suits factors of a few; ``zone_map`` adds them up.
+    """
+    cut = in_stretches(_on_source(owned_runs(zones, fine_windows(spans, grid, resolution))))
+    place = [*ZONE_KEYS, "row", "stretch"]
+    if resolution is None:
+        return cut.select(*place, "first", "last")
+    return cut.select(*place, "first", "last", "lo", "hi", "c_lo", "w", "new_w")
+
+
+def run_weight(col: Column) -> Column:
+    """Output pixels of a run that take the value of source column ``col``; below 1: none."""
+    begin, end = _taking(col)
+    return (F.least(F.col("hi"), end) - F.greatest(F.col("lo"), begin) + 1).cast("long")
 
 
 def _weighed(owned: DataFrame, cells: DataFrame | None = None) -> DataFrame:

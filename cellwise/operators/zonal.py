@@ -20,11 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwise.functions.values import number
-from cellwise.operators.grid import Grid, Sizes, clip
+from cellwise.operators.grid import Grid, Sizes, cell_place, clip, stretch
+from cellwise.operators.rasterize import run_weight
 from cellwise.schema import STAT_COLUMNS, ZONE_KEYS
 from cellwise.session import small, written
 
 LOCAL_CELLS = 2_000_000
+# A row of a zone map by runs, with what a hash table adds to it.
+RUN_BYTES = 192
 MEDIAN_SPLITS = 64
 SALTS = 16
 
@@ -59,13 +62,26 @@ def cells_in_zones(cells: DataFrame, zone_map: DataFrame, grid: Grid, bounds: Bo
     """Inner join of cells and zones on the cell number; cells outside all zones drop out.
 
     A zone map within the broadcast bound is sent to the cells. A larger one is shuffled with
-    them by cell number, a key every slice has once, so no key is hot.
+    them by cell number, a key every slice has once, so no key is hot. A map from ``zone_runs``
+    meets them by stretches of a row instead; upsampled, a cell then has a row per output row.
     """
+    if "stretch" in zone_map.columns:
+        return _cells_in_runs(cells, zone_map, grid, bounds)
     keyed = zone_map.select(grid.cell_id().alias("cell"), *ZONE_KEYS, "w")
     located = cells.withColumn("cell", grid.cell_id())
     return located.join(small(keyed, bounds.map_rows, beyond="merge"), "cell").drop("cell")
 
 
+def _cells_in_runs(cells: DataFrame, runs: DataFrame, grid: Grid, bounds: Bounds) -> DataFrame:
+    row, col = cell_place(grid)
+    placed = cells.withColumns({"at_row": row, "at_col": col}).withColumn("stretch", stretch("at_col"))
+    keyed = small(runs.withColumnRenamed("row", "at_row"), bounds.map_rows, RUN_BYTES, beyond="merge")
+    met = placed.join(keyed, ["at_row", "stretch"]).filter("at_col BETWEEN first AND last")
+    # The runs' own ``w`` is the width of a window.
+    weight = run_weight(F.col("at_col")) if "new_w" in runs.columns else F.lit(1).cast("long")
+    return met.select(*cells.columns, *ZONE_KEYS, weight.alias("w")).filter("w > 0")
+
+
 def zonal_stats(
     cells: DataFrame,
     zone_map: DataFrame,
@@ -96,22 +112,28 @@ def zonal_stats(
         return matched(zone_map).groupBy(*keys).agg(*[_merged(s).alias(s) for s in stats])
     if bounds.zone_cells <= local_cells:
         return _by_rank(matched(zone_map), keys, stats)
-    large = written(_large_zones(zone_map, local_cells), "large-zones")
+    if "stretch" in zone_map.columns:
+        # Runs do not tell which cells exist, so the matched ones of each slice are counted.
+        found = written(matched(zone_map), "matched")
+        large = written(_large_zones(found, local_cells, *slice_keys), "large-zones")
+    else:
+        found = None
+        large = written(_large_zones(zone_map, local_cells), "large-zones")
     n_large = large.count()
     if n_large == 0:
-        return _by_rank(matched(zone_map), keys, stats)
+        return _by_rank(matched(zone_map) if found is None else found, keys, stats)
     # Cells are shuffled to the zone map once, for both kinds of zones.
-    found = written(matched(zone_map), "matched")
+    found = written(matched(zone_map), "matched") if found is None else found
     named = small(large, n_large)
     rest = found.join(named, ZONE_KEYS, "left_anti")
     split = found.join(named, ZONE_KEYS, "left_semi")
     return _by_rank(rest, keys, stats).unionByName(split_stats(split, keys, stats))
 
 
-def _large_zones(zone_map: DataFrame, local_cells: int) -> DataFrame:
-    """Zones with more cells than one task should sort; the zone map counts them exactly."""
-    held = zone_map.groupBy(*ZONE_KEYS).agg(F.count(F.lit(1)).alias("n"))
-    return held.filter(F.col("n") > local_cells).drop("n")
+def _large_zones(rows: DataFrame, local_cells: int, *slice_keys: str) -> DataFrame:
+    """Zones with more rows than one task should sort: cells of the zone map, or matched cells of a slice."""
+    held = rows.groupBy(*slice_keys, *ZONE_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return held.filter(F.col("n") > local_cells).select(*ZONE_KEYS).distinct()
 
 
 def _merged(stat: str) -> Column:

@@ -54,18 +54,13 @@ def stats_of(
     resolution: float | None = None,
     stats: tuple[str, ...] = tuple(STAT_COLUMNS),
 ) -> DataFrame:
-    mapped, bounds = map_of(scene, cells, zones, resolution)
+    mapped, bounds = map_of(scene, zones, resolution)
     return zonal.zonal_stats(cells, mapped, scene.grid, bounds, slice_keys, stats)
 
 
-def map_of(
-    scene: Scene, cells: DataFrame, zones: DataFrame, resolution: float | None = None
-) -> tuple[DataFrame, zonal.Bounds]:
-    """The stored zone map of the cells that any slice holds, and its sizes."""
-    held = grids.held_cells(cells, scene.grid)
-    mapped = written(
-        rasterize.zone_map(zones, scene.windows, scene.grid, resolution, cells=held), "zone-map"
-    )
+def map_of(scene: Scene, zones: DataFrame, resolution: float | None = None) -> tuple[DataFrame, zonal.Bounds]:
+    """The stored zone map by runs, and its sizes."""
+    mapped = written(rasterize.zone_runs(zones, scene.windows, scene.grid, resolution), "zone-map")
     return mapped, zonal.Bounds.counted(mapped, scene.sizes, resolution is not None)
 
 
@@ -400,7 +395,7 @@ def shoelace_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cell_zone_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     scene = Scene.of(spark, sf_dir)
     cells = kept_cells(inputs.cells_obs(spark, sf_dir))
-    mapped, bounds = map_of(scene, cells, scene.zones)
+    mapped, bounds = map_of(scene, scene.zones)
     return zonal.cells_in_zones(cells, mapped, scene.grid, bounds).drop("w")
 
 
@@ -461,7 +456,7 @@ def zonal_stats_large_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted statistics by the plan for zones too large for one task."""
     scene = Scene.of(spark, sf_dir)
     cells = kept_cells(inputs.cells_obs(spark, sf_dir))
-    mapped, bounds = map_of(scene, cells, scene.level(0), FINE)
+    mapped, bounds = map_of(scene, scene.level(0), FINE)
     keys = ["valid_date", *ZONE_KEYS]
     matched = zonal.cells_in_zones(cells, mapped, scene.grid, bounds).withColumnRenamed("value", "v")
     return rounded(zonal.split_stats(matched, keys, [*STAT_COLUMNS, "unique"]))
