@@ -1019,7 +1019,7 @@ def compare_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zonal_stats_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly statistics of all zones by running sums along rows."""
     scene = Scene.of(spark, sf_dir)
-    mapped = rasterize.zone_map(scene.zones, scene.windows, scene.grid)
+    mapped = rasterize.zone_runs(scene.zones, scene.windows, scene.grid)
     runs = written(spans.zone_runs(mapped), "runs")
     found = spans.run_stats(inputs.cells_obs(spark, sf_dir), runs, scene.grid, runs.count(), ["valid_date"])
     return rounded(found, "mean", "sum", "std")
