@@ -90,11 +90,13 @@ def zonal_stats(
     slice_keys: Sequence[str],
     stats: Sequence[str] = tuple(STAT_COLUMNS),
     local_cells: int = LOCAL_CELLS,
+    large: DataFrame | None = None,
 ) -> DataFrame:
     """Statistics per slice and zone that has a cell; missing cells do not count.
 
     Standard deviations are over the population. Add zones without cells with ``densify``. Zones
-    of more than ``local_cells`` cells are spread over tasks; the results are the same.
+    of more than ``local_cells`` cells are spread over tasks; the results are the same. ``large`` names
+    those zones, if they are known; a map by runs has them counted by the cells of each slice else.
     """
     unknown = [s for s in stats if s not in STATISTICS]
     if unknown:
@@ -112,7 +114,9 @@ def zonal_stats(
         return matched(zone_map).groupBy(*keys).agg(*[_merged(s).alias(s) for s in stats])
     if bounds.zone_cells <= local_cells:
         return _by_rank(matched(zone_map), keys, stats)
-    if "stretch" in zone_map.columns:
+    if large is not None:
+        found, large = None, written(large, "large-zones")
+    elif "stretch" in zone_map.columns:
         # Runs do not tell which cells exist, so the matched ones of each slice are counted.
         found = written(matched(zone_map), "matched")
         large = written(_large_zones(found, local_cells, *slice_keys), "large-zones")
@@ -130,6 +134,16 @@ def zonal_stats(
     return _by_rank(rest, keys, stats).unionByName(split_stats(split, keys, stats))
 
 
+def zones_over(zone_map: DataFrame, local_cells: int) -> DataFrame:
+    """Zones of more cells than ``local_cells``, whether a slice holds them or not."""
+    if "stretch" not in zone_map.columns:
+        return _large_zones(zone_map, local_cells)
+    if "new_w" in zone_map.columns:
+        raise ValueError("upsampled, runs of output rows share source cells; take a map of cells")
+    cells = F.sum(F.expr("CAST(last - first + 1 AS BIGINT)"))
+    return zone_map.groupBy(*ZONE_KEYS).agg(cells.alias("n")).filter(F.col("n") > local_cells).select(*ZONE_KEYS)
+
+
 def _large_zones(rows: DataFrame, local_cells: int, *slice_keys: str) -> DataFrame:
     """Zones with more rows than one task should sort: cells of the zone map, or matched cells of a slice."""
     held = rows.groupBy(*slice_keys, *ZONE_KEYS).agg(F.count(F.lit(1)).alias("n"))

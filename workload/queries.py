@@ -954,12 +954,12 @@ def simplify_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zonal_stats_mixed_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones on both sides of the limit for one task, taken at a tenth of the largest window."""
     scene = Scene.of(spark, sf_dir)
-    mapped = written(rasterize.zone_map(scene.zones, scene.windows, scene.grid), "zone-map")
-    bounds = zonal.Bounds.counted(mapped, scene.sizes, False)
+    mapped, bounds = map_of(scene, scene.zones)
     cells = kept_cells(inputs.cells_obs(spark, sf_dir))
     limit = scene.sizes.largest // 10
+    large = zonal.zones_over(mapped, limit)
     return rounded(
-        zonal.zonal_stats(cells, mapped, scene.grid, bounds, ["valid_date"], local_cells=limit),
+        zonal.zonal_stats(cells, mapped, scene.grid, bounds, ["valid_date"], local_cells=limit, large=large),
         "mean", "median", "sum", "std",
     )
 
