@@ -261,7 +261,7 @@ def by_columns(runs: DataFrame, keys: list[str], *fields: str) -> DataFrame:
 
     ``rows`` has a ``row`` with its ``fields`` for each cell that the column has in a band. To follow
     the columns of a band one by one takes no more work than to follow its rows, but leaves the column
-    as it is for several cells and the rows coming round, which stored tables pack into a tenth.
+    as it is for several cells and the rows coming round, which stored tables pack well.
     """
     held = F.struct("row", "first", "last", *fields)
     named = ["row", *fields]
